@@ -44,7 +44,7 @@ def check_lookups(processed: DataFrame, lookups: Sequence[Lookup], hook: Hook |
     reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
     checked = checked.withColumn("reject_reason", reason).drop(*[f"_known_{i}" for i in range(len(lookups))])
     # the shuffle scattered every run; bring runs back together (hot ones split) so zone files stay few and full
-    return stage(checked.hint("rebalance", "run_id"), "lookups") if shuffled else checked
+    return stage(checked.hint("rebalance", F.col("run_id")), "lookups") if shuffled else checked
 
 
 def counts(checked: DataFrame, clock: Column) -> DataFrame:

@@ -15,7 +15,7 @@ from sluice.sources.config import validate_configs
 from sluice.sources.events import execution_context, validate_events
 from sluice.sources.files import Landed
 from sluice.sources.zones import Lake, date_parts
-from sluice.session import stage
+from sluice.session import run_together, stage
 
 
 class Source(Protocol):
@@ -45,14 +45,19 @@ class FileSource:
 
 @dataclass(frozen=True)
 class TableSource:
-    """Records that are already rows of a numbered table."""
+    """Records that are already rows of a numbered table; landing keeps them as comma-separated lines."""
 
     landed: Landed
 
     def land(self, lake: Lake, runs: DataFrame) -> Landed:
         only = runs.select("run_id")
         frames = (self.landed.rows, self.landed.headers, self.landed.files)
-        return Landed(*[f.join(only, "run_id", "left_semi") for f in frames])
+        rows, headers, files = [f.join(only, "run_id", "left_semi") for f in frames]
+        lines = rows.join(_run_parts(runs), "run_id").withColumns(
+            {"block_start": F.lit(0), "pos": F.col("row_number"), "line": F.concat_ws(",", "cells")}
+        )
+        lake.write("raw", lines)
+        return Landed(rows, headers, files)
 
 
 @dataclass(frozen=True)
@@ -121,34 +126,36 @@ def ingest(
     half = stage(facts.harmonize_states(runs, landed.files, schemas, counted, lake.names), "harmonize-states")
 
     bad = harmonize.rejected(records).join(_tags(half, "schema_ok and h_rejected > 0"), "run_id")
-    lake.write("rejected", bad.withColumn("stage", F.lit("harmonization")))
     good = harmonize.accepted(records).join(_tags(half, "harmonized"), "run_id")
-    lake.write("processed", good)
+    run_together(
+        lambda: lake.write("rejected", bad.withColumn("stage", F.lit("harmonization"))),
+        lambda: lake.write("processed", good),
+    )
 
     filled = _tags(half, "harmonized and h_total > h_rejected")
     checked = enrich.check_lookups(lake.read_runs("processed", filled), lookups, hook)
     enriched = enrich.with_first_reason(enrich.counts(checked, clock), checked)
     states = stage(facts.run_states(half, stage(enriched, "enrich-counts"), lake.names), "states")
 
-    removed = lake.read_runs(
-        "rejected", _tags(half, "harmonized and h_rejected > 0"), stage="harmonization"
+    removed = lake.read_runs("rejected", _tags(half, "harmonized and h_rejected > 0"), stage="harmonization")
+    failed_files = facts.file_failures(states).withColumns(
+        {**date_parts(F.col("business_day")), "row_number": F.lit(None), "raw_row": F.lit(None)}
     )
-    lake.write("rejected", enrichment_rejects(checked, removed))
-    lake.write("curated", enrich.enrich(enrich.accepted(checked), clock).join(_tags(states, "curated").select("run_id"), "run_id", "left_semi"))
-    lake.write(
-        "rejected",
-        facts.file_failures(states).withColumns(
-            {**date_parts(F.col("business_day")), "row_number": F.lit(None), "raw_row": F.lit(None)}
-        ),
+    late_rejects = enrichment_rejects(checked, removed).unionByName(failed_files, allowMissingColumns=True)
+    curated = enrich.enrich(enrich.accepted(checked), clock).join(
+        states.filter("curated").select("run_id"), "run_id", "left_semi"
     )
-
-    runs_facts = facts.ingestion_runs(states, clock, finished, lake.names)
-    steps_facts = facts.ingestion_steps(states, clock, finished, lake.names)
-    lake.write("ingestion_runs", runs_facts.select("*", tagged))
-    lake.write("ingestion_steps", steps_facts.select("*", tagged))
-    lake.write("manifests", facts.manifests(states, lake.names))
     failures = publish.file_failed(facts.failure_events(states, lake.names), products)
-    lake.write("outbox", publish.file_failed_messages(failures).select("*", tagged))
+    run_facts = facts.ingestion_runs(states, clock, finished, lake.names)
+    step_facts = facts.ingestion_steps(states, clock, finished, lake.names)
+    run_together(
+        lambda: lake.write("rejected", late_rejects, gather=True),
+        lambda: lake.write("curated", curated),
+        lambda: lake.write("ingestion_runs", run_facts.select("*", tagged), gather=True),
+        lambda: lake.write("ingestion_steps", step_facts.select("*", tagged), gather=True),
+        lambda: lake.write("manifests", facts.manifests(states, lake.names), gather=True),
+        lambda: lake.write("outbox", publish.file_failed_messages(failures).select("*", tagged)),
+    )
     return Batch(validated, states)
 
 
@@ -165,6 +172,5 @@ def publish_zones(lake: Lake, configs: DataFrame, curated: DataFrame, rejected:
     products = stage(validate_configs(configs), "configs")
     tagged = F.lit(batch_id).alias("batch_id")
     ready = publish.record_ready_messages(publish.record_ready(curated, products, lake.names))
-    lake.write("outbox", ready.select("*", tagged))
     bad = publish.records_rejected_messages(publish.records_rejected(rejected, products, lake.names))
-    lake.write("outbox", bad.select("*", tagged))
+    lake.write("outbox", ready.unionByName(bad).select("*", tagged))

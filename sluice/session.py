@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+    # call sites of every column expression cost more than the plans of the wide fact tables
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -66,6 +70,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def run_together(*jobs: Callable[[], object]) -> list:
+    """Run independent jobs at the same time, so that one's last tasks do not idle the cluster for the next."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(j) for j in jobs]]
+
+
 def planned_bytes(df: DataFrame) -> int:
     """The optimiser's size estimate, exact for staged tables and an over-estimate for what filters them."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

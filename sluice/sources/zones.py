@@ -92,9 +92,15 @@ class Lake:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)
 
-    def write(self, table: str, rows: DataFrame) -> None:
-        """Replace exactly the partitions present in ``rows``."""
+    def write(self, table: str, rows: DataFrame, gather: bool = False) -> None:
+        """Replace exactly the partitions present in ``rows``.
+
+        ``gather`` brings the rows of a partition together first, for rows a shuffle has scattered: without it every
+        task writes a file into every partition. The rebalance splits a hot partition and merges small ones.
+        """
         _, schema, keys = TABLES[table]
+        if gather:
+            rows = rows.hint("rebalance", *[F.col(k) for k in keys if k != "batch_id"])
         ordered = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         fmt = "json" if table == "manifests" else "parquet"
         writer = ordered.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -11,9 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluice.contracts import DOMAIN, DOMAIN_FIELDS, LAYOUT_MAPPING, PRODUCT_CONFIG, struct
+from sluice.operators import harmonize
 from sluice.operators.enrich import Lookup
 from sluice.operators.ordinals import number_by_key
-from sluice.plans.ingest import TableSource, ingest, publish_zones
+from sluice.plans.ingest import (
+    Batch,
+    FileSource,
+    TableSource,
+    harmonized_records,
+    ingest,
+    plan_runs,
+    publish_zones,
+)
 from sluice.session import configure, new_path, stage
 from sluice.sources.config import validate_configs
 from sluice.sources.files import Landed
@@ -219,10 +228,10 @@ def reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("customer_id"))
 
 
-def build_lake(spark: SparkSession, sf_dir: str) -> Lake:
+def build_lake(spark: SparkSession, sf_dir: str) -> tuple[Lake, Batch]:
     """Ingest and publish the whole feed into a new lake."""
     at = Lake(spark, new_path(spark, "lake"))
-    ingest(
+    batch = ingest(
         at,
         events(spark, sf_dir),
         configs(spark),
@@ -232,10 +241,70 @@ def build_lake(spark: SparkSession, sf_dir: str) -> Lake:
         lookups=[Lookup(reference(spark, sf_dir))],
     )
     publish_zones(at, configs(spark), at.read("curated"), at.read("rejected"), "0")
-    return at
+    return at, batch
 
 
-lake = _once(build_lake)
+built = _once(build_lake)
+
+
+def lake(spark: SparkSession, sf_dir: str) -> Lake:
+    return built(spark, sf_dir)[0]
+
+
+def states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return built(spark, sf_dir)[1].states
+
+
+@_once
+def contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One context row per run, as the first step of ingestion makes it."""
+    at = Lake(spark, new_path(spark, "unused"))
+    clock = F.to_timestamp(F.lit(CLOCK), "yyyy-MM-dd'T'HH:mm:ssxxx")
+    return plan_runs(events(spark, sf_dir), products(spark), clock, at)[1]
+
+
+@_once
+def layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivered file's header resolved against its product's mapping."""
+    runs = contexts(spark, sf_dir).filter("outcome = 'accepted'")
+    by_product = harmonize.product_layouts(products(spark), mappings(spark))
+    return stage(harmonize.file_layouts(landed(spark, sf_dir).headers, runs, by_product), "layouts")
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All numbered records mapped to the domain and classified."""
+    return harmonized_records(landed(spark, sf_dir), layouts(spark, sf_dir))
+
+
+@_once
+def csv_files(spark: SparkSession, sf_dir: str) -> str:
+    """The feed as CSV files under a source root, one folder of part files per run; payments quote every cell."""
+    root = new_path(spark, "source")
+    rows = raw(spark, sf_dir).join(delivered(spark, sf_dir).select("run_id", "header"), "run_id")
+    variants = [("orders", ORDERS_HEADER), ("orders", ORDERS_DRIFTED), ("payments", PAYMENTS_HEADER)]
+    for product, header in variants:
+        matching = (F.col("product") == product) & (F.col("header") == F.array(*[F.lit(h) for h in header]))
+        cells = [F.get("cells", F.lit(i)).alias(h) for i, h in enumerate(header)]
+        placed = rows.filter(matching).repartitionByRange("run_id", "row_number")
+        placed = placed.sortWithinPartitions("run_id", "row_number").select("run_id", *cells)
+        writer = placed.write.mode("append").partitionBy("run_id").option("header", "true").option("escape", '"')
+        writer.option("quoteAll", str(product == "payments").lower()).csv(f"{root}/{product}")
+    return root
+
+
+def csv_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run contexts pointing at the CSV folders."""
+    runs = contexts(spark, sf_dir).filter("outcome = 'accepted'")
+    folder = F.concat(F.col("product"), F.lit("/run_id="), F.col("run_id"))
+    return runs.withColumn("source_key", folder)
+
+
+def land_csv(spark: SparkSession, sf_dir: str) -> tuple[Lake, Landed]:
+    at = Lake(spark, new_path(spark, "csv-lake"))
+    return at, FileSource(csv_files(spark, sf_dir)).land(at, csv_runs(spark, sf_dir))
+
+
+landed_csv = _once(land_csv)
 
 
 def products(spark: SparkSession) -> DataFrame:
