@@ -29,18 +29,16 @@ class FileSource:
     root: str
 
     def land(self, lake: Lake, runs: DataFrame) -> Landed:
-        files = stage(csv_files.match_files(runs, csv_files.list_source_files(lake.spark, self.root)), "source-files")
-        lines = csv_files.landed_lines(lake.spark, files, runs)
+        spark = lake.spark
+        found = stage(csv_files.match_files(runs, csv_files.list_source_files(spark, self.root)), "source-files")
+        empty = csv_files.empty_sources(spark, self.root, runs, found)
+        files = stage(found.unionByName(empty), "all-source-files")
+        lines = csv_files.landed_lines(spark, files, runs)
         if lines is None:
-            empty = lake.spark.createDataFrame
-            return Landed(
-                empty([], "run_id string, file_path string, row_number bigint, cells array<string>"),
-                empty([], "run_id string, file_path string, header array<string>"),
-                files.groupBy("run_id").agg(F.sum("file_size").alias("file_size")),
-            )
+            return csv_files.nothing_landed(files)
         lake.write("raw", lines)
-        with_lines = runs.join(files.filter("file_size > 0"), "run_id", "left_semi")
-        return csv_files.parse_landed(lake.read_runs("raw", _run_parts(with_lines)), files)
+        filled = runs.join(found, "run_id", "left_semi")
+        return csv_files.parse_landed(lake.read_runs("raw", _run_parts(filled)), files)
 
 
 @dataclass(frozen=True)

@@ -55,6 +55,22 @@ def match_files(runs: DataFrame, listing: DataFrame) -> DataFrame:
     return runs.select("run_id", "source_key").join(keyed, "source_key").drop("source_key")
 
 
+def empty_sources(spark: SparkSession, root: str, runs: DataFrame, found: DataFrame) -> DataFrame:
+    """Runs whose source exists but holds no byte; Spark's file index leaves such files out.
+
+    Only the runs without any listed file are looked up, one status call each.
+    """
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    unmatched = runs.join(found, "run_id", "left_anti").select("run_id", "source_key")
+    rows = []
+    for run in unmatched.toLocalIterator():
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{run.source_key}")
+        if fs.exists(path) and fs.getFileStatus(path).isFile():
+            rows.append((path.toString(), 0, run.run_id))
+    return spark.createDataFrame(rows, "file_path string, file_size bigint, run_id string")
+
+
 def _paths(files: DataFrame) -> list[str]:
     # file names only: the scan below keeps the same list in its file index
     return sorted(unquote(r.file_path) for r in files.select("file_path").distinct().toLocalIterator())
@@ -76,7 +92,7 @@ def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def landed_lines(spark: SparkSession, files: DataFrame, runs: DataFrame) -> DataFrame | None:
     """Lines of the batch's files tagged with their run and its partition keys; None if there are no files."""
-    paths = _paths(files)
+    paths = _paths(files.filter("file_size > 0"))
     if not paths:
         return None
     day = F.col("business_day")
@@ -121,6 +137,18 @@ def _header_lines(lines: DataFrame, blocks: DataFrame) -> DataFrame:
     return lines.select(*_BLOCK, "pos", "line").join(first, [*_BLOCK, "pos"])
 
 
+def sizes(files: DataFrame) -> DataFrame:
+    return files.groupBy("run_id").agg(F.sum("file_size").alias("file_size"))
+
+
+def nothing_landed(files: DataFrame) -> Landed:
+    """Landing of files without a single line."""
+    spark = files.sparkSession
+    rows = spark.createDataFrame([], "run_id string, file_path string, row_number bigint, cells array<string>")
+    no_header = F.array().cast("array<string>").alias("header")
+    return Landed(rows, files.select("run_id", "file_path", no_header), sizes(files))
+
+
 def parse_landed(lines: DataFrame, files: DataFrame) -> Landed:
     """Numbered records and headers of landed lines.
 
@@ -178,7 +206,7 @@ def parse_landed(lines: DataFrame, files: DataFrame) -> Landed:
         .join(headers, ["run_id", "file_path"], "left")
         .withColumn("header", F.coalesce("header", F.array().cast("array<string>")))
     )
-    return Landed(rows, headers, files.groupBy("run_id").agg(F.sum("file_size").alias("file_size")))
+    return Landed(rows, headers, sizes(files))
 
 
 def _quoted_commas(line: Column) -> Column:

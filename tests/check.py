@@ -29,8 +29,16 @@ def _canonical(df: pd.DataFrame) -> pd.DataFrame:
     return df.sort_values(list(df.columns)).reset_index(drop=True)
 
 
+_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def difference(spark_df, con: duckdb.DuckDBPyConnection, sql: str) -> str:
     """Empty when the results agree, otherwise what differs first."""
+    have = {n: _TYPES.get(t, t) for n, t in spark_df.dtypes}
+    twin = con.sql(sql)
+    need = {n: str(t) for n, t in zip(twin.columns, twin.types)}
+    if have != need:
+        return f"types {sorted(set(have.items()) ^ set(need.items()))}"
     got, want = _canonical(spark_df.toPandas()), _canonical(con.sql(sql).df())
     if list(got.columns) != list(want.columns):
         return f"columns {sorted(set(got.columns) ^ set(want.columns))}"
