@@ -164,10 +164,8 @@ def run_states(states: DataFrame, counts: DataFrame, names: LakeNames = NAMES) -
 
 
 def _conform(rows: DataFrame, schema: T.StructType, columns: dict[str, Column]) -> DataFrame:
-    given = {k: c for k, c in columns.items()}
-    return rows.select(
-        *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    """Select the given columns; those of the schema that are not given become NULL."""
+    return rows.select(*[c.alias(n) for n, c in columns.items()]).to(schema)
 
 
 def _dimensions() -> dict[str, Column]:

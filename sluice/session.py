@@ -70,10 +70,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_pool = ThreadPoolExecutor(6, "sluice")  # kept: every new thread opens its own connection to the JVM
+
+
 def run_together(*jobs: Callable[[], object]) -> list:
     """Run independent jobs at the same time, so that one's last tasks do not idle the cluster for the next."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        return [f.result() for f in [pool.submit(j) for j in jobs]]
+    return [f.result() for f in [_pool.submit(j) for j in jobs]]
 
 
 def planned_bytes(df: DataFrame) -> int:

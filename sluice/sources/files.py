@@ -64,7 +64,7 @@ def empty_sources(spark: SparkSession, root: str, runs: DataFrame, found: DataFr
     fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     unmatched = runs.join(found, "run_id", "left_anti").select("run_id", "source_key")
     rows = []
-    for run in unmatched.toLocalIterator():
+    for run in unmatched.collect():
         path = jvm.org.apache.hadoop.fs.Path(f"{root}/{run.source_key}")
         if fs.exists(path) and fs.getFileStatus(path).isFile():
             rows.append((path.toString(), 0, run.run_id))
@@ -73,7 +73,7 @@ def empty_sources(spark: SparkSession, root: str, runs: DataFrame, found: DataFr
 
 def _paths(files: DataFrame) -> list[str]:
     # file names only: the scan below keeps the same list in its file index
-    return sorted(unquote(r.file_path) for r in files.select("file_path").distinct().toLocalIterator())
+    return sorted(unquote(r.file_path) for r in files.select("file_path").distinct().collect())
 
 
 def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:

@@ -69,11 +69,22 @@ class Lake:
     def path(self, table: str) -> str:
         return os.path.join(self.root, TABLES[table][0])
 
+    def _folder(self, table: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def read_stream(self, table: str, max_files: int) -> DataFrame:
+        """New files of a table as a stream; the folder is made if nothing was written yet."""
+        fs, path = self._folder(table)
+        fs.mkdirs(path)
+        reader = self.spark.readStream.schema(TABLES[table][1]).option("maxFilesPerTrigger", max_files)
+        return reader.parquet(self.path(table))
+
     def read(self, table: str) -> DataFrame:
         """Read a table with its declared schema; a table nothing was written to yet is empty."""
-        folder, schema, _ = TABLES[table]
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+        _, schema, _ = TABLES[table]
+        fs, path = self._folder(table)
+        if not fs.exists(path):
             return self.spark.createDataFrame([], schema)
         fmt = "json" if table == "manifests" else "parquet"
         return self.spark.read.schema(schema).format(fmt).load(self.path(table))
@@ -86,7 +97,7 @@ class Lake:
         _, schema, keys = TABLES[table]
         wanted = runs.select(*[F.lit(fixed[k]).alias(k) if k in fixed else F.col(k) for k in keys]).distinct()
         paths = [
-            "/".join([self.path(table), *[f"{k}={row[k]}" for k in keys]]) for row in wanted.toLocalIterator()
+            "/".join([self.path(table), *[f"{k}={row[k]}" for k in keys]]) for row in wanted.collect()
         ]
         if not paths:
             return self.spark.createDataFrame([], schema)
@@ -101,7 +112,7 @@ class Lake:
         _, schema, keys = TABLES[table]
         if gather:
             rows = rows.hint("rebalance", *[F.col(k) for k in keys if k != "batch_id"])
-        ordered = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+        ordered = rows.to(schema)
         fmt = "json" if table == "manifests" else "parquet"
         writer = ordered.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(*keys).save(self.path(table))

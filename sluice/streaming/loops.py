@@ -63,10 +63,6 @@ def publication_streams(
     """New curated and new rejected files to outbox messages, as one stream per zone."""
     spark = lake.spark
 
-    def stream(table, schema) -> DataFrame:
-        reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-        return reader.option("basePath", lake.path(table)).parquet(lake.path(table))
-
     no_curated = spark.createDataFrame([], CURATED_ZONE)
     no_rejected = spark.createDataFrame([], REJECTED_ZONE)
 
@@ -77,10 +73,10 @@ def publication_streams(
         publish_zones(lake, configs, no_curated, batch, f"rejected-{batch_id}")
 
     return (
-        stream("curated", CURATED_ZONE)
+        lake.read_stream("curated", max_files)
         .writeStream.foreachBatch(ready)
         .option("checkpointLocation", f"{checkpoint}/curated"),
-        stream("rejected", REJECTED_ZONE)
+        lake.read_stream("rejected", max_files)
         .writeStream.foreachBatch(bad)
         .option("checkpointLocation", f"{checkpoint}/rejected"),
     )

@@ -77,16 +77,3 @@ def test_numbers_hold_across_splits(bench):
     assert [r[0] for r in rows["many.csv"]] == [str(i) for i in range(1, 5001)]
     assert rows["few.csv"] == [["7", "y"]]
 
-
-def test_short_and_long_records_through_the_engine(bench):
-    from tests.conftest import event, product
-
-    bench.config(orders=product(100, 100))
-    rows = ["1,C,5,d,surplus", "2,C", "3,C,0, "]
-    bench.put("orders", "orders-2026-05-01.csv", "pedido_id,cliente_id,valor_total,data_pedido\n" + "\n".join(rows))
-    bench.ingest(event(run_id="r1"))
-    got = bench.rows("curated", "transaction_id", "amount", "transaction_date")
-    assert [tuple(r.values()) for r in got] == [("1", "5", "d"), ("3", "0", " ")]
-    (bad,) = bench.rows("rejected")
-    assert bad["reason"] == "missing domain fields: amount, transaction_date"
-    assert bad["raw_row"] == '{"cliente_id":"C","data_pedido":null,"pedido_id":"2","valor_total":null}'

@@ -1,253 +1,291 @@
-"""Batches from CSV files to zones, facts and messages."""
+"""Batches from CSV files to zones, facts and messages.
+
+One batch holds a run for every way a file can go; the tests look at the tables it left.
+"""
 
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.operators import facts
 from sluice.plans import reports, views
 from sluice.plans.ingest import publish_zones
-from tests.conftest import INVOICES_CSV, ORDERS_CSV, PAYMENTS_CSV, event, product
-
-BLANK_AMOUNT = "pedido_id,cliente_id,valor_total,data_pedido\n1001,C1,10.00,2026-05-01\n1002,C2,,2026-05-01\n"
-
-
-def test_sample_batch_end_to_end(bench):
-    bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV)
-    bench.put("payments", "payments-2026-05-01.csv", PAYMENTS_CSV)
-    bench.put("invoices", "invoices-2026-05-01.csv", INVOICES_CSV)
-    batch = bench.ingest(*[event(p) for p in ("orders", "payments", "invoices")])
-    outcomes = {r.product: (r.outcome, r.reason) for r in batch.validated.collect()}
-    assert outcomes["invoices"] == ("refused", "product not configured: invoices")
-    assert [outcomes[p][0] for p in ("orders", "payments")] == ["accepted"] * 2
-
-    assert len(bench.rows("raw")) == 6  # header lines included
-    assert len(bench.rows("processed")) == 4
-    curated = bench.rows("curated", "product", "transaction_id", "customer_id", "amount", "transaction_date", "domain", "business_date", "enriched_at")
-    assert curated[0] == {
-        "product": "orders",
+from tests.conftest import INVOICES_CSV, ORDERS_CSV, PAYMENTS_CSV, Bench, event, product
+
+HEADER = "pedido_id,cliente_id,valor_total,data_pedido\n"
+BLANK_AMOUNT = HEADER + "1001,C1,10.00,2026-05-01\n1002,C1,,2026-05-01\n"
+UNKNOWN_CUSTOMER = HEADER + "1001,C1,10.00,2026-05-01\n1002,bad,5.00,2026-05-01\n"
+TABLES = ("raw", "processed", "curated", "rejected", "ingestion_runs", "ingestion_steps", "manifests", "outbox")
+
+
+@pytest.fixture(scope="module")
+def world(spark, tmp_path_factory):
+    b = Bench(spark, tmp_path_factory.mktemp("world"))
+    b.mapping("twice", {
+        "id": "transaction_id", "c": "customer_id", "gross": "amount", "net": "amount", "d": "transaction_date", "z": "o",
+    })
+    b.mapping("partial", {"a": "transaction_id"})
+    b.config(
+        orders=product(),
+        payments=product(mapping_key="de-para/payments-transaction.json"),
+        lenient=product(50, 10),
+        strict=product(1, 0),
+        any=product(100, 100),
+        twice=product(mapping_key="de-para/twice-transaction.json"),
+        partial=product(mapping_key="de-para/partial-transaction.json"),
+        lost=product(mapping_key="de-para/nowhere.json"),
+        wrong=product(101),
+    )
+    files = {
+        "orders-2026-05-01": ORDERS_CSV,
+        "payments-2026-05-01": PAYMENTS_CSV,
+        "invoices-2026-05-01": INVOICES_CSV,
+        "lenient-2026-05-01": BLANK_AMOUNT,
+        "strict-2026-05-01": BLANK_AMOUNT,
+        "lenient-2026-05-02": UNKNOWN_CUSTOMER,
+        "strict-2026-05-02": UNKNOWN_CUSTOMER,
+        "any-2026-05-01": HEADER + "1,C1,1,d\n2,,1,d\n3,bad,1,d\n4,C1,,d\n5,C1,1,d\n6,bad,1,d\n",
+        "any-2026-05-02": HEADER + "1,C1,5,d,surplus\n2,C1\n3,C1,0, \n",
+        "strict-2026-05-03": "pedido_id,Cliente_id,valor_total,extra\n1,C,2,x\n",
+        "strict-2026-05-04": "",
+        "strict-2026-05-05": HEADER,
+        "twice-2026-05-01": "id,c,net,gross,d,z\n1,C1,2,3,x,y\n",
+        "partial-2026-05-01": ORDERS_CSV,
+        "lost-2026-05-01": ORDERS_CSV,
+        "wrong-2026-05-01": ORDERS_CSV,
+    }
+    for name, content in files.items():
+        b.put(name.split("-")[0], f"{name}.csv", content)
+    b.put("drop/batch", "part-0.csv", ORDERS_CSV)
+    b.put("drop/batch", "part-1.csv", ORDERS_CSV.replace("100", "200"))
+    b.put("drop/batch", "_SUCCESS", "")
+    events = [event(n.split("-")[0], n.split("-", 1)[1], run_id=n) for n in files]
+    events += [
+        event(day="2026-05-09", run_id="absent"),
+        event(day="2026-05-10", source_key="drop/batch", run_id="parts"),
+        "garbage",
+        event(day="01-05-2026"),
+    ]
+    b.batch = b.ingest(*events, lookups=b.reference("C1", "C001", "C002"))
+    publish_zones(b.lake, b.configs(), b.lake.read("curated"), b.lake.read("rejected"), "0")
+    b.runs = {r["execution_id"]: r for r in b.rows("ingestion_runs")}
+    b.steps = {(s["execution_id"], s["step_order"]): s for s in b.rows("ingestion_steps")}
+    b.messages = b.rows("outbox")
+    return b
+
+
+def of(world, table, run):
+    return [r for r in world.rows(table) if r["run_id"] == run]
+
+
+def outbox(world, run):
+    return [json.loads(m["payload"]) for m in world.messages if m["run_id"] == run]
+
+
+def test_configured_files_reach_curated(world):
+    first = min(of(world, "curated", "orders-2026-05-01"), key=lambda r: r["row_number"])
+    assert {k: first[k] for k in ("transaction_id", "customer_id", "amount", "transaction_date", "domain", "product", "business_date", "enriched_at")} == {
         "transaction_id": "1001",
         "customer_id": "C001",
         "amount": "159.90",
         "transaction_date": "2026-05-01",
         "domain": "transaction",
+        "product": "orders",
         "business_date": "2026-05-01",
         "enriched_at": "2026-05-02T08:00:00+00:00",
-    }
-    runs = {r["product"]: r for r in bench.rows("ingestion_runs")}
-    assert {p: r["status"] for p, r in runs.items()} == {"orders": "SUCCEEDED", "payments": "SUCCEEDED", "invoices": "FAILED"}
-    assert runs["invoices"]["failure_step"] == "ValidateEvent" and runs["invoices"]["domain"] == "unknown"
-    assert runs["orders"]["total_records"] == runs["orders"]["processed_records"] == 2
-    steps = bench.rows("ingestion_steps", "product", "step_order", "step_name", "status")
-    assert [s["step_order"] for s in steps if s["product"] == "orders"] == [1, 2, 3, 4]
-    assert [s["step_name"] for s in steps if s["product"] == "invoices"] == ["InitExecution"]
-    landing = [s for s in bench.rows("ingestion_steps") if s["step_name"] == "LandingGlue" and s["product"] == "orders"]
-    assert landing[0]["file_size_bytes"] == len(ORDERS_CSV.encode())
-    assert [m["product"] for m in bench.rows("manifests", "product")] == ["orders", "payments"]
-
-    publish_zones(bench.lake, bench.configs(), bench.lake.read("curated"), bench.lake.read("rejected"), "0")
-    messages = bench.rows("outbox")
-    counts = {d: sum(m["destination"] == d for m in messages) for d in ("billing-events", "analytics-events", "crm-events")}
-    assert counts == {"billing-events": 4, "analytics-events": 4, "crm-events": 0}
-    assert {json.loads(m["payload"])["record"]["domain"] for m in messages} == {"transaction"}
-    evidence = {r.product: (r.status, r.steps) for r in facts.evidence(batch.states).collect()}
-    assert evidence["invoices"] == ("FAIL", "InitExecution:OK, ValidateEvent:FAIL")
-    assert evidence["orders"][1].endswith("S3Notification:OK, Manifest:OK, FinalizeExecution:OK")
-
-
-def test_reject_under_threshold(bench):
-    bench.config(orders=product(50, 10))
-    bench.put("orders", "orders-2026-05-01.csv", BLANK_AMOUNT)
-    bench.ingest(event(run_id="r1"))
-    assert [r["transaction_id"] for r in bench.rows("curated")] == ["1001"]
-    (bad,) = bench.rows("rejected")
+    }
+    for name in ("orders-2026-05-01", "payments-2026-05-01"):
+        run = world.runs[name]
+        assert (run["status"], run["total_records"], run["processed_records"]) == ("SUCCEEDED", 2, 2)
+        assert len(of(world, "raw", name)) == 3 and len(of(world, "processed", name)) == 2  # raw keeps the header line
+        assert [(name, i) in world.steps for i in (1, 2, 3, 4)] == [True] * 4
+    assert world.steps["orders-2026-05-01", 2]["file_size_bytes"] == len(ORDERS_CSV.encode())
+    assert world.runs["orders-2026-05-01"]["curated_path"] == (
+        "s3://data-lake/curated/orders/year=2026/month=05/day=01/orders-2026-05-01/orders-2026-05-01.parquet"
+    )
+
+
+def test_each_record_goes_to_each_destination(world):
+    for name in ("orders-2026-05-01", "payments-2026-05-01"):
+        sent = outbox(world, name)
+        assert sorted(m["destination"] for m in sent) == ["analytics-events"] * 2 + ["billing-events"] * 2
+        assert {m["record"]["domain"] for m in sent} == {"transaction"}
+        assert sent[0]["source"]["key"].startswith("curated/" + name.split("-")[0])
+
+
+def test_unconfigured_product_fails_validation_without_a_message(world):
+    run = world.runs["invoices-2026-05-01"]
+    assert (run["status"], run["failure_step"], run["domain"]) == ("FAILED", "ValidateEvent", "unknown")
+    assert run["error_message"] == "product not configured: invoices"
+    assert world.steps["invoices-2026-05-01", 1]["status"] == "SUCCEEDED" and ("invoices-2026-05-01", 2) not in world.steps
+    assert outbox(world, "invoices-2026-05-01") == []
+    assert "between 0 and 100" in world.runs["wrong-2026-05-01"]["error_message"]
+    assert outbox(world, "wrong-2026-05-01") == []
+
+
+def test_reject_under_threshold(world):
+    name = "lenient-2026-05-01"
+    assert [r["transaction_id"] for r in of(world, "curated", name)] == ["1001"]
+    (bad,) = of(world, "rejected", name)
     assert (bad["stage"], bad["row_number"], bad["reason"]) == ("harmonization", 2, "missing domain fields: amount")
     assert json.loads(bad["raw_row"]) == {
-        "pedido_id": "1002", "cliente_id": "C2", "valor_total": "", "data_pedido": "2026-05-01"
+        "pedido_id": "1002", "cliente_id": "C1", "valor_total": "", "data_pedido": "2026-05-01"
     }
-    (run,) = bench.rows("ingestion_runs")
+    run = world.runs[name]
     assert (run["status"], run["processed_records"], run["rejected_records"]) == ("SUCCEEDED", 1, 1)
-    step = next(s for s in bench.rows("ingestion_steps") if s["step_order"] == 3)
+    step = world.steps[name, 3]
     assert (step["rule_result"], step["threshold_value"], step["measured_value"]) == ("FAILED", "50.0", "50.0")
-    publish_zones(bench.lake, bench.configs(), bench.lake.read("curated"), bench.lake.read("rejected"), "0")
-    quality = [m for m in bench.rows("outbox") if m["destination"] == "data-quality-events"]
+    quality = [m for m in outbox(world, name) if m["destination"] == "data-quality-events"]
     assert [m["event_type"] for m in quality] == ["ingestion.records-rejected"]
-    assert json.loads(quality[0]["payload"])["rejected_record"]["raw_row"]["valor_total"] == ""
+    assert quality[0]["rejected_record"]["raw_row"]["valor_total"] == ""
 
 
-def test_reject_over_threshold_stops_the_run(bench):
-    bench.config(orders=product(1, 0))
-    bench.put("orders", "orders-2026-05-01.csv", BLANK_AMOUNT)
-    bench.ingest(event(run_id="r1"))
-    assert bench.rows("processed") == bench.rows("curated") == bench.rows("manifests") == []
-    assert len(bench.rows("rejected")) == 1
-    (run,) = bench.rows("ingestion_runs")
+def test_reject_over_threshold_stops_the_run(world):
+    name = "strict-2026-05-01"
+    assert of(world, "processed", name) == of(world, "curated", name) == of(world, "manifests", name) == []
+    assert len(of(world, "rejected", name)) == 1
+    run = world.runs[name]
     assert (run["status"], run["failure_step"]) == ("FAILED", "HarmonizationGlue")
-    assert run["error_message"].startswith("rejected rows exceeded threshold: 1/2 rows; limits 1.0% or 0 rows; rejected=s3://")
-    step = next(s for s in bench.rows("ingestion_steps") if s["step_order"] == 3)
-    # one failed row with true counts and the rejection block
+    assert run["error_message"].startswith(
+        "rejected rows exceeded threshold: 1/2 rows; limits 1.0% or 0 rows; rejected=s3://data-lake/rejected/harmonization/"
+    )
+    step = world.steps[name, 3]  # one failed row with true counts and the rejection block
     assert (step["status"], step["input_records"], step["rejected_records"]) == ("FAILED", 2, 1)
     assert (step["rejection_percent"], step["error_code"]) == (50.0, "harmonization_failed")
-    (message,) = bench.rows("outbox")
-    payload = json.loads(message["payload"])
-    assert payload["event_type"] == "ingestion.file-failed" and payload["rows"] == {"rejected": 1, "total": 2}
-
-
-@pytest.mark.parametrize("percent, count, stopped", [(50, 10, False), (1, 0, True)])
-def test_enrichment_lookup(bench, percent, count, stopped):
-    bench.config(orders=product(percent, count))
-    bench.put("orders", "orders-2026-05-01.csv", BLANK_AMOUNT.replace("C2,,", "bad,5,"))
-    bench.ingest(event(run_id="r1"), lookups=bench.reference("C1"))
-    assert [r["customer_id"] for r in bench.rows("curated")] == ([] if stopped else ["C1"])
-    (bad,) = bench.rows("rejected")
+    failed = [m for m in outbox(world, name) if m["event_type"] == "ingestion.file-failed"]
+    assert [m["rows"] for m in failed] == [{"rejected": 1, "total": 2}]
+
+
+@pytest.mark.parametrize("name, stopped", [("lenient-2026-05-02", False), ("strict-2026-05-02", True)])
+def test_enrichment_lookup(world, name, stopped):
+    assert [r["customer_id"] for r in of(world, "curated", name)] == ([] if stopped else ["C1"])
+    (bad,) = of(world, "rejected", name)
     assert (bad["stage"], bad["row_number"], bad["reason"]) == ("enrichment", 2, "customer not found in enrichment base")
-    step = next(s for s in bench.rows("ingestion_steps") if s["step_order"] == 4)
+    step = world.steps[name, 4]
     assert (step["status"], step["rejection_category"]) == ("FAILED" if stopped else "SUCCEEDED", "enrichment_lookup")
-    (run,) = bench.rows("ingestion_runs")
+    run = world.runs[name]
     assert run["processed_records"] == 2 and run["failure_step"] == ("EnrichmentBatch" if stopped else "")
+    assert run["curated_path"] == "" or not stopped
 
 
-def test_enrichment_numbers_count_processed_records(bench):
-    bench.config(orders=product(100, 100))
-    rows = ["1,C1,1,d", "2,,1,d", "3,bad,1,d", "4,C1,,d", "5,C1,1,d", "6,bad,1,d"]
-    bench.put("orders", "orders-2026-05-01.csv", "pedido_id,cliente_id,valor_total,data_pedido\n" + "\n".join(rows))
-    bench.ingest(event(run_id="r1"), lookups=bench.reference("C1"))
-    got = {(r["stage"], r["row_number"]) for r in bench.rows("rejected")}
+def test_enrichment_numbers_count_processed_records(world):
+    got = {(r["stage"], r["row_number"]) for r in of(world, "rejected", "any-2026-05-01")}
     assert got == {("harmonization", 2), ("harmonization", 4), ("enrichment", 2), ("enrichment", 4)}
+    paths = world.runs["any-2026-05-01"]["rejected_path"].split(", ")
+    assert ["/harmonization/" in paths[0], "/enrichment/" in paths[1]] == [True, True]
 
 
-def test_user_hook_rejects_rows(bench):
-    from pyspark.sql import functions as F
-
-    bench.config(orders=product(100, 100))
-    bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV)
-    low = F.when(F.col("amount").cast("double") < 100, F.lit("amount too low"))
-    bench.ingest(event(run_id="r1"), hook=lambda df: df.withColumn("reject_reason", low))
-    assert [r["reason"] for r in bench.rows("rejected")] == ["amount too low"]
-    step = next(s for s in bench.rows("ingestion_steps") if s["step_order"] == 4)
-    assert step["rejection_reason"] == "amount too low"
+def test_short_long_and_space_cells(world):
+    got = sorted((r["transaction_id"], r["amount"], r["transaction_date"]) for r in of(world, "curated", "any-2026-05-02"))
+    assert got == [("1", "5", "d"), ("3", "0", " ")]
+    (bad,) = of(world, "rejected", "any-2026-05-02")
+    assert bad["reason"] == "missing domain fields: amount, transaction_date"
+    assert bad["raw_row"] == '{"cliente_id":"C1","data_pedido":null,"pedido_id":"2","valor_total":null}'
 
 
-def test_schema_drift_fails_once_with_both_blocks(bench):
-    bench.put("orders", "orders-2026-05-01.csv", "pedido_id,Cliente_id,valor_total,extra\n1,C,2,x\n")
-    bench.ingest(event(run_id="r1"))
-    (step,) = [s for s in bench.rows("ingestion_steps") if s["step_order"] == 3]
+def test_schema_drift_fails_once_with_both_blocks(world):
+    name = "strict-2026-05-03"
+    step = world.steps[name, 3]
     assert step["error_code"] == "harmonization_schema_failed" and step["validation_result"] == "FAILED"
     assert step["missing_columns"] == "cliente_id, data_pedido"
     assert step["error_message"] == "file missing source columns: cliente_id, data_pedido"
-    (failure,) = bench.rows("rejected")
+    (failure,) = of(world, "rejected", name)
     assert (failure["stage"], failure["reason"]) == ("file-failed", step["error_message"])
-    (message,) = bench.rows("outbox")
-    payload = json.loads(message["payload"])
-    assert payload["rows"] == {} and payload["source"]["key"].startswith("rejected/file-failed/orders/")
-    # the failure record itself is not published as a rejected record
-    publish_zones(bench.lake, bench.configs(), bench.lake.read("curated"), bench.lake.read("rejected"), "1")
-    assert len(bench.rows("outbox")) == 1
+    # the failure record is announced once, not a second time as a rejected record
+    (message,) = outbox(world, name)
+    assert message["event_type"] == "ingestion.file-failed" and message["rows"] == {}
+    assert message["source"]["key"].startswith("rejected/file-failed/strict/")
 
 
-@pytest.mark.parametrize("content", ["", "pedido_id,cliente_id,valor_total,data_pedido\n"])
-def test_file_without_records_misses_every_column(bench, content):
-    bench.put("orders", "orders-2026-05-01.csv", content)
-    bench.ingest(event(run_id="r1"))
-    (run,) = bench.rows("ingestion_runs")
+@pytest.mark.parametrize("name", ["strict-2026-05-04", "strict-2026-05-05"])
+def test_file_without_records_misses_every_column(world, name):
+    run = world.runs[name]
     assert run["error_message"] == "file missing source columns: pedido_id, cliente_id, valor_total, data_pedido"
+    assert world.steps[name, 2]["status"] == "SUCCEEDED"
 
 
-def test_missing_source_file_fails_landing(bench):
-    bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV)
-    bench.ingest(event(run_id="r1"), event(day="2026-05-02", run_id="r2"))
-    runs = {r["execution_id"]: r for r in bench.rows("ingestion_runs")}
-    assert runs["r1"]["status"] == "SUCCEEDED"
-    assert runs["r2"]["failure_step"] == "LandingGlue" and "s3 object not found" in runs["r2"]["error_message"]
-    assert [m["run_id"] for m in bench.rows("outbox")] == ["r2"]
+def test_missing_source_file_fails_landing(world):
+    run = world.runs["absent"]
+    assert run["failure_step"] == "LandingGlue"
+    assert run["error_message"] == "s3 object not found: s3://product-lake/orders/orders-2026-05-09.csv"
+    assert world.steps["absent", 2]["error_code"] == "landing_failed"
+    assert [m["event_type"] for m in outbox(world, "absent")] == ["ingestion.file-failed"]
 
 
-def test_batch_of_missing_files_only(bench):
-    bench.put("payments", "other.csv", PAYMENTS_CSV)
-    bench.ingest(event(run_id="r1"))
-    assert [r["failure_step"] for r in bench.rows("ingestion_runs")] == ["LandingGlue"]
+def test_invalid_and_missing_mapping(world):
+    error = world.runs["partial-2026-05-01"]["error_message"]
+    assert error == "mapping for partial missing domain fields: customer_id, amount, transaction_date"
+    assert world.runs["lost-2026-05-01"]["error_message"] == "s3 object not found: s3://data-lake/de-para/nowhere.json"
+    assert world.runs["lost-2026-05-01"]["failure_step"] == "HarmonizationGlue"
 
 
-def test_invalid_and_missing_mapping(bench):
-    bench.mapping("orders", {"a": "transaction_id"})
-    bench.config(orders=product(), payments=product(mapping_key="de-para/nowhere.json"))
-    bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV)
-    bench.put("payments", "payments-2026-05-01.csv", PAYMENTS_CSV)
-    bench.ingest(event(), event("payments"))
-    errors = {r["product"]: r["error_message"] for r in bench.rows("ingestion_runs")}
-    assert errors["orders"] == "mapping for orders missing domain fields: customer_id, amount, transaction_date"
-    assert errors["payments"] == "s3 object not found: s3://data-lake/de-para/nowhere.json"
+def test_last_source_column_wins_for_a_domain_field(world):
+    assert [r["amount"] for r in of(world, "curated", "twice-2026-05-01")] == ["2"]
 
 
-def test_last_source_column_wins_for_a_domain_field(bench):
-    layout = {"id": "transaction_id", "c": "customer_id", "gross": "amount", "net": "amount", "d": "transaction_date", "z": "other"}
-    bench.mapping("orders", layout)
-    bench.put("orders", "orders-2026-05-01.csv", "id,c,net,gross,d,z\n1,C,2,3,x,y\n")
-    bench.ingest(event())
-    assert [r["amount"] for r in bench.rows("curated")] == ["2"]
+def test_source_key_override_and_part_folder(world):
+    got = sorted((r["row_number"], r["transaction_id"]) for r in of(world, "curated", "parts"))
+    assert got == [(1, "1001"), (2, "1002"), (3, "2001"), (4, "2002")]
+    assert world.runs["parts"]["source_key"] == "drop/batch"
 
 
-def test_source_key_override_and_part_folder(bench):
-    bench.put("drop/batch", "part-0.csv", ORDERS_CSV)
-    bench.put("drop/batch", "part-1.csv", ORDERS_CSV.replace("100", "200"))
-    bench.put("drop/batch", "_SUCCESS", "")
-    bench.ingest(event(source_key="drop/batch", run_id="r1"))
-    got = bench.rows("curated", "row_number", "transaction_id")
-    assert [(r["row_number"], r["transaction_id"]) for r in got] == [(1, "1001"), (2, "1002"), (3, "2001"), (4, "2002")]
+def test_malformed_events_are_quarantined(world):
+    assert {r["reason"] for r in world.rows("quarantine")} == {
+        "message is not EventBridge file-ready event",
+        "business_date must use YYYY-MM-DD",
+    }
+    assert len(world.runs) == 18
 
 
-def test_replayed_batch_changes_nothing(bench):
-    bench.config(orders=product(50, 10))
-    bench.put("orders", "orders-2026-05-01.csv", BLANK_AMOUNT)
-    tables = ("raw", "processed", "curated", "rejected", "ingestion_runs", "ingestion_steps", "manifests", "outbox")
-    bench.ingest(event(run_id="r1"), event(run_id="r1"), batch_id="7")
-    first = {t: bench.rows(t) for t in tables}
-    bench.ingest(event(run_id="r1"), batch_id="7")
-    assert {t: bench.rows(t) for t in tables} == first
+def test_evidence(world):
+    got = {r.run_id: (r.status, r.steps) for r in facts.evidence(world.batch.states).collect()}
+    assert got["invoices-2026-05-01"] == ("FAIL", "InitExecution:OK, ValidateEvent:FAIL")
+    assert got["absent"] == ("FAIL", "InitExecution:OK, ProductConfig:OK, LandingGlue:FAIL")
+    assert got["orders-2026-05-01"][1].endswith("S3Notification:OK, Manifest:OK, FinalizeExecution:OK")
 
 
-def test_redelivered_run_keeps_its_last_facts(bench):
-    bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV)
-    bench.ingest(event(run_id="r1"), batch_id="1")
-    bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV + "1003,C3,5.00,2026-05-01\n")
-    bench.ingest(event(run_id="r1"), batch_id="2", clock="2026-05-03T08:00:00+00:00")
-    assert len(bench.rows("ingestion_runs")) == 2
-    (latest,) = facts.latest_runs(bench.lake.read("ingestion_runs")).collect()
-    assert latest.total_records == 3
-    assert facts.latest_steps(bench.lake.read("ingestion_steps")).count() == 4
+def test_replay_redelivery_and_fan_out(bench):
+    bench.config(orders=product(50, 10))
+    bench.put("orders", "orders-2026-05-01.csv", BLANK_AMOUNT)
+    both = (event(run_id="r1"), event(run_id="r2"))
+    bench.ingest(*both, event(run_id="r1"), batch_id="7")
+    first = {t: bench.rows(t) for t in TABLES}
+    # a replayed batch replaces what it wrote
+    bench.ingest(*both, batch_id="7")
+    assert {t: bench.rows(t) for t in TABLES} == first
+    # two runs of one day repeat rows in the views that join by day, not in the exact ones
+    curated, runs = bench.lake.read("curated"), bench.lake.read("ingestion_runs")
+    assert curated.count() == 2
+    assert views.curated_with_run_context(curated, runs).count() == 4
+    assert views.ingested_with_source(curated, runs).count() == 4
+    assert views.curated_with_run_context_exact(curated, runs).count() == 2
+    assert [r.curated_records for r in reports.curated_with_run_context(curated, runs).collect()] == [4]
+    # a later delivery of a run replaces its rows, and its facts count from then on
+    bench.put("orders", "orders-2026-05-01.csv", BLANK_AMOUNT + "1003,C3,5.00,2026-05-01\n")
+    later = {"batch_id": "8", "clock": "2026-05-03T08:00:00+00:00", "finished": F.lit("2026-05-03T08:01:30+00:00")}
+    bench.ingest(both[0], **later)
+    assert len(bench.rows("ingestion_runs")) == 3
+    latest = {r.execution_id: r for r in facts.latest_runs(bench.lake.read("ingestion_runs")).collect()}
+    assert {k: r.total_records for k, r in latest.items()} == {"r1": 3, "r2": 2}
+    assert latest["r1"].duration_seconds == 90
+    assert facts.latest_steps(bench.lake.read("ingestion_steps")).count() == 8
     assert len(bench.rows("curated")) == 3
 
 
-def test_reingestion_fans_out_parity_views_but_not_exact_ones(bench):
+def test_user_hook_rejects_rows(bench):
+    bench.config(orders=product(100, 100))
     bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV)
-    bench.ingest(event(run_id="r1"), event(run_id="r2"))
-    curated, runs = bench.lake.read("curated"), bench.lake.read("ingestion_runs")
-    assert curated.count() == 4
-    assert views.curated_with_run_context(curated, runs).count() == 8
-    assert views.ingested_with_source(curated, runs).count() == 8
-    assert views.curated_with_run_context_exact(curated, runs).count() == 4
-    (row,) = reports.curated_with_run_context(curated, runs).collect()
-    assert row.curated_records == 8
+    low = F.when(F.col("amount").cast("double") < 100, F.lit("amount too low"))
+    bench.ingest(event(run_id="r1"), hook=lambda df: df.withColumn("reject_reason", low))
+    assert [r["reason"] for r in bench.rows("rejected")] == ["amount too low"]
+    step = next(s for s in bench.rows("ingestion_steps") if s["step_order"] == 4)
+    assert step["rejection_reason"] == "amount too low"
 
 
-def test_empty_lake_answers_every_view_and_report(bench):
+def test_empty_lake_and_batch_of_missing_files(bench):
     for build, inputs in {**views.VIEWS, **reports.REPORTS}.values():
-        assert build(*[bench.lake.read(t) for t in inputs]).count() == 0
-
-
-def test_duration_follows_the_clocks(bench):
-    from pyspark.sql import functions as F
-
-    bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV)
-    bench.ingest(event(), finished=F.lit("2026-05-02T08:01:30+00:00"))
-    assert bench.rows("ingestion_runs")[0]["duration_seconds"] == 90
-
-
-def test_malformed_events_are_quarantined(bench):
-    bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV)
-    bench.ingest(event(), "garbage", event(day="01-05-2026"))
-    assert len(bench.rows("ingestion_runs")) == 1
-    assert {r["reason"] for r in bench.rows("quarantine")} == {
-        "message is not EventBridge file-ready event",
-        "business_date must use YYYY-MM-DD",
-    }
+        assert build(*[bench.lake.read(t) for t in inputs]).isEmpty()
+    bench.put("payments", "other.csv", PAYMENTS_CSV)
+    bench.ingest(event(run_id="r1"))
+    assert [r["failure_step"] for r in bench.rows("ingestion_runs")] == ["LandingGlue"]
