@@ -29,7 +29,7 @@ def check_lookups(processed: DataFrame, lookups: Sequence[Lookup], hook: Hook |
     """Add ``reject_reason``: the first lookup that misses, then the user's own rule, or NULL.
 
     ``hook`` maps a frame to one with a nullable ``reject_reason`` column, so custom rules stay set-wise. Small
-    references broadcast; for larger ones the shuffled result is written once, since three readers follow.
+    references broadcast; for larger ones the shuffled result is written once, since two readers follow.
     """
     checked, reasons, shuffled = processed, [], False
     for i, lookup in enumerate(lookups):
@@ -47,28 +47,49 @@ def check_lookups(processed: DataFrame, lookups: Sequence[Lookup], hook: Hook |
     return stage(checked.hint("rebalance", F.col("run_id")), "lookups") if shuffled else checked
 
 
-def counts(checked: DataFrame, clock: Column) -> DataFrame:
-    """Per run: records, rejects, bytes of the enriched records, and the first reject's position for its reason."""
+def counts(checked: DataFrame) -> DataFrame:
+    """Per run: records and rejects."""
     bad = F.col("reject_reason").isNotNull()
-    enriched = {
-        **{f: F.col(f) for f in (*DOMAIN_FIELDS, "product", "business_date")},
-        "domain": F.lit(DOMAIN),
-        "enriched_at": clock,
-    }
-    return checked.groupBy("run_id").agg(
+    return checked.groupBy("run_id").agg(F.count(F.lit(1)).alias("total"), F.count_if(bad).alias("rejected"))
+
+
+def _enriched_bytes(clock: Column) -> Column:
+    kept = {f: F.col(f) for f in (*DOMAIN_FIELDS, "product", "business_date")}
+    return json_line_bytes({**kept, "domain": F.lit(DOMAIN), "enriched_at": clock})
+
+
+def sizes(processed: DataFrame, clock: Column) -> DataFrame:
+    """Per run: processed records, and their bytes as JSON lines before and after enrichment. Needs no lookup."""
+    own = json_line_bytes({f: F.col(f) for f in DOMAIN_FIELDS})
+    return processed.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(bad).alias("rejected"),
-        F.sum(F.when(~bad, json_line_bytes(enriched))).alias("accepted_bytes"),
-        F.min(F.when(bad, F.col("row_number"))).alias("first_rejected"),
+        F.sum(own).alias("processed_bytes"),
+        F.sum(_enriched_bytes(clock)).alias("_all_bytes"),
     )
 
 
-def with_first_reason(counted: DataFrame, checked: DataFrame) -> DataFrame:
-    """Reason of each run's first reject, fetched by its position."""
-    first = checked.filter("reject_reason is not null").select(
-        "run_id", F.col("row_number").alias("first_rejected"), F.col("reject_reason").alias("first_reason")
+def reject_counts(sized: DataFrame, bad: DataFrame, clock: Column) -> DataFrame:
+    """Complete the sizes with the rejects: their number, what is left in bytes, and the first one's reason.
+
+    ``bad`` is read twice, so pass it staged; it holds the rejects only.
+    """
+    per_run = bad.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("rejected"),
+        F.sum(_enriched_bytes(clock)).alias("_bad_bytes"),
+        F.min("row_number").alias("row_number"),
+    )
+    first = bad.select("run_id", "row_number", F.col("reason").alias("first_reason"))
+    zero = F.lit(0).cast("bigint")
+    return (
+        sized.join(per_run.join(first, ["run_id", "row_number"]), "run_id", "left")
+        .withColumns(
+            {
+                "rejected": F.coalesce("rejected", zero),
+                "accepted_bytes": F.col("_all_bytes") - F.coalesce("_bad_bytes", zero),
+            }
+        )
+        .drop("row_number", "_all_bytes", "_bad_bytes")
     )
-    return counted.join(first, ["run_id", "first_rejected"], "left").drop("first_rejected")
 
 
 def accepted(checked: DataFrame) -> DataFrame:

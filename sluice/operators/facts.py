@@ -76,13 +76,12 @@ def harmonize_states(
         "run_id",
         F.col("total").alias("h_total"),
         F.col("rejected").alias("h_rejected"),
-        F.col("accepted_bytes").alias("h_bytes"),
         F.col("first_reason").alias("h_reason"),
     )
     joined = contexts.join(files, "run_id", "left").join(schemas, "run_id", "left").join(counted, "run_id", "left")
     zero = F.lit(0).cast("bigint")
     s = joined.withColumns(
-        {c: F.coalesce(c, zero) for c in ("h_total", "h_rejected", "h_bytes")} | _keys(names)
+        {c: F.coalesce(c, zero) for c in ("h_total", "h_rejected")} | _keys(names)
     )
     over = exceeded(F.col("h_rejected"), F.col("h_total"), F.col("max_error_percent"), F.col("max_error_count"))
     usable = F.coalesce("schema_ok", F.lit(False))
@@ -123,12 +122,13 @@ def run_states(states: DataFrame, counts: DataFrame, names: LakeNames = NAMES) -
         "run_id",
         F.col("total").alias("e_total"),
         F.col("rejected").alias("e_rejected"),
+        F.col("processed_bytes").alias("h_bytes"),
         F.col("accepted_bytes").alias("e_bytes"),
         F.col("first_reason").alias("e_reason"),
     )
     zero = F.lit(0).cast("bigint")
     s = states.join(counted, "run_id", "left").withColumns(
-        {c: F.coalesce(c, zero) for c in ("e_total", "e_rejected", "e_bytes")}
+        {c: F.coalesce(c, zero) for c in ("e_total", "e_rejected", "h_bytes", "e_bytes")}
     )
     limits = (F.col("max_error_percent"), F.col("max_error_count"))
     over = F.coalesce(exceeded(F.col("e_rejected"), F.col("e_total"), *limits), F.lit(False))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.contracts import DOMAIN_FIELDS, NAMES, LakeNames
-from sluice.functions import json_line_bytes, object_uri
+from sluice.functions import object_uri
 from sluice.sources.config import validate_mappings
 
 FILE_KEY = ("run_id", "file_path")
@@ -73,11 +73,22 @@ def schema_check(layouts: DataFrame, counts: DataFrame) -> DataFrame:
 
     ``counts``: run_id, total. A run fed by several part files fails if any part lacks a mapped column.
     """
-    per_run = layouts.groupBy("run_id").agg(
-        F.min("mapping_error").alias("mapping_error"),
-        F.array_distinct(F.flatten(F.collect_list("missing"))).alias("missing"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("unexpected")))).alias("unexpected"),
-        F.max("layout_sources").alias("layout_sources"),
+    # a set of names stays as small as the headers, however many part files a run has
+    names = layouts.select("run_id", "mapping_error", "layout_sources", "missing", "unexpected")
+    gaps = names.select("run_id", F.explode("missing").alias("name")).groupBy("run_id")
+    extras = names.select("run_id", F.explode("unexpected").alias("name")).groupBy("run_id")
+    empty = F.array().cast("array<string>")
+    per_run = (
+        names.groupBy("run_id")
+        .agg(F.min("mapping_error").alias("mapping_error"), F.max("layout_sources").alias("layout_sources"))
+        .join(gaps.agg(F.collect_set("name").alias("_gaps")), "run_id", "left")
+        .join(extras.agg(F.array_sort(F.collect_set("name")).alias("unexpected")), "run_id", "left")
+        .withColumns(
+            {
+                "missing": F.array_intersect("layout_sources", F.coalesce("_gaps", empty)),
+                "unexpected": F.coalesce("unexpected", empty),
+            }
+        )
     )
     missing = F.when(F.coalesce("total", F.lit(0)) == 0, F.col("layout_sources")).otherwise(F.col("missing"))
     return (
@@ -135,20 +146,26 @@ def rejected(classified: DataFrame) -> DataFrame:
     )
 
 
+def _measures() -> list[Column]:
+    """Rejects and the first one's place and mask in one number, so that hash aggregation pre-combines."""
+    bad = F.col("mask") > 0
+    first = F.min(F.when(bad, F.col("row_number") * _CODE + F.col("mask")))
+    return [F.count_if(bad).alias("rejected"), first.alias("_first")]
+
+
+def _with_reason(counted: DataFrame) -> DataFrame:
+    return counted.withColumn("first_reason", mask_reason(F.col("_first") % _CODE)).drop("_first")
+
+
 def counts(classified: DataFrame) -> DataFrame:
-    """Per run: records, rejects, bytes of the accepted records as JSON lines and the first reject's reason.
+    """Per run: records, rejects and the first reject's reason."""
+    return _with_reason(classified.groupBy("run_id").agg(F.count(F.lit(1)).alias("total"), *_measures()))
 
-    Numbers only, so hash aggregation combines them before the shuffle.
-    """
-    bad = F.col("mask") > 0
-    return (
-        classified.groupBy("run_id")
-        .agg(
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(bad).alias("rejected"),
-            F.sum(F.when(~bad, json_line_bytes({f: F.col(f) for f in DOMAIN_FIELDS}))).alias("accepted_bytes"),
-            F.min(F.when(bad, F.col("row_number") * _CODE + F.col("mask"))).alias("_first"),
-        )
-        .withColumn("first_reason", mask_reason(F.col("_first") % _CODE))
-        .drop("_first")
+
+def reject_counts(totals: DataFrame, bad: DataFrame) -> DataFrame:
+    """The same counts when the totals are known (run_id, total) and only the rejects are at hand."""
+    per_run = bad.groupBy("run_id").agg(*_measures())
+    counted = totals.join(per_run, "run_id", "left").withColumn(
+        "rejected", F.coalesce("rejected", F.lit(0).cast("bigint"))
     )
+    return _with_reason(counted)

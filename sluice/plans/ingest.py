@@ -30,7 +30,7 @@ class FileSource:
 
     def land(self, lake: Lake, runs: DataFrame) -> Landed:
         spark = lake.spark
-        found = stage(csv_files.match_files(runs, csv_files.list_source_files(spark, self.root)), "source-files")
+        found = stage(csv_files.match_files(runs, csv_files.list_source_files(spark, self.root, runs)), "source-files")
         empty = csv_files.empty_sources(spark, self.root, runs, found)
         files = stage(found.unionByName(empty), "all-source-files")
         lines = csv_files.landed_lines(spark, files, runs)
@@ -49,13 +49,13 @@ class TableSource:
 
     def land(self, lake: Lake, runs: DataFrame) -> Landed:
         only = runs.select("run_id")
-        frames = (self.landed.rows, self.landed.headers, self.landed.files)
-        rows, headers, files = [f.join(only, "run_id", "left_semi") for f in frames]
+        frames = (self.landed.rows, self.landed.headers, self.landed.files, self.landed.totals)
+        rows, headers, files, totals = [f.join(only, "run_id", "left_semi") for f in frames]
         lines = rows.join(_run_parts(runs), "run_id").withColumns(
             {"block_start": F.lit(0), "pos": F.col("row_number"), "line": F.concat_ws(",", "cells")}
         )
         lake.write("raw", lines)
-        return Landed(rows, headers, files)
+        return Landed(rows, headers, files, totals)
 
 
 @dataclass(frozen=True)
@@ -118,28 +118,31 @@ def ingest(
         harmonize.file_layouts(landed.headers, accepted_runs, harmonize.product_layouts(products, mappings, lake.names)),
         "layouts",
     )
+    schemas = stage(harmonize.schema_check(layouts, landed.totals), "schemas")
     records = harmonized_records(landed, layouts)
-    counted = stage(harmonize.counts(records), "harmonize-counts")
-    schemas = harmonize.schema_check(layouts, counted)
-    half = stage(facts.harmonize_states(runs, landed.files, schemas, counted, lake.names), "harmonize-states")
 
-    bad = harmonize.rejected(records).join(_tags(half, "schema_ok and h_rejected > 0"), "run_id")
+    # first pass over the records: rejects go out whatever the gate decides, and counting them decides the gate
+    usable = schemas.filter("schema_ok").select("run_id")
+    bad = harmonize.rejected(records).join(usable, "run_id", "left_semi").drop("raw_fields", "cells")
+    bad = stage(bad, "harmonize-rejects")
+    counted = harmonize.reject_counts(landed.totals, bad)
+    half = stage(facts.harmonize_states(runs, landed.files, schemas, counted, lake.names), "harmonize-states")
+    # second pass: accepted records of the runs that passed
     good = harmonize.accepted(records).join(_tags(half, "harmonized"), "run_id")
-    run_together(
-        lambda: lake.write("rejected", bad.withColumn("stage", F.lit("harmonization"))),
-        lambda: lake.write("processed", good),
-    )
-
-    filled = _tags(half, "harmonized and h_total > h_rejected")
-    checked = enrich.check_lookups(lake.read_runs("processed", filled), lookups, hook)
-    enriched = enrich.with_first_reason(enrich.counts(checked, clock), checked)
-    states = stage(facts.run_states(half, stage(enriched, "enrich-counts"), lake.names), "states")
-
-    removed = lake.read_runs("rejected", _tags(half, "harmonized and h_rejected > 0"), stage="harmonization")
+    tagged_bad = bad.join(_tags(half, "schema_ok"), "run_id").withColumn("stage", F.lit("harmonization"))
+    run_together(lambda: lake.write("rejected", tagged_bad), lambda: lake.write("processed", good))
+
+    # the same order for enrichment, on the processed zone
+    processed = lake.read_runs("processed", _tags(half, "harmonized and h_total > h_rejected"))
+    checked = enrich.check_lookups(processed, lookups, hook)
+    unknown = stage(enrich.rejected(checked), "enrich-rejects")
+    enriched = enrich.reject_counts(enrich.sizes(processed, clock), unknown, clock)
+    states = stage(facts.run_states(half, enriched, lake.names), "states")
+    removed = bad.select("run_id", "row_number")
     failed_files = facts.file_failures(states).withColumns(
         {**date_parts(F.col("business_day")), "row_number": F.lit(None), "raw_row": F.lit(None)}
     )
-    late_rejects = enrichment_rejects(checked, removed).unionByName(failed_files, allowMissingColumns=True)
+    late_rejects = enrichment_rejects(unknown, removed).unionByName(failed_files, allowMissingColumns=True)
     curated = enrich.enrich(enrich.accepted(checked), clock).join(
         states.filter("curated").select("run_id"), "run_id", "left_semi"
     )
@@ -157,11 +160,10 @@ def ingest(
     return Batch(validated, states)
 
 
-def enrichment_rejects(checked: DataFrame, removed: DataFrame) -> DataFrame:
+def enrichment_rejects(bad: DataFrame, removed: DataFrame) -> DataFrame:
     """Records that failed a lookup, numbered by their place among the processed records."""
     row = F.to_json(F.struct("amount", "customer_id", "transaction_date", "transaction_id"))
-    bad = enrich.rejected(checked).withColumn("raw_row", row)
-    numbered = renumber_without(bad, removed)
+    numbered = renumber_without(bad.withColumn("raw_row", row), removed)
     return numbered.withColumns({"row_number": F.col("position"), "stage": F.lit("enrichment")})
 
 

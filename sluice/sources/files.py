@@ -25,21 +25,33 @@ class Landed:
     """What landing leaves for harmonisation.
 
     rows: run_id, file_path, row_number, cells. headers: run_id, file_path, header.
-    files: run_id, file_size for every run whose source exists.
+    files: run_id, file_size for every run whose source exists. totals: run_id, total records.
     """
 
     rows: DataFrame
     headers: DataFrame
     files: DataFrame
+    totals: DataFrame
 
 
-def list_source_files(spark: SparkSession, root: str) -> DataFrame:
-    """source_key, file_path, file_size of every file under ``root``; contents are not read."""
+def _file_system(spark: SparkSession, root: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_source_files(spark: SparkSession, root: str, runs: DataFrame) -> DataFrame:
+    """source_key, file_path, file_size of the files in the folders the runs' sources lie in; contents stay unread."""
+    folder = F.regexp_extract("source_key", "^(.*)/[^/]*$", 1)
+    fs, path = _file_system(spark, root), spark._jvm.org.apache.hadoop.fs.Path
+    wanted = sorted(f"{root}/{r.folder}".rstrip("/") for r in runs.select(folder.alias("folder")).distinct().collect())
+    folders = [f for f in wanted if fs.exists(path(f))]
+    if not folders:
+        return spark.createDataFrame([], "file_path string, file_size bigint, source_key string")
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .load(root)
+        .load(folders)
         .select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size"))
+        .distinct()  # one folder may lie in another
     )
     marker = re.sub(r"^\w+:/*(?=/)|^\w+://", "", root).rstrip("/") + "/"
     plain = F.url_decode(F.replace(F.col("file_path"), F.lit("+"), F.lit("%2B")))
@@ -60,12 +72,11 @@ def empty_sources(spark: SparkSession, root: str, runs: DataFrame, found: DataFr
 
     Only the runs without any listed file are looked up, one status call each.
     """
-    jvm = spark._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs = _file_system(spark, root)
     unmatched = runs.join(found, "run_id", "left_anti").select("run_id", "source_key")
     rows = []
     for run in unmatched.collect():
-        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{run.source_key}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{run.source_key}")
         if fs.exists(path) and fs.getFileStatus(path).isFile():
             rows.append((path.toString(), 0, run.run_id))
     return spark.createDataFrame(rows, "file_path string, file_size bigint, run_id string")
@@ -146,7 +157,8 @@ def nothing_landed(files: DataFrame) -> Landed:
     spark = files.sparkSession
     rows = spark.createDataFrame([], "run_id string, file_path string, row_number bigint, cells array<string>")
     no_header = F.array().cast("array<string>").alias("header")
-    return Landed(rows, files.select("run_id", "file_path", no_header), sizes(files))
+    totals = spark.createDataFrame([], "run_id string, total bigint")
+    return Landed(rows, files.select("run_id", "file_path", no_header), sizes(files), totals)
 
 
 def parse_landed(lines: DataFrame, files: DataFrame) -> Landed:
@@ -184,6 +196,7 @@ def parse_landed(lines: DataFrame, files: DataFrame) -> Landed:
         .withColumn("first", F.col("first") + is_head.cast("int"))
         .drop("odd", "head_block")
     )
+    counted = data_blocks.groupBy("run_id").agg(F.sum("n").alias("total"))
     bases = stage(block_bases(data_blocks, ["run_id"], ["file_path", "block_start"], "n").drop("n"), "block-bases")
     rows = (
         lines.select(*_BLOCK, "pos", "line")
@@ -199,14 +212,17 @@ def parse_landed(lines: DataFrame, files: DataFrame) -> Landed:
     broken = stage(heads.filter("odd > 0").select("run_id", "file_path"), "multi-line-files")
     paths = _paths(broken)
     if paths:
-        rows = rows.unionByName(_multi_line_rows(broken, paths, width))
+        spanning = _multi_line_rows(broken, paths, width)
+        rows = rows.unionByName(spanning)
+        recounted = spanning.groupBy("run_id").agg(F.count(F.lit(1)).alias("total"))
+        counted = counted.unionByName(recounted).groupBy("run_id").agg(F.sum("total").alias("total"))
     # an empty file has no first line: give it an empty header so that it still gets a verdict
     headers = (
         files.select("run_id", "file_path")
         .join(headers, ["run_id", "file_path"], "left")
         .withColumn("header", F.coalesce("header", F.array().cast("array<string>")))
     )
-    return Landed(rows, headers, sizes(files))
+    return Landed(rows, headers, sizes(files), counted)
 
 
 def _quoted_commas(line: Column) -> Column:

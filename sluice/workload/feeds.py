@@ -188,7 +188,7 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per delivered file with its header and size."""
     files = raw(spark, sf_dir).groupBy("product", "run_id", "file_name", "business_date").agg(
-        F.sum(csv_bytes(F.col("cells"))).alias("_bytes")
+        F.sum(csv_bytes(F.col("cells"))).alias("_bytes"), F.count(F.lit(1)).alias("total")
     )
     sized = files.withColumn("header", header_of(F.col("product"), F.col("business_date")))
     size = F.col("_bytes") + csv_bytes(F.col("header"))
@@ -219,6 +219,7 @@ def landed(spark: SparkSession, sf_dir: str) -> Landed:
         raw(spark, sf_dir).select("run_id", tagged, "row_number", "cells"),
         files.select("run_id", tagged, "header"),
         files.select("run_id", "file_size"),
+        files.select("run_id", "total"),
     )
 
 

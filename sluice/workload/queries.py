@@ -347,11 +347,8 @@ def artifact_paths(spark, sf_dir):
 # --- harmonisation and the first gate ---
 
 
-def _checked(spark, sf_dir):
-    """Records, counts and schema verdicts; the counts (one row per run) are staged."""
-    records = feeds.records(spark, sf_dir)
-    counted = stage(harmonize.counts(records), "counts")
-    return records, counted, harmonize.schema_check(feeds.layouts(spark, sf_dir), counted)
+def _schemas(spark, sf_dir):
+    return harmonize.schema_check(feeds.layouts(spark, sf_dir), feeds.landed(spark, sf_dir).totals)
 
 
 def _valid_records(spark, sf_dir):
@@ -363,8 +360,7 @@ def _valid_records(spark, sf_dir):
 
 @query
 def schema_check(spark, sf_dir):
-    _, _, schemas = _checked(spark, sf_dir)
-    return schemas.select("run_id", "schema_ok", "missing_columns", "unexpected_columns")
+    return _schemas(spark, sf_dir).select("run_id", "schema_ok", "missing_columns", "unexpected_columns")
 
 
 @query
@@ -409,9 +405,10 @@ def processed(spark, sf_dir):
 
 @query
 def harmonize_step(spark, sf_dir):
-    _, counted, schemas = _checked(spark, sf_dir)
-    files = feeds.landed(spark, sf_dir).files
-    half = facts.harmonize_states(feeds.contexts(spark, sf_dir), files, schemas, counted)
+    landed = feeds.landed(spark, sf_dir)
+    bad = harmonize.rejected(_valid_records(spark, sf_dir)).select("run_id", "row_number", "mask")
+    counted = harmonize.reject_counts(landed.totals, bad)
+    half = facts.harmonize_states(feeds.contexts(spark, sf_dir), landed.files, _schemas(spark, sf_dir), counted)
     settled = facts.run_states(stage(half, "half"), _no_counts(spark))
     clock = F.lit(feeds.CLOCK)
     return facts.harmonize_steps(settled, clock, clock).select(
@@ -421,9 +418,8 @@ def harmonize_step(spark, sf_dir):
 
 
 def _no_counts(spark):
-    return spark.createDataFrame(
-        [], "run_id string, total bigint, rejected bigint, accepted_bytes bigint, first_reason string"
-    )
+    columns = "run_id string, total bigint, rejected bigint, processed_bytes bigint, accepted_bytes bigint"
+    return spark.createDataFrame([], f"{columns}, first_reason string")
 
 
 # --- enrichment and the second gate ---
@@ -435,8 +431,7 @@ def _lookups(spark, sf_dir):
 
 
 def _second_gate(spark, sf_dir, checked):
-    counted = enrich.counts(checked, F.lit(feeds.CLOCK))
-    return gate.threshold_gate(counted, feeds.contexts(spark, sf_dir))
+    return gate.threshold_gate(enrich.counts(checked), feeds.contexts(spark, sf_dir))
 
 
 @query
@@ -446,17 +441,20 @@ def enrich_lookup_accepted(spark, sf_dir):
 
 @query
 def enrich_lookup_rejected(spark, sf_dir):
-    checked = _lookups(spark, sf_dir)
+    bad = enrich.rejected(_lookups(spark, sf_dir)).drop("raw_fields", "cells", "file_path")
     removed = harmonize.rejected(_valid_records(spark, sf_dir)).select("run_id", "row_number")
-    rows = enrichment_rejects(checked.drop("raw_fields", "cells", "file_path"), removed)
+    rows = enrichment_rejects(bad, removed)
     return rows.withColumn("row_number", F.col("row_number").cast("int")).select(*_REJECT)
 
 
 @query
 def enrich_step(spark, sf_dir):
-    checked = _lookups(spark, sf_dir)
-    verdicts = _second_gate(spark, sf_dir, checked)
-    return enrich.with_first_reason(verdicts, checked).select(
+    clock = F.lit(feeds.CLOCK)
+    rows = _processed(spark, sf_dir).drop("raw_fields", "cells", "file_path")
+    checked = enrich.check_lookups(rows, [enrich.Lookup(feeds.reference(spark, sf_dir))])
+    bad = stage(enrich.rejected(checked), "enrich-rejects")
+    counted = enrich.reject_counts(enrich.sizes(rows, clock), bad, clock)
+    return gate.threshold_gate(counted, feeds.contexts(spark, sf_dir)).select(
         *["run_id", "total", "rejected", "rejected_percent", "exceeded", "first_reason", "accepted_bytes"]
     )
 

@@ -20,6 +20,8 @@ def land(bench, files, **conf):
     records = {name: [] for name in files}
     for r in landed.rows.orderBy("run_id", "row_number").collect():
         records[r.run_id].append((r.row_number, r.cells))
+    totals = {r.run_id: r.total for r in landed.totals.collect()}
+    assert all(totals.get(name, 0) == len(numbered) for name, numbered in records.items())
     for name, numbered in records.items():
         assert [n for n, _ in numbered] == list(range(1, len(numbered) + 1)), name
     return headers, {name: [c for _, c in numbered] for name, numbered in records.items()}
