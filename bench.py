@@ -24,19 +24,13 @@ HEADLINE = (
     "processed",
     "curated",
     "enrich_lookup_rejected",
-    "row_ordinals",
     "scan_raw",
     "outbox_domain_record_ready",
-    "outbox_payload_json",
     "vw_curated_with_run_context",
-    "vw_rejected_with_context",
-    "curated_with_run_context",
     "ingestion_steps",
     "vw_ingestion_status_by_day",
     "event_envelope",
-    "events_validated",
     "route_messages",
-    "publish_summary",
 )
 
 

@@ -119,12 +119,12 @@ def ingest(
         "layouts",
     )
     schemas = stage(harmonize.schema_check(layouts, landed.totals), "schemas")
-    records = harmonized_records(landed, layouts)
+    # files that fail their schema check drop out here, with the join that resolves the layouts
+    usable = layouts.join(schemas.filter("schema_ok").select("run_id"), "run_id", "left_semi")
+    records = harmonized_records(landed, stage(usable, "usable-layouts"))
 
     # first pass over the records: rejects go out whatever the gate decides, and counting them decides the gate
-    usable = schemas.filter("schema_ok").select("run_id")
-    bad = harmonize.rejected(records).join(usable, "run_id", "left_semi").drop("raw_fields", "cells")
-    bad = stage(bad, "harmonize-rejects")
+    bad = stage(harmonize.rejected(records).drop("raw_fields", "cells"), "harmonize-rejects")
     counted = harmonize.reject_counts(landed.totals, bad)
     half = stage(facts.harmonize_states(runs, landed.files, schemas, counted, lake.names), "harmonize-states")
     # second pass: accepted records of the runs that passed

@@ -27,7 +27,7 @@ from sluice.functions import (
 )
 from sluice.operators import enrich, facts, gate, harmonize, publish
 from sluice.operators.ordinals import number_by_key
-from sluice.plans.ingest import enrichment_rejects
+from sluice.plans.ingest import enrichment_rejects, harmonized_records
 from sluice.plans.reports import REPORTS
 from sluice.plans.views import VIEWS
 from sluice.session import configure, stage
@@ -354,8 +354,7 @@ def _schemas(spark, sf_dir):
 def _valid_records(spark, sf_dir):
     """Records of files whose header satisfies the mapping; the verdict needs the headers only."""
     good = feeds.layouts(spark, sf_dir).filter(F.col("mapping_error").isNull() & (F.size("missing") == 0))
-    records = feeds.records(spark, sf_dir)
-    return records.join(good.select("run_id"), "run_id", "left_semi")
+    return harmonized_records(feeds.landed(spark, sf_dir), good)
 
 
 @query
