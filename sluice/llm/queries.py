@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sluice.llm import quality
 from sluice.llm.decontaminate import contamination
 from sluice.llm.frames import table
+from sluice.session import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,7 +27,19 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Query] = {"op7_decontaminate": op7_decontaminate}
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    measured = stage(quality.measure(docs).drop("text"), "measures")
+    cutoffs = quality.calibrate(measured, table(spark, sf_dir, "labels"), "lang")
+    judged = quality.judge(measured, cutoffs, "lang")
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("doc_id", *[F.col(f"measures.{c}") for c in counts], "verdict.base_failed", "verdict.kept", "verdict.broken")
+
+
+QUERIES: dict[str, Query] = {
+    "op6_quality_rules": op6_quality_rules,
+    "op7_decontaminate": op7_decontaminate,
+}
 
 
 def queries() -> dict[str, Query]:
