@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.llm import quality
+from sluice.llm.bpe import decode_column, encode_column
 from sluice.llm.decontaminate import contamination
 from sluice.llm.frames import table
 from sluice.session import stage
@@ -36,7 +37,27 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"measures.{c}") for c in counts], "verdict.base_failed", "verdict.kept", "verdict.broken")
 
 
+def tokenizer_file(name: str) -> str:
+    """Path of a public tokenizer's vocabulary, which every executor has installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file("byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = encode_column(docs, path).select("doc_id", "encoded.ids")
+    return decode_column(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded.text", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op4_bpe": op4_bpe,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontaminate": op7_decontaminate,
 }
