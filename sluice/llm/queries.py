@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm import quality
+from sluice.llm import quality, token_file
 from sluice.llm.bpe import decode_column, encode_column
 from sluice.llm.decontaminate import contamination
 from sluice.llm.frames import table
-from sluice.session import stage
+from sluice.session import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,10 +56,17 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-file")
+    token_file.write(table(spark, sf_dir, "documents"), path, tokenizer_file("word_bpe_49k.json"))
+    return token_file.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontaminate": op7_decontaminate,
+    "op8_token_file": op8_token_file,
 }
 
 
