@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import quality, token_file
+from sluice.llm import quality, secret_scan, token_file
 from sluice.llm.bpe import decode_column, encode_column
 from sluice.llm.decontaminate import contamination
 from sluice.llm.frames import table
@@ -62,11 +62,28 @@ def op8_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secret_scan.scan(docs, secret_scan.sample_credentials(docs)).select("doc_id", "secrets.base", "secrets.added")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *map(count, ("assign", "access", "hex")),
+        F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.listed(secret_scan.in_order(F.concat("base", "added"))).alias("spans"),
+        F.size("added").cast("long").alias("n_added"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op4_bpe": op4_bpe,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_file": op8_token_file,
+    "op10_secret_scan": op10_secret_scan,
 }
 
 
