@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import quality, secret_scan, token_file
+from sluice.llm import quality, secret_scan, token_file, url_filter, warc
 from sluice.llm.bpe import decode_column, encode_column
 from sluice.llm.decontaminate import contamination
 from sluice.llm.frames import table
+from sluice.llm.url_filter import Rule
 from sluice.session import new_path, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,8 +79,69 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: fixed values: the listed rules
+LISTED_RULES = [
+    Rule("allow", "org/", 2),
+    Rule("block", "example.org/es/", 2),
+    Rule("block", "example.org/en/1", 2),
+    Rule("allow", "com/fr/", 2),
+    Rule("block", "com/de/", 2),
+]
+#: rules of our own, for what no listed rule fits
+PATTERN_RULES = [
+    Rule("block", "cheap-pills.*/"),
+    Rule("block", "spam-farm.*/"),
+    Rule("block", "casino.*/"),
+    Rule("block", "*-casino.*/"),
+    Rule("block", "example.net/*/login"),
+]
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter.judge(pages, url_filter.rule_table(spark, LISTED_RULES + PATTERN_RULES))
+    listed = F.when(F.col("judged.tier") == 2, F.col("judged.rule")).alias("rule")
+    return judged.select("page_id", "judged.host", "judged.path", listed, "judged.verdict")
+
+
+def _url_filter_sql() -> str:
+    """The longest listed rule that fits, else any pattern rule, else allow."""
+    listed = sorted(LISTED_RULES, key=lambda r: -len(r.text))
+    fits = lambda r: f"regexp_matches(host || path, '{r.pattern()}')"
+    rule = " ".join(f"WHEN {fits(r)} THEN '{r.text}'" for r in listed)
+    action = " ".join(f"WHEN {fits(r)} THEN '{r.action}'" for r in listed)
+    patterns = " ".join(f"WHEN {fits(r)} THEN '{r.action}'" for r in PATTERN_RULES)
+    return f"""
+    WITH cut AS (
+        SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+    ), parts AS (
+        SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
+            regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1) AS path FROM cut
+    )
+    SELECT page_id, host, path, CASE {rule} END AS rule, CASE {action} {patterns} ELSE 'allow' END AS verdict FROM parts"""
+
+
+FETCHED = "2026-01-01T00:00:00Z"
+
+
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as response files; their derivatives as files; what those hold, with digests checked against the bytes."""
+    source, derived = new_path(spark, "warc-source"), new_path(spark, "warc-derived")
+    warc.write(warc.responses(table(spark, sf_dir, "pages"), "page_id", "url", "html", FETCHED), source)
+    warc.write(warc.derive(warc.read(spark, source)), derived)
+    names = ["WARC-Type", "WARC-Record-ID", "WARC-Refers-To", "WARC-Target-URI", "WARC-Date", "WARC-Payload-Digest", "WARC-Block-Digest"]
+    return warc.read(spark, derived).select(
+        *[warc.header(n).alias(n.removeprefix("WARC-").lower().replace("-", "_")) for n in names],
+        warc.header("Content-Length").cast("long").alias("content_length"),
+        F.octet_length("block").cast("long").alias("n_bytes"),
+        F.sha2("block", 256).alias("block_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
+    "op2_url_filter": op2_url_filter,
     "op4_bpe": op4_bpe,
+    "op5_warc_derivatives": op5_warc_derivatives,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_file": op8_token_file,
@@ -92,4 +154,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_url_filter": _url_filter_sql()}
