@@ -10,6 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 
+SLICE_ROWS = 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -32,9 +35,10 @@ def append(df: DataFrame, column: str, compute: Callable[[pa.Array], pa.StructAr
     schema = StructType([*df.schema.fields, StructField(name, added)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            result = compute(batch.column(at))
-            yield pa.RecordBatch.from_arrays([*batch.columns, result], [*batch.schema.names, name])
+        for whole in batches:
+            for first in range(0, whole.num_rows, SLICE_ROWS):  # what is computed of a slice is sent off before the next
+                batch = whole.slice(first, SLICE_ROWS)
+                yield pa.RecordBatch.from_arrays([*batch.columns, compute(batch.column(at))], [*batch.schema.names, name])
 
     return df.mapInArrow(run, schema)
 
