@@ -25,12 +25,12 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def append(df: DataFrame, column: str, compute: Callable[[pa.Array], pa.StructArray], fields: str, name: str) -> DataFrame:
+def append(df: DataFrame, column: str | list[str], compute: Callable[..., pa.StructArray], fields: str, name: str) -> DataFrame:
     """Add struct column ``name`` holding ``compute`` of ``column``, batch by batch; all other columns pass through.
 
-    ``name`` must be free (see ``free_name``). ``compute`` gets an Arrow array and returns a struct array of its length.
+    ``name`` must be free (see ``free_name``). ``compute`` gets an Arrow array of each column and returns a struct array.
     """
-    at = df.columns.index(column)
+    at = [df.columns.index(c) for c in ([column] if isinstance(column, str) else column)]
     added = StructType.fromDDL(fields)
     schema = StructType([*df.schema.fields, StructField(name, added)])
 
@@ -38,7 +38,7 @@ def append(df: DataFrame, column: str, compute: Callable[[pa.Array], pa.StructAr
         for whole in batches:
             for first in range(0, whole.num_rows, SLICE_ROWS):  # what is computed of a slice is sent off before the next
                 batch = whole.slice(first, SLICE_ROWS)
-                yield pa.RecordBatch.from_arrays([*batch.columns, compute(batch.column(at))], [*batch.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*batch.columns, compute(*[batch.column(k) for k in at])], [*batch.schema.names, name])
 
     return df.mapInArrow(run, schema)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import quality, secret_scan, token_file, url_filter, warc
+from sluice.llm import bwt_dedup, quality, secret_scan, substring_dedup, token_file, url_filter, warc
 from sluice.llm.bpe import decode_column, encode_column
 from sluice.llm.decontaminate import contamination
 from sluice.llm.frames import table
@@ -16,6 +16,23 @@ from sluice.session import new_path, stage
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _removed(column: str) -> Column:
+    return F.aggregate(f"{column}.removed", F.lit(0).cast("long"), lambda n, s: n + s["high"] - s["low"])
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = substring_dedup.remove_repeats(docs)
+    return found.select("doc_id", "dedup.n_words", _removed("dedup").alias("n_removed"), F.sha2("dedup.kept", 256).alias("kept_sha256"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bwt_dedup.remove_repeats(docs)
+    spans = F.size("dedup.removed").cast("long").alias("n_spans")
+    return found.select("doc_id", "dedup.n_bytes", _removed("dedup").alias("n_removed"), spans, F.sha2("dedup.kept", 256).alias("kept_sha256"))
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination(docs, table(spark, sf_dir, "benchmark"), name="found").select("doc_id", "found.*")
@@ -139,12 +156,14 @@ def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
     "op4_bpe": op4_bpe,
     "op5_warc_derivatives": op5_warc_derivatives,
     "op6_quality_rules": op6_quality_rules,
     "op7_decontaminate": op7_decontaminate,
     "op8_token_file": op8_token_file,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_secret_scan": op10_secret_scan,
 }
 
