@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import bwt_dedup, quality, secret_scan, substring_dedup, token_file, url_filter, warc
+from sluice.llm import bwt_dedup, order_minhash, quality, secret_scan, substring_dedup, token_file, url_filter, warc
 from sluice.llm.bpe import decode_column, encode_column
 from sluice.llm.decontaminate import contamination
 from sluice.llm.frames import table
@@ -96,6 +96,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return order_minhash.near_duplicates(docs).select("doc_id", "near.class_id", "near.n_class")
+
+
 #: fixed values: the listed rules
 LISTED_RULES = [
     Rule("allow", "org/", 2),
@@ -158,6 +163,7 @@ def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_bpe": op4_bpe,
     "op5_warc_derivatives": op5_warc_derivatives,
     "op6_quality_rules": op6_quality_rules,
