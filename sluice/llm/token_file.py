@@ -17,22 +17,24 @@ a document longer than a block makes a block of its own; an empty table makes a
 
 from __future__ import annotations
 
+import re
 import struct as binary
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from sluice.llm.texts import ranges
+from sluice.llm.texts import flat, ranges
 from sluice.session import new_path
 
 MAGIC = 0x31564254
 BLOCK_IDS = 1 << 18
-CACHE_WORDS = 600_000
+CACHE_WORDS = 800_000
 _TOGETHER = 200  # distinct words given to the tokenizer in one string
-_STOPS = ".,;:!?"
+_MARK = re.compile(rb"(?<=[A-Za-z])([.,;:!?])(?=[ \n])")
 
 
 # --- number coding ---
@@ -93,8 +95,7 @@ class WordTokens:
     """The tokenizers library behind a cache of words; white space must be no part of any token.
 
     The vocabulary must lower-case, drop white space and mark the last token of a word, so that many words can go to
-    the library in one string. Words between ASCII white space are encoded apart; a word of plain letters is looked
-    up in lower case and without a punctuation mark after it.
+    the library in one string. Words between ASCII white space are encoded apart.
     """
 
     def __init__(self, path: str):
@@ -110,65 +111,67 @@ class WordTokens:
 
     def _clear(self) -> None:
         self.number: dict[bytes, int] = {}
-        self.ids, self.at = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
-        self.n_ids = 0
+        self.ids, self.at = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
 
     def _whole(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of new words, one after another, and where each word's ids end."""
-        plain: dict[str, int] = {}  # words of letters, which are one pre-token each
-        other: dict[str, int] = {}
-        parts, owner = [], []
-        for k, raw in enumerate(new):
-            word = raw.decode("utf-8", "replace")
-            stem, mark = (word[:-1], word[-1]) if word[-1] in _STOPS else (word, "")
-            if stem.isalpha() and max(stem) <= "į":  # lower case and normal form are letter by letter there
-                parts.append(plain.setdefault(stem.lower(), len(plain)))
-                owner.append(k)
-                word = mark
-            if word:
-                parts.append(-1 - other.setdefault(word, len(other)))
-                owner.append(k)
-        letters = list(plain)
+    def _cut(self, text: bytes) -> list[bytes]:
+        """Words between white space, in lower case as far as they are ASCII, the punctuation mark after a letter apart.
+
+        The library does the same; special tokens, which it finds before that, are left alone.
+        """
+        if b"<|" not in text:
+            text = text.lower()
+        return _MARK.sub(rb" \1", text).split()  # bytes split at ASCII white space
+
+    def _learn(self, new: list[bytes]) -> None:
+        words = [w.decode("utf-8", "replace") for w in new]
+        plain = [w.isalpha() and max(w) <= "\u012f" for w in words]  # one pre-token each, normal form letter by letter
+        letters = [w for w, p in zip(words, plain) if p]
+        other = [w for w, p in zip(words, plain) if not p]
         joined = self._whole([" ".join(letters[i : i + _TOGETHER]) for i in range(0, len(letters), _TOGETHER)])
-        flat = np.array([i for x in joined for i in x], np.int32)
-        ends = np.flatnonzero(self.ends_word[flat]) + 1
+        ids = np.array([i for x in joined for i in x], np.int32)
+        ends = np.flatnonzero(self.ends_word[ids]) + 1
         if len(ends) != len(letters):
             raise ValueError("the vocabulary doesn't mark word ends")
-        rest = self._whole(list(other))
-        ends = np.concatenate([[0], ends, len(flat) + np.cumsum([len(x) for x in rest])]).astype(np.int64)
-        flat = np.concatenate([flat, np.array([i for x in rest for i in x], np.int32)])
-        part = np.array(parts, np.int64)
-        part = np.where(part < 0, len(letters) - 1 - part, part)
-        size = ends[part + 1] - ends[part]
-        total = np.zeros(len(new), np.int64)
-        np.add.at(total, owner, size)
-        return flat[ranges(ends[part], size)], np.cumsum(total)
+        rest = self._whole(other)
+        ends = np.concatenate([ends, len(ids) + np.cumsum([len(x) for x in rest])]).astype(np.int64)
+        ids = np.concatenate([ids, np.array([i for x in rest for i in x], np.int32)])
+        self.ids, self.at = _extended(self.ids, self.at, len(self.number), ids, ends)
+        for first in (True, False):
+            for word, p in zip(new, plain):
+                if p is first:
+                    self.number[word] = len(self.number)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the number of ids of each."""
         if len(self.number) > CACHE_WORDS:
             self._clear()
-        cut = [t.split() for t in texts]  # bytes split at ASCII white space
-        words = [w for c in cut for w in c]
+        cut = [self._cut(t) for t in texts]
+        words = list(chain.from_iterable(cut))
         found = list(map(self.number.get, words))
         if None in found:
-            new = list(dict.fromkeys(w for w, n in zip(words, found) if n is None))
-            ids, ends = self._learn(new)
-            for w in new:
-                self.number[w] = len(self.number)
-            self.ids.append(ids)
-            self.at.append(self.n_ids + ends)
-            self.n_ids += len(ids)
-            found = list(map(self.number.get, words))
-        if len(self.ids) > 1:
-            self.ids, self.at = [np.concatenate(self.ids)], [np.concatenate(self.at)]
+            missing = [i for i, n in enumerate(found) if n is None]
+            self._learn(list(dict.fromkeys([words[i] for i in missing])))
+            for i in missing:
+                found[i] = self.number[words[i]]
         word = np.array(found, np.int64)
-        size = self.at[0][word + 1] - self.at[0][word]
+        size = self.at[word + 1] - self.at[word]
         ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(int)]
-        return self.ids[0][ranges(self.at[0][word], size)], np.diff(ends)
+        return self.ids[ranges(self.at[word], size)], np.diff(ends)
+
+
+def _extended(ids: np.ndarray, at: np.ndarray, n: int, more: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Lists filed one after another, with n of them so far, and more."""
+    used = int(at[n])
+    if used + len(more) > len(ids):
+        ids = np.concatenate([ids, np.zeros(max(len(ids), len(more)), ids.dtype)])
+    if n + len(ends) + 1 > len(at):
+        at = np.concatenate([at, np.zeros(max(len(at), len(ends)), at.dtype)])
+    ids[used : used + len(more)] = more
+    at[n + 1 : n + 1 + len(ends)] = used + ends
+    return ids, at
 
 
 @lru_cache(maxsize=1)
@@ -221,13 +224,14 @@ def rank_table(tokens: DataFrame) -> DataFrame:
     """(id, rank) of every id of the corpus, the most frequent first; ties go to the smaller id. As large as the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, int] = {}
+        total = np.zeros(0, np.int64)
         for batch in batches:
-            for raw in batch.column(0):
-                ids, n = np.unique(np.frombuffer(raw.as_buffer(), "<u4"), return_counts=True)
-                for i, k in zip(ids.tolist(), n.tolist()):
-                    total[i] = total.get(i, 0) + k
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["id", "n"])
+            data, offsets = flat(batch.column(0))
+            n = np.bincount(np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u4"), minlength=len(total))
+            n[: len(total)] += total
+            total = n
+        ids = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
     counts = tokens.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     order = Window.orderBy(F.desc("n"), "id")
