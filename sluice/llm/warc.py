@@ -5,8 +5,8 @@ both of which refer to the response by its identifier and keep its target, date
 record holds the response's own headers, the HTTP headers, digests, title and links as JSON; the conversion record holds
 the page's plain text. Identifiers are name-based, so a repeated run makes the same records.
 
-``write`` makes WARC files through Spark's text writer, which ends every record with the blank lines of the format and is
-atomic on any store; ``read`` takes files of bounded size, as ``write`` makes them (``RECORDS_PER_FILE``), one per task.
+``write`` makes compressed WARC files through Spark's text writer, which ends every record with the blank lines of the
+format and is atomic on any store; ``read`` takes files of bounded size, as ``write`` makes them (``RECORDS_PER_FILE``), one per task.
 
 Defined cases: a null URL gives no target header; null or empty pages have an empty payload and conversion text; records
 of other types are passed over by ``derive``; repeated rows give repeated records; line breaks and control characters in
@@ -16,8 +16,10 @@ header values are percent-encoded.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import html
+import io
 import json
 import re
 import uuid
@@ -160,19 +162,18 @@ def write(records: DataFrame, path: str) -> None:
     lines = F.concat_ws("\r\n", F.transform("headers", lambda h: F.concat_ws(": ", h["name"], h["value"])))
     head = F.concat(F.lit("WARC/1.0\r\n"), lines, F.lit("\r\n\r\n"))
     whole = F.concat(F.encode(head, "UTF-8"), F.coalesce("block", F.lit(b""))).cast("string")
-    options = {"lineSep": _END.decode(), "maxRecordsPerFile": str(RECORDS_PER_FILE)}
+    options = {"lineSep": _END.decode(), "maxRecordsPerFile": str(RECORDS_PER_FILE), "compression": "gzip"}
     records.select(whole.alias("value")).write.options(**options).text(path)
 
 
 def parse(raw: bytes) -> Iterator[tuple[Headers, bytes]]:
-    at = 0
-    while raw.startswith(b"WARC/", at):
-        end = raw.index(_END, at)
-        lines = raw[at:end].decode("utf-8", "replace").split("\r\n")[1:]
+    """Records of a file, one at a time, whether it is compressed or not."""
+    stream = gzip.open(io.BytesIO(raw)) if raw.startswith(b"\x1f\x8b") else io.BytesIO(raw)
+    while stream.readline().startswith(b"WARC/"):
+        lines = [line.rstrip(b"\r\n").decode("utf-8", "replace") for line in iter(stream.readline, b"\r\n")]
         headers = [(n, v.strip()) for n, _, v in (line.partition(":") for line in lines)]
-        size = int(value_of(headers, "Content-Length") or 0)
-        yield headers, raw[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+        yield headers, stream.read(int(value_of(headers, "Content-Length") or 0))
+        stream.read(len(_END))
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
