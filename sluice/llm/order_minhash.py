@@ -15,7 +15,7 @@ shingles that is one pair in 3 * 10^5 at a shingle similarity of 0.8.
 
 Defined cases: documents without words (null, empty, blank) are copies of each other; a document shorter than a shingle is
 one shingle; repeated rows are copies; a null id counts as the smallest, and a class of it is null; different texts under
-one id are taken for versions of one document, in one class; an empty table gives an empty result; other columns pass through.
+one id are different documents; an empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
@@ -67,17 +67,18 @@ def sketches(words: np.ndarray) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, text: str, name: str) -> DataFrame:
-    """``docs`` with a struct column: ``digest`` of the words, their number, ``sketches`` and ``words`` as numbers."""
+    """``docs`` with a struct column: ``digest`` of the words and its first half as ``node``, their number, ``sketches`` and
+    ``words`` as numbers."""
 
     def run(texts: pa.Array) -> pa.StructArray:
-        digest, counts, keys, numbers = [], [], [], []
+        digest, nodes, counts, keys, numbers = [], [], [], [], []
         for _, _, data, offsets in chunks(texts):
             words = Words(data, offsets)
             hashes = words.hashes()
-            prefix, other = rolling(hashes), rolling(mixed(hashes ^ _JOIN))
-            a, b = words.row_start[:-1], words.row_start[1:]
-            pair = np.stack([span_hash(prefix, a, b), span_hash(other, a, b)], 1)
+            pair = _word_digests(words)
             digest += [row.tobytes().hex() for row in pair]
+            nodes.append(pair[:, 0])
+            a, b = words.row_start[:-1], words.row_start[1:]
             counts.append(words.counts())
             numbers.append((hashes >> np.uint64(32)).astype(np.uint32).view(np.int32))
             for x, y in zip(a.tolist(), b.tolist()):
@@ -87,12 +88,13 @@ def _sketch(docs: DataFrame, text: str, name: str) -> DataFrame:
         flat_words = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
         return struct(
             digest=pa.array(digest, pa.string()),
+            node=np.concatenate(nodes).view(np.int64) if nodes else np.zeros(0, np.int64),
             n_words=n.astype(np.int64),
             sketches=list_array(flat_keys, np.array([len(k) for k in keys], np.int64)),
             words=list_array(flat_words, n),
         )
 
-    fields = "digest string, n_words bigint, sketches array<bigint>, words array<int>"
+    fields = "digest string, node bigint, n_words bigint, sketches array<bigint>, words array<int>"
     return append(docs, text, run, fields, name)
 
 
@@ -142,7 +144,7 @@ def _possible(pairs: DataFrame, similarity: float) -> DataFrame:
 
 
 def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
-    """(member, root) of distinct documents (doc, n_words, sketches, words) that are near-duplicates of a smaller one."""
+    """(member, root) of distinct documents (doc, n_words, sketches, words) that are near-duplicates of one of smaller number."""
     groups = texts.select("doc", "n_words", "sketches", F.posexplode("sketches").alias("nth", "group"))
     groups = groups.select("doc", "n_words", F.xxhash64("nth", "group").alias("group"))
     held = stage(_held_against(groups), "candidates")
@@ -181,50 +183,57 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, name: str = "near"
 ) -> DataFrame:
-    """``docs`` with a struct column: ``class_id``, the smallest id of the document's class, ``n_class`` rows in it, and
-    ``first``, true for the rows with that id."""
+    """``docs`` with a struct column: ``class_id``, the smallest id of the document's class, ``n_class`` rows in it, ``digest`` of
+    the document's words, and ``first``, true for the rows with the smallest id (and of those, the smallest digest)."""
     spark = docs.sparkSession
-    sketch, own = free_name(docs, "_sketch"), "_doc"
-    own = free_name(docs, own)
     smallest = F.lit(-(2**63))
+    own_id = F.coalesce(F.col(doc_id).cast("bigint"), smallest)
     with shuffles_freed(spark):
-        given = docs.select(F.coalesce(F.col(doc_id).cast("bigint"), smallest).alias("doc"), F.col(text).alias("text"))
-        sketched = stage(_sketch(given, "text", "s").select("doc", "s.*"), "sketches")
-        copies = stage(sketched.groupBy("digest").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n")), "copies")
-        # one row for each distinct text that has words; repeated rows and texts under one id leave one for the id
-        one = copies.groupBy("doc").agg(F.min("digest").alias("digest"))
-        firsts = sketched.filter("n_words > 0").join(one, ["digest", "doc"], "left_semi").dropDuplicates(["digest", "doc"])
-        texts = stage(firsts.select("doc", "n_words", "sketches", "words"), "distinct-texts")
+        given = docs.select(own_id.alias("id"), F.col(text).alias("text"))
+        sketched = stage(_sketch(given, "text", "s").select("id", "s.*"), "sketches")
+        copies = sketched.groupBy("digest", "node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
+        copies = stage(copies, "copies")
+        firsts = sketched.filter("n_words > 0").join(copies.select("digest", "id"), ["digest", "id"], "left_semi")
+        firsts = firsts.dropDuplicates(["digest", "id"])  # repeated rows
+        texts = stage(firsts.select(F.col("node").alias("doc"), "n_words", "sketches", "words"), "distinct-texts")
         roots = stage(classes_of(texts, similarity), "roots")
-        classes = _classes(copies, roots, "doc", "class_id")
-        sizes = classes.groupBy("class_id").agg(F.sum("n").alias("n_class"))
-        classes = stage(classes.select("digest", "class_id").join(sizes, "class_id"), "classes")
-    digested = append(docs, text, _digests, "digest string", sketch)
-    found = digested.join(classes, F.col(sketch)["digest"] == classes["digest"], "left")
-    is_first = F.coalesce(F.col(doc_id).cast("bigint"), smallest) == classes["class_id"]
-    class_id = F.when(classes["class_id"] > smallest, classes["class_id"]).alias("class_id")
-    near = F.struct(class_id, classes["n_class"], is_first.alias("first"))
+        classed = _classes(copies, roots, "node", "root")
+        of_class = classed.groupBy("root").agg(F.sum("n").alias("n_class"), F.min(F.struct("id", "digest")).alias("least"))
+        classes = classed.select("digest", "root").join(of_class, "root").select("digest", "n_class", "least")
+        classes = stage(classes, "classes")
+    mark = free_name(docs, "_digest")
+    digested = append(docs, text, _digests, "digest string", mark)
+    found = digested.join(classes, F.col(mark)["digest"] == classes["digest"], "left")
+    near = F.struct(
+        F.when(F.col("least.id") > smallest, F.col("least.id")).alias("class_id"),
+        classes["n_class"],
+        classes["digest"],
+        ((F.coalesce(digested[doc_id].cast("bigint"), smallest) == F.col("least.id")) & (classes["digest"] == F.col("least.digest"))).alias("first"),
+    )
     return found.select(*[digested[c] for c in docs.columns], near.alias(name))
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row of each class of ``docs``: the one with the smallest id."""
     near = free_name(docs, "near")
-    firsts = near_duplicates(docs, doc_id, text, similarity, near).filter(F.col(near)["first"]).select(docs.columns)
-    # rows that share the smallest id are repeated rows or versions; only they are gathered
-    several = stage(docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(doc_id).alias("_several")), "repeated-ids")
+    firsts = near_duplicates(docs, doc_id, text, similarity, near).filter(F.col(near)["first"])
+    # rows that share id and words are repeated; only rows with a repeated id are gathered
+    several = docs.groupBy(doc_id).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(doc_id).alias("_several"))
+    several = stage(several, "repeated-ids")
     if several.isEmpty():
-        return firsts
+        return firsts.select(docs.columns)
     same = firsts[doc_id].eqNullSafe(several["_several"])
-    return firsts.join(several, same, "left_anti").unionByName(firsts.join(several, same, "left_semi").dropDuplicates([doc_id]))
+    again = firsts.join(several, same, "left_semi").withColumn(near, F.col(near)["digest"]).dropDuplicates([doc_id, near])
+    return firsts.join(several, same, "left_anti").select(docs.columns).unionByName(again.select(docs.columns))
+
+
+def _word_digests(words: Words) -> np.ndarray:
+    """Two 64-bit hashes of each row's words."""
+    hashes = words.hashes()
+    a, b = words.row_start[:-1], words.row_start[1:]
+    return np.stack([span_hash(rolling(hashes), a, b), span_hash(rolling(mixed(hashes ^ _JOIN)), a, b)], 1)
 
 
 def _digests(texts: pa.Array) -> pa.StructArray:
-    out = []
-    for _, _, data, offsets in chunks(texts):
-        words = Words(data, offsets)
-        hashes = words.hashes()
-        a, b = words.row_start[:-1], words.row_start[1:]
-        pair = np.stack([span_hash(rolling(hashes), a, b), span_hash(rolling(mixed(hashes ^ _JOIN)), a, b)], 1)
-        out += [row.tobytes().hex() for row in pair]
+    out = [row.tobytes().hex() for _, _, data, offsets in chunks(texts) for row in _word_digests(Words(data, offsets))]
     return struct(digest=pa.array(out, pa.string()))
