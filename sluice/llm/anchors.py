@@ -122,8 +122,8 @@ def _occurrences(reps: DataFrame, unit: Unit) -> DataFrame:
     return reps.select("key", "text").mapInArrow(run, "anchor bigint, key bigint, place bigint")
 
 
-def _cut(reps: DataFrame, places: DataFrame, unit: Unit) -> DataFrame:
-    """(anchor, piece, doc, key, start) for the listed places of each document."""
+def _cut(reps: DataFrame, listed: DataFrame, unit: Unit) -> DataFrame:
+    """(anchor, piece, doc, key, start) for the listed places (key, places) of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -148,7 +148,6 @@ def _cut(reps: DataFrame, places: DataFrame, unit: Unit) -> DataFrame:
                     ["anchor", "piece", "doc", "key", "start"],
                 )
 
-    listed = places.groupBy("key").agg(F.collect_set(F.struct("anchor", "place")).alias("places"))  # as long as the document
     joined_texts = reps.join(listed, "key").select("key", "doc", "text", "places")
     return joined_texts.mapInArrow(run, "anchor bigint, piece binary, doc bigint, key bigint, start bigint")
 
@@ -251,7 +250,10 @@ def repeated_spans(
         twice = F.shiftright("place", RUN.bit_length() - 1).bitwiseAND(1)
         shared = places.groupBy("anchor").agg(F.sum(1 + twice).alias("n")).filter("n > 1").select("anchor")
         shared = stage(shared, "shared-anchors")
-        pieces = _cut(reps, places.join(shared, "anchor", "left_semi"), unit).withColumn("digest", F.xxhash64("piece"))
+        listed = places.join(shared, "anchor", "left_semi").groupBy("key")
+        listed = listed.agg(F.collect_set(F.struct("anchor", "place")).alias("places"))  # as long as the document
+        # written before the texts are shuffled, so that the two shuffles are not on disk together
+        pieces = _cut(reps, stage(listed, "listed-places"), unit).withColumn("digest", F.xxhash64("piece"))
         pieces = stage(pieces, "pieces")
         at = F.min(F.struct("doc", "start")).alias("at")
         classes = pieces.groupBy("anchor", "digest", "piece").agg(at, F.count(F.lit(1)).alias("n"))
