@@ -90,7 +90,7 @@ PROCESSED_COLUMNS = "transaction_id string, customer_id string, amount string, t
 CURATED_COLUMNS = PROCESSED_COLUMNS + ", domain string, product string, business_date string, enriched_at string"
 REJECTED_COLUMNS = (
     "run_id string, stage string, product string, business_date string, file_name string, "
-    "row_number int, reason string, raw_row string"
+    "row_number bigint, reason string, raw_row string"
 )
 EVENT_COLUMNS = (
     "product string, file_name string, business_date string, run_id string, ingestion_id string, "
@@ -142,7 +142,7 @@ CURATED_ZONE = struct(
     "product string, year string, month string, day string, run_id string"
 )
 REJECTED_ZONE = struct(
-    "business_date string, file_name string, row_number int, reason string, raw_row string, "
+    "business_date string, file_name string, row_number bigint, reason string, raw_row string, "
     "stage string, product string, year string, month string, day string, run_id string"
 )
 RAW_ZONE = struct(

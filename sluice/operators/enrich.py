@@ -28,8 +28,8 @@ Hook = Callable[[DataFrame], DataFrame]
 def check_lookups(processed: DataFrame, lookups: Sequence[Lookup], hook: Hook | None = None) -> DataFrame:
     """Add ``reject_reason``: the first lookup that misses, then the user's own rule, or NULL.
 
-    ``hook`` maps a frame to one with a nullable ``reject_reason`` column, so custom rules stay set-wise. Small
-    references broadcast; for larger ones the shuffled result is written once, since two readers follow.
+    ``hook`` maps a frame to one with a nullable ``reject_reason`` column, so custom rules stay set-wise. The verdict is
+    written once, whatever the sizes: its readers (accepted and rejected records) must see the same one.
     """
     checked, reasons, shuffled = processed, [], False
     for i, lookup in enumerate(lookups):
@@ -44,7 +44,8 @@ def check_lookups(processed: DataFrame, lookups: Sequence[Lookup], hook: Hook |
     reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
     checked = checked.withColumn("reject_reason", reason).drop(*[f"_known_{i}" for i in range(len(lookups))])
     # the shuffle scattered every run; bring runs back together (hot ones split) so zone files stay few and full
-    return stage(checked.hint("rebalance", F.col("run_id")), "lookups") if shuffled else checked
+    checked = checked.hint("rebalance", F.col("run_id")) if shuffled else checked
+    return stage(checked, "lookups") if reasons else checked
 
 
 def counts(checked: DataFrame) -> DataFrame:

@@ -438,8 +438,14 @@ def ingestion_steps(states: DataFrame, started: Column, finished: Column, names:
 
 
 def latest(facts: DataFrame, *key: str) -> DataFrame:
-    """Last write per fact key; a re-delivered execution replaces its earlier facts."""
-    order = [F.col("finished_at").desc(), *([F.col("batch_id").desc()] if "batch_id" in facts.columns else [])]
+    """Last write per fact key; a re-delivered execution replaces its earlier facts.
+
+    Clocks have seconds, so batches decide between equal times: by the number their id ends in, then by the id.
+    """
+    order = [F.col("finished_at").desc()]
+    if "batch_id" in facts.columns:
+        number = F.expr("try_cast(regexp_extract(batch_id, '([0-9]+)$', 1) as decimal(38, 0))")
+        order += [number.desc_nulls_last(), F.col("batch_id").desc()]
     newest = Window.partitionBy(*key).orderBy(*order)
     return facts.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 

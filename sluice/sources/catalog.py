@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sluice.plans.views import VIEWS
-from sluice.sources.zones import TABLES, Lake
+from sluice.sources.zones import LATEST, TABLES, Lake
 
 ANALYTICS_DB = "ingestion_analytics"
 BUSINESS_DB = "ingestion_business"
@@ -24,13 +24,18 @@ CATALOG = {
 
 
 def register_tables(lake: Lake) -> dict[str, str]:
-    """Create databases and external tables if absent and pick up their partitions. Safe to repeat."""
+    """Create databases and external tables and pick up their partitions. Safe to repeat.
+
+    The names stand for one lake at a time: a table that points to another lake's folder is registered anew. That only
+    forgets the old entry; a table that owns its data is never dropped.
+    """
     spark = lake.spark
     for db in (ANALYTICS_DB, BUSINESS_DB):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{os.path.join(lake.root, '_databases', db)}'")
     registered = {}
     for name, (db, table) in CATALOG.items():
         _, schema, keys = TABLES[table]
+        _forget_other_location(spark, f"{db}.{name}", lake.path(table))
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {db}.{name} ({columns}) USING parquet "
@@ -41,6 +46,19 @@ def register_tables(lake: Lake) -> dict[str, str]:
     return registered
 
 
+def _forget_other_location(spark: SparkSession, name: str, path: str) -> None:
+    if not spark.catalog.tableExists(name):
+        return
+    about = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    here = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop(path))
+    if hadoop(about["Location"]).toUri().getPath() == here.toUri().getPath():
+        return
+    if about["Type"] != "EXTERNAL":
+        raise ValueError(f"{name} holds data of its own at {about['Location']}")
+    spark.sql(f"DROP TABLE {name}")
+
+
 def register_views(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     for name, (build, inputs) in VIEWS.items():
         build(*[tables[t] for t in inputs]).createOrReplaceTempView(name)
@@ -52,7 +70,8 @@ def catalog_tables(lake: Lake) -> DataFrame:
     parts = []
     for name, (db, table) in CATALOG.items():
         _, schema, keys = TABLES[table]
-        counted = lake.spark.table(registered[table]).groupBy().agg(F.count(F.lit(1)).alias("row_count"))
+        rows = lake.spark.table(registered[table])
+        counted = LATEST.get(table, lambda facts: facts)(rows).groupBy().agg(F.count(F.lit(1)).alias("row_count"))
         parts.append(
             counted.select(
                 F.lit(db).alias("database_name"),
@@ -62,7 +81,7 @@ def catalog_tables(lake: Lake) -> DataFrame:
                 "row_count",
             )
         )
-    rows = parts[0]
+    total = parts[0]
     for p in parts[1:]:
-        rows = rows.unionByName(p)
-    return rows
+        total = total.unionByName(p)
+    return total

@@ -28,6 +28,13 @@ def routed(body: Column) -> Column:
     )
 
 
+def misrouted(body: Column) -> Column:
+    """An envelope that names another source or type. Bare events, and envelopes that name neither, are for us."""
+    named = F.get_json_object(body, "$.source").isNotNull() | F.get_json_object(body, "$['detail-type']").isNotNull()
+    enveloped = F.get_json_object(body, "$.detail").isNotNull() | F.get_json_object(body, "$.Detail").isNotNull()
+    return enveloped & named & ~routed(body)
+
+
 def event_detail(body: Column) -> Column:
     """The event inside a message: under ``detail``, under ``Detail`` (object or JSON text), or the message itself."""
     keys = F.coalesce(F.json_object_keys(body), F.array().cast("array<string>"))

@@ -19,6 +19,7 @@ from sluice.contracts import (
     LakeNames,
     struct,
 )
+from sluice.operators.facts import latest_runs, latest_steps
 
 _RUN_KEYS = ["product", *ZONE_DATE_KEYS, "run_id"]
 _MANIFEST = struct(
@@ -54,6 +55,10 @@ TABLES: dict[str, tuple[str, T.StructType, list[str]]] = {
 }
 
 
+# tables of which the last write of each fact counts
+LATEST = {"ingestion_runs": latest_runs, "ingestion_steps": latest_steps}
+
+
 def date_parts(day: Column) -> dict[str, Column]:
     return {k: F.date_format(day, p) for k, p in zip(ZONE_DATE_KEYS, ("yyyy", "MM", "dd"))}
 
@@ -81,7 +86,14 @@ class Lake:
         return reader.parquet(self.path(table))
 
     def read(self, table: str) -> DataFrame:
-        """Read a table with its declared schema; a table nothing was written to yet is empty."""
+        """Read a table with its declared schema; a table nothing was written to yet is empty.
+
+        A fact counts as its last batch wrote it; ``history`` has all writes.
+        """
+        rows = self.history(table)
+        return LATEST[table](rows) if table in LATEST else rows
+
+    def history(self, table: str) -> DataFrame:
         _, schema, _ = TABLES[table]
         fs, path = self._folder(table)
         if not fs.exists(path):
@@ -96,9 +108,9 @@ class Lake:
         """
         _, schema, keys = TABLES[table]
         wanted = runs.select(*[F.lit(fixed[k]).alias(k) if k in fixed else F.col(k) for k in keys]).distinct()
-        paths = [
-            "/".join([self.path(table), *[f"{k}={row[k]}" for k in keys]]) for row in wanted.collect()
-        ]
+        # run ids come with the messages; folder names hold them escaped, as Spark's writer does it
+        escaped = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+        paths = ["/".join([self.path(table), *[escaped(k, row[k]) for k in keys]]) for row in wanted.collect()]
         if not paths:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("basePath", self.path(table)).parquet(*paths)

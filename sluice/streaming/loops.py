@@ -15,7 +15,7 @@ from sluice.contracts import CURATED_ZONE, REJECTED_ZONE
 from sluice.functions import clock_text
 from sluice.operators.enrich import Hook, Lookup
 from sluice.plans.ingest import Source, ingest, publish_zones
-from sluice.sources.events import open_envelopes
+from sluice.sources.events import misrouted, open_envelopes
 from sluice.sources.zones import Lake
 
 
@@ -31,11 +31,13 @@ def ingestion_stream(
     hook: Hook | None = None,
     max_files: int = 10,
 ) -> DataStreamWriter:
-    """Event files (one JSON message per line) to ingested runs. Bad messages are quarantined, never fatal.
+    """Event files (one JSON message per line) to ingested runs. Bad messages are quarantined, never fatal;
+    envelopes that the routing rule sends elsewhere are passed over.
 
     Start the returned writer with the trigger of your choice.
     """
     messages = lake.spark.readStream.option("maxFilesPerTrigger", max_files).text(event_dir)
+    messages = messages.filter(~misrouted(F.col("value")))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         now = clock

@@ -119,7 +119,7 @@ _CTES["final_rows"] = """
 
 _CTES["all_rejects"] = """
     SELECT run_id, 'harmonization' AS stage, product, strftime(m, '%Y-%m-%d') AS business_date,
-           product || '-' || strftime(m, '%Y-%m-%d') || '.csv' AS file_name, row_number::INTEGER AS row_number,
+           product || '-' || strftime(m, '%Y-%m-%d') || '.csv' AS file_name, row_number::BIGINT AS row_number,
            'missing domain fields: ' || gaps AS reason, raw_row
     FROM judged WHERE gaps <> '' AND NOT drifted
     UNION ALL
@@ -204,6 +204,7 @@ def _step(name: str, order: int, job: str, source: str, ok: str, **given: str) -
     blocks = [f"{given.pop(c, 'NULL')}::VARCHAR AS {c}" for c in _STEP_TEXT]
     blocks += [f"({given.pop(c, 'NULL')})::BIGINT AS {c}" for c in _STEP_NUMBERS]
     blocks.append(f"({given.pop('rejection_percent', 'NULL')})::DOUBLE AS rejection_percent")
+    blocks.append("NULL::BOOLEAN AS is_retryable")
     assert not given, given
     return f"""
     SELECT anomesdia, run_id AS ingestion_id, run_id AS execution_id, run_id AS correlation_id, product,
@@ -517,7 +518,7 @@ _SELECTS: dict[str, str] = {
     "scan_processed": f"SELECT run_id, {_DOMAIN} FROM passed",
     "scan_zone_tables": f"""
         SELECT 'processed' AS zone, run_id, {_DOMAIN}, NULL::VARCHAR AS domain, NULL::VARCHAR AS business_date,
-               NULL::VARCHAR AS enriched_at, NULL::VARCHAR AS stage, NULL::INTEGER AS row_number,
+               NULL::VARCHAR AS enriched_at, NULL::VARCHAR AS stage, NULL::BIGINT AS row_number,
                NULL::VARCHAR AS reason FROM passed
         UNION ALL
         SELECT 'curated', run_id, {_DOMAIN}, 'transaction', business_date, {_CLOCK}, NULL, NULL, NULL FROM final_rows
@@ -833,5 +834,30 @@ _SELECTS: dict[str, str] = {
 }
 
 
+# re-delivered facts read as if they had been delivered once
+_SELECTS["redelivered_runs"] = _SELECTS["ingestion_runs"]
+_SELECTS["redelivered_status_by_day"] = _SELECTS["vw_ingestion_status_by_day"]
+_SELECTS["redelivered_curated_with_run_context"] = _SELECTS["vw_curated_with_run_context_exact"]
+_SELECTS["odd_run_ids"] = """
+    SELECT o_orderpriority || ':%2F/{é} =*?' || o_orderstatus AS run_id, count(*)::BIGINT AS records,
+           min(o_orderkey)::BIGINT AS least FROM orders GROUP BY ALL"""
+_SELECTS["scan_jsonl_zone"] = f"""
+    SELECT run_id, {_DOMAIN}, 'transaction' AS domain, business_date, product FROM final_rows"""
+_SELECTS["small_number_text"] = """
+    SELECT l_orderkey, l_linenumber, (l_linenumber / (l_orderkey + 1) / 8)::VARCHAR AS share FROM lineitem"""
+
+
+def _escapes(column: str) -> str:
+    """Bytes that ASCII JSON adds to the characters of a text."""
+    held = lambda pattern: f"length({column}) - length(regexp_replace({column}, '{pattern}', '', 'g'))"
+    short, odd, pairs = held(r'["\\\n\t\r]'), held(r"[^ -~\n\t\r]"), held(r"[\x{10000}-\x{10FFFF}]")
+    return f"length({column}) + ({short}) + 5 * ({odd}) + 6 * ({pairs})"
+
+
+_SELECTS["json_sizes"] = f"""
+    SELECT doc_id, ({len('{"lang": "", "text": ""}') + 1} + {_escapes("coalesce(lang, '')")} + {_escapes("coalesce(text, '')")})::BIGINT
+             AS n_bytes FROM documents"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _sql(select) for name, select in _SELECTS.items()}

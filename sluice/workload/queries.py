@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sluice.contracts import PROCESSED_ZONE
 from sluice.functions import (
     anomesdia,
     blank,
     business_day,
     curated_key,
     date_key,
+    double_text,
+    json_line_bytes,
     manifest_key,
     object_uri,
     partition_prefix,
@@ -30,10 +33,10 @@ from sluice.operators.ordinals import number_by_key
 from sluice.plans.ingest import enrichment_rejects, harmonized_records
 from sluice.plans.reports import REPORTS
 from sluice.plans.views import VIEWS
-from sluice.session import configure, stage
+from sluice.session import configure, new_path, stage
 from sluice.sources import config, events, notifications
 from sluice.sources.catalog import catalog_tables
-from sluice.sources.zones import table_counts
+from sluice.sources.zones import Lake, read_jsonl_zone, table_counts
 from sluice.workload import documents, feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,7 +379,7 @@ def harmonize_accepted(spark, sf_dir):
 def harmonize_rejected(spark, sf_dir):
     runs = feeds.contexts(spark, sf_dir).select("run_id", "product", "business_date", "file_name")
     rows = harmonize.rejected(_valid_records(spark, sf_dir)).join(runs, "run_id")
-    return rows.withColumns({"stage": F.lit("harmonization"), "row_number": F.col("row_number").cast("int")}).select(*_REJECT)
+    return rows.withColumn("stage", F.lit("harmonization")).select(*_REJECT)
 
 
 def _first_gate(spark, sf_dir):
@@ -442,8 +445,7 @@ def enrich_lookup_accepted(spark, sf_dir):
 def enrich_lookup_rejected(spark, sf_dir):
     bad = enrich.rejected(_lookups(spark, sf_dir)).drop("raw_fields", "cells", "file_path")
     removed = harmonize.rejected(_valid_records(spark, sf_dir)).select("run_id", "row_number")
-    rows = enrichment_rejects(bad, removed)
-    return rows.withColumn("row_number", F.col("row_number").cast("int")).select(*_REJECT)
+    return enrichment_rejects(bad, removed).select(*_REJECT)
 
 
 @query
@@ -488,8 +490,7 @@ def ingestion_runs(spark, sf_dir):
 
 @query
 def ingestion_steps(spark, sf_dir):
-    # a column no step ever fills holds nothing to compare
-    return feeds.lake(spark, sf_dir).read("ingestion_steps").drop("batch_id", "is_retryable")
+    return feeds.lake(spark, sf_dir).read("ingestion_steps").drop("batch_id")
 
 
 @query
@@ -504,6 +505,74 @@ def latest_step_facts(spark, sf_dir):
     )
 
 
+def _redelivered(spark, sf_dir):
+    """The lake's run facts as three batches at one clock wrote them; only the last one's numbers are right."""
+    runs = feeds.lake(spark, sf_dir).read("ingestion_runs")
+    again = Lake(spark, new_path(spark, "redelivered"))
+    for batch, wrong in ((9, -1), (11, 0), (10, -2)):
+        total = F.col("total_records") if not wrong else F.lit(wrong).cast("bigint")
+        status = F.col("status") if not wrong else F.lit("FAILED")
+        written = {"batch_id": F.lit(f"events-{batch}"), "total_records": total, "status": status}
+        again.write("ingestion_runs", runs.withColumns(written))
+    return again.read("ingestion_runs")
+
+
+@query
+def redelivered_runs(spark, sf_dir):
+    return _redelivered(spark, sf_dir).drop("batch_id")
+
+
+@query
+def redelivered_status_by_day(spark, sf_dir):
+    return VIEWS["vw_ingestion_status_by_day"][0](_redelivered(spark, sf_dir))
+
+
+@query
+def redelivered_curated_with_run_context(spark, sf_dir):
+    curated_rows = feeds.lake(spark, sf_dir).read("curated")
+    return VIEWS["vw_curated_with_run_context_exact"][0](curated_rows, _redelivered(spark, sf_dir))
+
+
+@query
+def odd_run_ids(spark, sf_dir):
+    """Runs whose ids need escaping in folder names, written and read back by run."""
+    run = F.concat(F.col("o_orderpriority"), F.lit(":%2F/{é} =*?"), "o_orderstatus")
+    rows = feeds.table(spark, sf_dir, "orders").select(
+        run.alias("run_id"), F.lit("orders").alias("product"), F.lit("2026").alias("year"), F.lit("05").alias("month"),
+        F.lit("01").alias("day"), F.col("o_orderkey").cast("string").alias("transaction_id"),
+        F.col("o_orderkey").alias("row_number"),
+    )
+    empty = [F.lit(None).cast(f.dataType).alias(f.name) for f in PROCESSED_ZONE.fields if f.name not in rows.columns]
+    at = Lake(spark, new_path(spark, "odd-ids"))
+    at.write("processed", rows.select("*", *empty), gather=True)
+    found = at.read_runs("processed", rows)
+    return found.groupBy("run_id").agg(F.count(F.lit(1)).alias("records"), F.min("row_number").alias("least"))
+
+
+@query
+def scan_jsonl_zone(spark, sf_dir):
+    """The curated zone as JSON lines under other folders and suffixes, read with the declared schema."""
+    path = new_path(spark, "jsonl")
+    rows = feeds.lake(spark, sf_dir).read("curated").select("run_id", *DOMAIN, "domain", "business_date", "product")
+    placed = rows.withColumn("in_product", F.col("product"))
+    placed.write.partitionBy("in_product").option("ignoreNullFields", "false").json(path)
+    return read_jsonl_zone(spark, path, rows.schema)
+
+
+@query
+def json_sizes(spark, sf_dir):
+    """Bytes of documents as JSON lines; their texts hold line breaks, quotes and letters beyond ASCII."""
+    rows = feeds.table(spark, sf_dir, "documents")
+    return rows.select("doc_id", json_line_bytes({"lang": F.col("lang"), "text": F.col("text")}).alias("n_bytes"))
+
+
+@query
+def small_number_text(spark, sf_dir):
+    rows = feeds.table(spark, sf_dir, "lineitem")
+    shares = rows.select("l_orderkey", "l_linenumber", (F.col("l_linenumber") / (F.col("l_orderkey") + 1) / 8).alias("share"))
+    return shares.select("l_orderkey", "l_linenumber", double_text(F.col("share")).alias("share"))
+
+
 @query
 def manifest(spark, sf_dir):
     rows = feeds.lake(spark, sf_dir).read("manifests")

@@ -11,13 +11,13 @@ from sluice.sources.config import read_layout_mappings, read_product_configs
 from sluice.sources.events import open_envelopes
 from sluice.sources.zones import Lake
 
-CLOCK = "2026-05-02T08:00:00+00:00"
+CLOCK = "2027-11-09T08:00:00+00:00"
 DOMAIN_FIELDS = ["transaction_id", "customer_id", "amount", "transaction_date"]
-ORDERS_CSV = "pedido_id,cliente_id,valor_total,data_pedido\n1001,C001,159.90,2026-05-01\n1002,C002,89.50,2026-05-01\n"
+ORDERS_CSV = "pedido_id,cliente_id,valor_total,data_pedido\n7301,ana,48.25,2027-11-08\n7302,rui,12.75,2027-11-08\n"
 PAYMENTS_CSV = (
-    "pagamento_id,cliente,valor,data_pagamento\nPAY-9001,C001,159.90,2026-05-01\nPAY-9002,C002,89.50,2026-05-01\n"
+    "pagamento_id,cliente,valor,data_pagamento\nTX70,ana,48.25,2027-11-08\nTX71,rui,12.75,2027-11-08\n"
 )
-INVOICES_CSV = "invoice_id,customer_id,total,issued_at\nINV-001,C001,159.90,2026-05-01\n"
+INVOICES_CSV = "invoice_id,customer_id,total,issued_at\nbill-5,ana,48.25,2027-11-08\n"
 LAYOUTS = {
     "orders": ["pedido_id", "cliente_id", "valor_total", "data_pedido"],
     "payments": ["pagamento_id", "cliente", "valor", "data_pagamento"],
@@ -108,7 +108,7 @@ class Bench:
         return [r.asDict() for r in df.orderBy(*(order or columns or df.columns)).collect()]
 
 
-def event(product_name="orders", day="2026-05-01", **more):
+def event(product_name="orders", day="2027-11-08", **more):
     return {"product": product_name, "file_name": f"{product_name}-{day}.csv", "business_date": day, **more}
 
 

@@ -59,7 +59,7 @@ def test_notification_shapes(spark):
     def record(key, bucket="data-lake"):
         return {"s3": {"bucket": {"name": bucket}, "object": {"key": key}}}
 
-    good = "curated/orders/year%3D2026/month%3D05/day%3D01/run-1/a+b.parquet"
+    good = "curated/orders/year%3D2027/month%3D11/day%3D08/run-1/a+b.parquet"
     rows = notification_records(
         messages(
             spark,
@@ -74,7 +74,7 @@ def test_notification_shapes(spark):
     got = {}
     for r in rows:
         got.setdefault(r.id, []).append((r.bucket, r.key, r.reason))
-    assert got[0][0] == ("data-lake", "curated/orders/year=2026/month=05/day=01/run-1/a b.parquet", None)
+    assert got[0][0] == ("data-lake", "curated/orders/year=2027/month=11/day=08/run-1/a b.parquet", None)
     assert len(got[0]) == 2
     assert got[1] == [("b", "curated/a%20b", None)]
     assert 2 not in got
@@ -83,12 +83,12 @@ def test_notification_shapes(spark):
 
 
 def test_routes(spark):
-    rejected = "rejected/harmonization/orders/year=2026/month=05/day=01/run-2/f.jsonl"
+    rejected = "rejected/harmonization/orders/year=2027/month=11/day=08/run-2/f.jsonl"
     rows = route_messages(
         notification_records(
             messages(
                 spark,
-                {"bucket": "b", "key": "curated/orders/year=2026/month=05/day=01/run-1/f.parquet"},
+                {"bucket": "b", "key": "curated/orders/year=2027/month=11/day=08/run-1/f.parquet"},
                 {"bucket": "b", "key": rejected},
                 {"bucket": "b", "key": rejected, "event_type": "ingestion.file-failed", "product": "p", "run_id": "r"},
                 {"bucket": "b", "key": "odd/key"},

@@ -12,9 +12,9 @@ def land(bench, files, **conf):
     """Land one run per file and return its header and its cells in record order."""
     for name, content in files.items():
         bench.put("p", name, content)
-    rows = [("p", name, "2026-05-01", name) for name in files]
+    rows = [("p", name, "2027-11-08", name) for name in files]
     events = bench.spark.createDataFrame(rows, "product string, file_name string, business_date string, run_id string")
-    runs = execution_context(events, F.to_timestamp(F.lit("2026-05-01 00:00:00")))
+    runs = execution_context(events, F.to_timestamp(F.lit("2027-11-08 00:00:00")))
     landed = FileSource(str(bench.source)).land(bench.lake, runs)
     headers = {r.run_id: r.header for r in landed.headers.collect()}
     records = {name: [] for name in files}

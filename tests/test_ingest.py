@@ -14,8 +14,8 @@ from sluice.plans.ingest import publish_zones
 from tests.conftest import INVOICES_CSV, ORDERS_CSV, PAYMENTS_CSV, Bench, event, product
 
 HEADER = "pedido_id,cliente_id,valor_total,data_pedido\n"
-BLANK_AMOUNT = HEADER + "1001,C1,10.00,2026-05-01\n1002,C1,,2026-05-01\n"
-UNKNOWN_CUSTOMER = HEADER + "1001,C1,10.00,2026-05-01\n1002,bad,5.00,2026-05-01\n"
+BLANK_AMOUNT = HEADER + "7301,C1,31.40,2027-11-08\n7302,C1,,2027-11-08\n"
+UNKNOWN_CUSTOMER = HEADER + "7301,C1,31.40,2027-11-08\n7302,bad,5.00,2027-11-08\n"
 TABLES = ("raw", "processed", "curated", "rejected", "ingestion_runs", "ingestion_steps", "manifests", "outbox")
 
 
@@ -38,27 +38,27 @@ def world(spark, tmp_path_factory):
         wrong=product(101),
     )
     files = {
-        "orders-2026-05-01": ORDERS_CSV,
-        "payments-2026-05-01": PAYMENTS_CSV,
-        "invoices-2026-05-01": INVOICES_CSV,
-        "lenient-2026-05-01": BLANK_AMOUNT,
-        "strict-2026-05-01": BLANK_AMOUNT,
-        "lenient-2026-05-02": UNKNOWN_CUSTOMER,
-        "strict-2026-05-02": UNKNOWN_CUSTOMER,
-        "any-2026-05-01": HEADER + "1,C1,1,d\n2,,1,d\n3,bad,1,d\n4,C1,,d\n5,C1,1,d\n6,bad,1,d\n",
-        "any-2026-05-02": HEADER + "1,C1,5,d,surplus\n2,C1\n3,C1,0, \n",
+        "orders-2027-11-08": ORDERS_CSV,
+        "payments-2027-11-08": PAYMENTS_CSV,
+        "invoices-2027-11-08": INVOICES_CSV,
+        "lenient-2027-11-08": BLANK_AMOUNT,
+        "strict-2027-11-08": BLANK_AMOUNT,
+        "lenient-2027-11-09": UNKNOWN_CUSTOMER,
+        "strict-2027-11-09": UNKNOWN_CUSTOMER,
+        "any-2027-11-08": HEADER + "1,C1,1,d\n2,,1,d\n3,bad,1,d\n4,C1,,d\n5,C1,1,d\n6,bad,1,d\n",
+        "any-2027-11-09": HEADER + "1,C1,5,d,surplus\n2,C1\n3,C1,0, \n",
         "strict-2026-05-03": "pedido_id,Cliente_id,valor_total,extra\n1,C,2,x\n",
         "strict-2026-05-04": "",
         "strict-2026-05-05": HEADER,
-        "twice-2026-05-01": "id,c,net,gross,d,z\n1,C1,2,3,x,y\n",
-        "partial-2026-05-01": ORDERS_CSV,
-        "lost-2026-05-01": ORDERS_CSV,
-        "wrong-2026-05-01": ORDERS_CSV,
+        "twice-2027-11-08": "id,c,net,gross,d,z\n1,C1,2,3,x,y\n",
+        "partial-2027-11-08": ORDERS_CSV,
+        "lost-2027-11-08": ORDERS_CSV,
+        "wrong-2027-11-08": ORDERS_CSV,
     }
     for name, content in files.items():
         b.put(name.split("-")[0], f"{name}.csv", content)
     b.put("drop/batch", "part-0.csv", ORDERS_CSV)
-    b.put("drop/batch", "part-1.csv", ORDERS_CSV.replace("100", "200"))
+    b.put("drop/batch", "part-1.csv", ORDERS_CSV.replace("730", "880"))
     b.put("drop/batch", "_SUCCESS", "")
     events = [event(n.split("-")[0], n.split("-", 1)[1], run_id=n) for n in files]
     events += [
@@ -67,7 +67,7 @@ def world(spark, tmp_path_factory):
         "garbage",
         event(day="01-05-2026"),
     ]
-    b.batch = b.ingest(*events, lookups=b.reference("C1", "C001", "C002"))
+    b.batch = b.ingest(*events, lookups=b.reference("C1", "ana", "rui"))
     publish_zones(b.lake, b.configs(), b.lake.read("curated"), b.lake.read("rejected"), "0")
     b.runs = {r["execution_id"]: r for r in b.rows("ingestion_runs")}
     b.steps = {(s["execution_id"], s["step_order"]): s for s in b.rows("ingestion_steps")}
@@ -84,30 +84,30 @@ def outbox(world, run):
 
 
 def test_configured_files_reach_curated(world):
-    first = min(of(world, "curated", "orders-2026-05-01"), key=lambda r: r["row_number"])
+    first = min(of(world, "curated", "orders-2027-11-08"), key=lambda r: r["row_number"])
     assert {k: first[k] for k in ("transaction_id", "customer_id", "amount", "transaction_date", "domain", "product", "business_date", "enriched_at")} == {
-        "transaction_id": "1001",
-        "customer_id": "C001",
-        "amount": "159.90",
-        "transaction_date": "2026-05-01",
+        "transaction_id": "7301",
+        "customer_id": "ana",
+        "amount": "48.25",
+        "transaction_date": "2027-11-08",
         "domain": "transaction",
         "product": "orders",
-        "business_date": "2026-05-01",
-        "enriched_at": "2026-05-02T08:00:00+00:00",
+        "business_date": "2027-11-08",
+        "enriched_at": "2027-11-09T08:00:00+00:00",
     }
-    for name in ("orders-2026-05-01", "payments-2026-05-01"):
+    for name in ("orders-2027-11-08", "payments-2027-11-08"):
         run = world.runs[name]
         assert (run["status"], run["total_records"], run["processed_records"]) == ("SUCCEEDED", 2, 2)
         assert len(of(world, "raw", name)) == 3 and len(of(world, "processed", name)) == 2  # raw keeps the header line
         assert [(name, i) in world.steps for i in (1, 2, 3, 4)] == [True] * 4
-    assert world.steps["orders-2026-05-01", 2]["file_size_bytes"] == len(ORDERS_CSV.encode())
-    assert world.runs["orders-2026-05-01"]["curated_path"] == (
-        "s3://data-lake/curated/orders/year=2026/month=05/day=01/orders-2026-05-01/orders-2026-05-01.parquet"
+    assert world.steps["orders-2027-11-08", 2]["file_size_bytes"] == len(ORDERS_CSV.encode())
+    assert world.runs["orders-2027-11-08"]["curated_path"] == (
+        "s3://data-lake/curated/orders/year=2027/month=11/day=08/orders-2027-11-08/orders-2027-11-08.parquet"
     )
 
 
 def test_each_record_goes_to_each_destination(world):
-    for name in ("orders-2026-05-01", "payments-2026-05-01"):
+    for name in ("orders-2027-11-08", "payments-2027-11-08"):
         sent = outbox(world, name)
         assert sorted(m["destination"] for m in sent) == ["analytics-events"] * 2 + ["billing-events"] * 2
         assert {m["record"]["domain"] for m in sent} == {"transaction"}
@@ -115,22 +115,22 @@ def test_each_record_goes_to_each_destination(world):
 
 
 def test_unconfigured_product_fails_validation_without_a_message(world):
-    run = world.runs["invoices-2026-05-01"]
+    run = world.runs["invoices-2027-11-08"]
     assert (run["status"], run["failure_step"], run["domain"]) == ("FAILED", "ValidateEvent", "unknown")
     assert run["error_message"] == "product not configured: invoices"
-    assert world.steps["invoices-2026-05-01", 1]["status"] == "SUCCEEDED" and ("invoices-2026-05-01", 2) not in world.steps
-    assert outbox(world, "invoices-2026-05-01") == []
-    assert "between 0 and 100" in world.runs["wrong-2026-05-01"]["error_message"]
-    assert outbox(world, "wrong-2026-05-01") == []
+    assert world.steps["invoices-2027-11-08", 1]["status"] == "SUCCEEDED" and ("invoices-2027-11-08", 2) not in world.steps
+    assert outbox(world, "invoices-2027-11-08") == []
+    assert "between 0 and 100" in world.runs["wrong-2027-11-08"]["error_message"]
+    assert outbox(world, "wrong-2027-11-08") == []
 
 
 def test_reject_under_threshold(world):
-    name = "lenient-2026-05-01"
-    assert [r["transaction_id"] for r in of(world, "curated", name)] == ["1001"]
+    name = "lenient-2027-11-08"
+    assert [r["transaction_id"] for r in of(world, "curated", name)] == ["7301"]
     (bad,) = of(world, "rejected", name)
     assert (bad["stage"], bad["row_number"], bad["reason"]) == ("harmonization", 2, "missing domain fields: amount")
     assert json.loads(bad["raw_row"]) == {
-        "pedido_id": "1002", "cliente_id": "C1", "valor_total": "", "data_pedido": "2026-05-01"
+        "pedido_id": "7302", "cliente_id": "C1", "valor_total": "", "data_pedido": "2027-11-08"
     }
     run = world.runs[name]
     assert (run["status"], run["processed_records"], run["rejected_records"]) == ("SUCCEEDED", 1, 1)
@@ -142,7 +142,7 @@ def test_reject_under_threshold(world):
 
 
 def test_reject_over_threshold_stops_the_run(world):
-    name = "strict-2026-05-01"
+    name = "strict-2027-11-08"
     assert of(world, "processed", name) == of(world, "curated", name) == of(world, "manifests", name) == []
     assert len(of(world, "rejected", name)) == 1
     run = world.runs[name]
@@ -157,7 +157,7 @@ def test_reject_over_threshold_stops_the_run(world):
     assert [m["rows"] for m in failed] == [{"rejected": 1, "total": 2}]
 
 
-@pytest.mark.parametrize("name, stopped", [("lenient-2026-05-02", False), ("strict-2026-05-02", True)])
+@pytest.mark.parametrize("name, stopped", [("lenient-2027-11-09", False), ("strict-2027-11-09", True)])
 def test_enrichment_lookup(world, name, stopped):
     assert [r["customer_id"] for r in of(world, "curated", name)] == ([] if stopped else ["C1"])
     (bad,) = of(world, "rejected", name)
@@ -170,16 +170,16 @@ def test_enrichment_lookup(world, name, stopped):
 
 
 def test_enrichment_numbers_count_processed_records(world):
-    got = {(r["stage"], r["row_number"]) for r in of(world, "rejected", "any-2026-05-01")}
+    got = {(r["stage"], r["row_number"]) for r in of(world, "rejected", "any-2027-11-08")}
     assert got == {("harmonization", 2), ("harmonization", 4), ("enrichment", 2), ("enrichment", 4)}
-    paths = world.runs["any-2026-05-01"]["rejected_path"].split(", ")
+    paths = world.runs["any-2027-11-08"]["rejected_path"].split(", ")
     assert ["/harmonization/" in paths[0], "/enrichment/" in paths[1]] == [True, True]
 
 
 def test_short_long_and_space_cells(world):
-    got = sorted((r["transaction_id"], r["amount"], r["transaction_date"]) for r in of(world, "curated", "any-2026-05-02"))
+    got = sorted((r["transaction_id"], r["amount"], r["transaction_date"]) for r in of(world, "curated", "any-2027-11-09"))
     assert got == [("1", "5", "d"), ("3", "0", " ")]
-    (bad,) = of(world, "rejected", "any-2026-05-02")
+    (bad,) = of(world, "rejected", "any-2027-11-09")
     assert bad["reason"] == "missing domain fields: amount, transaction_date"
     assert bad["raw_row"] == '{"cliente_id":"C1","data_pedido":null,"pedido_id":"2","valor_total":null}'
 
@@ -214,19 +214,19 @@ def test_missing_source_file_fails_landing(world):
 
 
 def test_invalid_and_missing_mapping(world):
-    error = world.runs["partial-2026-05-01"]["error_message"]
+    error = world.runs["partial-2027-11-08"]["error_message"]
     assert error == "mapping for partial missing domain fields: customer_id, amount, transaction_date"
-    assert world.runs["lost-2026-05-01"]["error_message"] == "s3 object not found: s3://data-lake/de-para/nowhere.json"
-    assert world.runs["lost-2026-05-01"]["failure_step"] == "HarmonizationGlue"
+    assert world.runs["lost-2027-11-08"]["error_message"] == "s3 object not found: s3://data-lake/de-para/nowhere.json"
+    assert world.runs["lost-2027-11-08"]["failure_step"] == "HarmonizationGlue"
 
 
 def test_last_source_column_wins_for_a_domain_field(world):
-    assert [r["amount"] for r in of(world, "curated", "twice-2026-05-01")] == ["2"]
+    assert [r["amount"] for r in of(world, "curated", "twice-2027-11-08")] == ["2"]
 
 
 def test_source_key_override_and_part_folder(world):
     got = sorted((r["row_number"], r["transaction_id"]) for r in of(world, "curated", "parts"))
-    assert got == [(1, "1001"), (2, "1002"), (3, "2001"), (4, "2002")]
+    assert got == [(1, "7301"), (2, "7302"), (3, "8801"), (4, "8802")]
     assert world.runs["parts"]["source_key"] == "drop/batch"
 
 
@@ -240,14 +240,14 @@ def test_malformed_events_are_quarantined(world):
 
 def test_evidence(world):
     got = {r.run_id: (r.status, r.steps) for r in facts.evidence(world.batch.states).collect()}
-    assert got["invoices-2026-05-01"] == ("FAIL", "InitExecution:OK, ValidateEvent:FAIL")
+    assert got["invoices-2027-11-08"] == ("FAIL", "InitExecution:OK, ValidateEvent:FAIL")
     assert got["absent"] == ("FAIL", "InitExecution:OK, ProductConfig:OK, LandingGlue:FAIL")
-    assert got["orders-2026-05-01"][1].endswith("S3Notification:OK, Manifest:OK, FinalizeExecution:OK")
+    assert got["orders-2027-11-08"][1].endswith("S3Notification:OK, Manifest:OK, FinalizeExecution:OK")
 
 
 def test_replay_redelivery_and_fan_out(bench):
     bench.config(orders=product(50, 10))
-    bench.put("orders", "orders-2026-05-01.csv", BLANK_AMOUNT)
+    bench.put("orders", "orders-2027-11-08.csv", BLANK_AMOUNT)
     both = (event(run_id="r1"), event(run_id="r2"))
     bench.ingest(*both, event(run_id="r1"), batch_id="7")
     first = {t: bench.rows(t) for t in TABLES}
@@ -262,21 +262,21 @@ def test_replay_redelivery_and_fan_out(bench):
     assert views.curated_with_run_context_exact(curated, runs).count() == 2
     assert [r.curated_records for r in reports.curated_with_run_context(curated, runs).collect()] == [4]
     # a later delivery of a run replaces its rows, and its facts count from then on
-    bench.put("orders", "orders-2026-05-01.csv", BLANK_AMOUNT + "1003,C3,5.00,2026-05-01\n")
-    later = {"batch_id": "8", "clock": "2026-05-03T08:00:00+00:00", "finished": F.lit("2026-05-03T08:01:30+00:00")}
+    bench.put("orders", "orders-2027-11-08.csv", BLANK_AMOUNT + "7303,C3,5.00,2027-11-08\n")
+    later = {"batch_id": "8", "clock": "2027-11-10T08:00:00+00:00", "finished": F.lit("2027-11-10T08:01:30+00:00")}
     bench.ingest(both[0], **later)
-    assert len(bench.rows("ingestion_runs")) == 3
-    latest = {r.execution_id: r for r in facts.latest_runs(bench.lake.read("ingestion_runs")).collect()}
+    assert bench.lake.history("ingestion_runs").count() == 3
+    latest = {r.execution_id: r for r in bench.lake.read("ingestion_runs").collect()}
     assert {k: r.total_records for k, r in latest.items()} == {"r1": 3, "r2": 2}
     assert latest["r1"].duration_seconds == 90
-    assert facts.latest_steps(bench.lake.read("ingestion_steps")).count() == 8
+    assert bench.lake.read("ingestion_steps").count() == 8
     assert len(bench.rows("curated")) == 3
 
 
 def test_user_hook_rejects_rows(bench):
     bench.config(orders=product(100, 100))
-    bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV)
-    low = F.when(F.col("amount").cast("double") < 100, F.lit("amount too low"))
+    bench.put("orders", "orders-2027-11-08.csv", ORDERS_CSV)
+    low = F.when(F.col("amount").cast("double") < 20, F.lit("amount too low"))
     bench.ingest(event(run_id="r1"), hook=lambda df: df.withColumn("reject_reason", low))
     assert [r["reason"] for r in bench.rows("rejected")] == ["amount too low"]
     step = next(s for s in bench.rows("ingestion_steps") if s["step_order"] == 4)

@@ -3,11 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
-from sluice.workload import feeds
+from sluice.workload import feeds, oracle, queries
 from tests.check import connect, difference
 
 SF_DIR = "/root/testdata/sf0.001"
-ORACLES = entry.oracle_sql()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +15,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(queries.queries()))
 def test_query_equals_sql(spark, con, name):
     assert difference(entry.queries()[name](spark, SF_DIR), con, ORACLES[name]) == ""
 

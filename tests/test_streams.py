@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sluice.plans.ingest import FileSource
 from sluice.sources.catalog import ANALYTICS_DB, BUSINESS_DB, catalog_tables, register_views
 from sluice.streaming import ingestion_stream, publication_streams
-from tests.conftest import CLOCK, ORDERS_CSV, PAYMENTS_CSV, event
+from tests.conftest import CLOCK, ORDERS_CSV, PAYMENTS_CSV, Bench, event
 
 
 def drain(writer):
@@ -16,10 +16,10 @@ def drain(writer):
     return sum(p["numInputRows"] for p in query.recentProgress)
 
 
-def test_loops_restart_and_catalog(bench):
+def test_loops_restart(bench):
     spark = bench.spark
-    bench.put("orders", "orders-2026-05-01.csv", ORDERS_CSV)
-    bench.put("payments", "payments-2026-05-01.csv", PAYMENTS_CSV)
+    bench.put("orders", "orders-2027-11-08.csv", ORDERS_CSV)
+    bench.put("payments", "payments-2027-11-08.csv", PAYMENTS_CSV)
 
     def ingestion():
         source = FileSource(str(bench.source))
@@ -41,8 +41,10 @@ def test_loops_restart_and_catalog(bench):
     bench.rows("rejected")
     assert bench.lake.read("rejected").isEmpty()
 
-    tell("2.json", {"detail": event("payments", run_id="r2")}, event("invoices", run_id="r3"))
-    assert drain(ingestion()) == 2
+    ours = {"source": "local.product-lake", "detail-type": "file-ready", "detail": event("payments", run_id="r2")}
+    elsewhere = [{**ours, "source": "other", "detail": event(run_id="r9")}, {**ours, "detail-type": "x", "detail": event(run_id="r8")}]
+    tell("2.json", ours, event("invoices", run_id="r3"), *elsewhere)
+    drain(ingestion())
     assert {r["execution_id"]: r["status"] for r in bench.rows("ingestion_runs")} == {
         "r1": "SUCCEEDED",
         "r2": "SUCCEEDED",
@@ -53,12 +55,20 @@ def test_loops_restart_and_catalog(bench):
     by_destination = bench.lake.read("outbox").groupBy("destination").count().collect()
     assert {r["destination"]: r["count"] for r in by_destination} == {"billing-events": 4, "analytics-events": 4}
 
-    # the same lake through the catalog, twice: registration is safe to repeat
-    for _ in range(2):
-        rows = {r.table_name: r for r in catalog_tables(bench.lake).collect()}
-    assert len(rows) == 6 and rows["business_curated"].row_count == 4
+
+def test_catalog_follows_the_lake(bench, tmp_path_factory):
+    """Two lakes registered one after the other in one session, each twice."""
+    spark = bench.spark
+    other = Bench(spark, tmp_path_factory.mktemp("other"))
+    for at, runs in ((bench, ("r1",)), (other, ("r1", "r2", "r3")), (bench, ("r1",))):
+        at.put("orders", "orders-2027-11-08.csv", ORDERS_CSV)
+        at.ingest(*[event(run_id=r) for r in runs])
+        for _ in range(2):
+            rows = {r.table_name: r for r in catalog_tables(at.lake).collect()}
+        assert len(rows) == 6 and rows["business_curated"].row_count == 2 * len(runs)
+        assert rows["analytics_ingestion_runs"].row_count == len(runs)
     assert (rows["analytics_ingestion_runs"].column_count, rows["analytics_ingestion_steps"].column_count) == (24, 64)
     assert spark.catalog.databaseExists(ANALYTICS_DB) and spark.catalog.databaseExists(BUSINESS_DB)
     register_views(spark, {t: bench.lake.read(t) for t in ("ingestion_runs", "ingestion_steps", "curated", "rejected")})
     totals = spark.sql("SELECT sum(total_runs) AS n FROM vw_ingestion_status_by_day").first()
-    assert totals.n == 3
+    assert totals.n == 1
