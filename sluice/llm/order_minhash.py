@@ -8,9 +8,9 @@ similarity, 1 - edits / words of the longer, reaches ``SIMILARITY``, by banded a
 
 Exact copies count once. The documents that share a sketch are compared with the smallest of them, not with each other. First
 each document is aligned with the one it is most often held against; what this links forms classes. Then come the
-candidate pairs between different classes. A document that some group's smallest doesn't explain stays in that group
-without it, and the group is cut finer by another sketch, until no group of two is left. So every group is worked off, and
-no pair is emitted twice within a class. Two documents of which no sketch agrees are never compared: with 24 sketches of 4
+candidate pairs between different classes. The documents that their group's smallest doesn't explain go on without it: up to
+``SMALL_GROUP`` of them are compared with each other, more are cut finer by further sketches, until no group of two is left. So
+every group is worked off, and a document never has more than a few partners in a group, however large. Two documents of which no sketch agrees are never compared: with 24 sketches of 4
 shingles that is one pair in 3 * 10^5 at a shingle similarity of 0.8.
 
 Defined cases: documents without words (null, empty, blank) are copies of each other; a document shorter than a shingle is
@@ -37,7 +37,8 @@ K = 5
 SKETCHES = 24
 PICKED = 4
 SIMILARITY = 0.8
-_FINER = 3  # sketches by which a group is cut finer in a round
+SMALL_GROUP = 8  # members of a group that are compared with each other once its smallest doesn't explain them
+_FINER = 3  # sketches by which a large group is cut finer in the first round
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _JOIN = np.uint64(0x9E3779B97F4A7C15)
@@ -150,7 +151,7 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
     held = stage(_held_against(groups), "candidates")
     pairs = _possible(held, similarity).groupBy("doc", "lead").agg(F.count(F.lit(1)).alias("n"))
     pairs = stage(pairs, "candidate-pairs")
-    best = pairs.groupBy("doc").agg(F.max_by("lead", F.struct("n", -F.col("lead"))).alias("lead"))
+    best = pairs.groupBy("doc").agg(F.max_by("lead", F.struct("n", F.bitwise_not("lead"))).alias("lead"))
     links = _aligned(best.select(F.col("lead").alias("a"), F.col("doc").alias("b")), texts, similarity)
     roots = components(links)
 
@@ -161,25 +162,34 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
     rest = apart(pairs).join(best, ["doc", "lead"], "left_anti").select(F.col("lead").alias("a"), F.col("doc").alias("b"))
     links = links.unionByName(_aligned(rest, texts, similarity))
     roots = components(links)
-    # what its group's smallest doesn't explain goes on without it, in groups cut finer
-    unexplained = stage(apart(held).select("group", "doc", "n_words"), "unexplained")
+    # what its group's smallest doesn't explain goes on without it: small groups are settled, large ones cut finer
+    unexplained = apart(held).select("group", "doc", "n_words")
     for cut in range(SKETCHES):
-        alone = unexplained.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("group")
-        unexplained = stage(unexplained.join(alone, "group", "left_semi"), "unexplained")
+        several = unexplained.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+        unexplained = stage(unexplained.join(several, "group"), "unexplained")
         if unexplained.isEmpty():
             break
         finer = [(cut * _FINER + k) % SKETCHES for k in range(_FINER if cut == 0 else 1)]
-        keyed = unexplained.join(texts.select("doc", "sketches"), "doc")
+        keyed = unexplained.filter(F.col("n") > SMALL_GROUP).join(texts.select("doc", "sketches"), "doc")
         parts = F.array(*[F.xxhash64("group", F.lit(i), F.get("sketches", F.lit(i))) for i in finer])
-        groups = keyed.select("doc", "n_words", F.explode(parts).alias("group")).distinct()
-        held = stage(_held_against(groups), "candidates")
-        new = _possible(apart(held), similarity).select(F.col("lead").alias("a"), F.col("doc").alias("b")).distinct()
-        links = stage(links.unionByName(_aligned(new, texts, similarity)), "links")
-        roots = components(links)
-        unexplained = stage(apart(held).select("group", "doc", "n_words"), "unexplained")
+        held = _held_against(keyed.select("doc", "n_words", F.explode(parts).alias("group")).distinct())
+        new = held.select("doc", "n_words", "lead", "lead_words").unionByName(_each_with_smaller(unexplained.filter(F.col("n") <= SMALL_GROUP)))
+        found = _aligned(apart(_possible(new, similarity).distinct()).select(F.col("lead").alias("a"), F.col("doc").alias("b")), texts, similarity)
+        if not found.isEmpty():
+            links = stage(links.unionByName(found), "links")
+            roots = components(links)
+        unexplained = apart(held).select("group", "doc", "n_words")
     return roots
 
 
+def _each_with_smaller(groups: DataFrame) -> DataFrame:
+    """(doc, n_words, lead, lead_words): members of groups of bounded size, each beside the smaller ones."""
+    listed = groups.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("doc", "n_words"))).alias("all"))  # SMALL_GROUP at most
+    one = listed.select("all", F.inline("all"))
+    smaller = F.filter("all", lambda x: x["doc"] < F.col("doc"))
+    return one.select("doc", "n_words", F.inline(F.transform(smaller, lambda x: F.struct(x["doc"].alias("lead"), x["n_words"].alias("lead_words")))))
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", similarity: float = SIMILARITY, name: str = "near"
 ) -> DataFrame:
