@@ -41,6 +41,7 @@ ERROR_THRESHOLD = "RejectedRowsThresholdError"
 class LakeNames:
     """Bucket names that appear in logical paths; deployments override them."""
 
+    # --- Fixed values: the default names ---
     scheme: str = "s3"
     source_bucket: str = "product-lake"
     data_bucket: str = "data-lake"

@@ -23,10 +23,10 @@ def troubleshooting_dashboard(runs: DataFrame) -> DataFrame:
         "anomesdia",
         "product",
         F.col("status").alias("run_status"),
-        *["source_bucket", "source_key", "source_file_name", "total_records", "processed_records"],
-        *["rejected_records", "error_records", "failure_step"],
+        "source_bucket", "source_key", "source_file_name", "total_records", "processed_records",
+        "rejected_records", "error_records", "failure_step",
         F.col("error_message").alias("run_error"),
-        *["raw_path", "processed_path", "curated_path", "rejected_path"],
+        "raw_path", "processed_path", "curated_path", "rejected_path",
     ).orderBy("anomesdia", "product")
 
 
@@ -40,8 +40,8 @@ def errors_from_steps(steps: DataFrame) -> DataFrame:
     return (
         steps.filter(filled("error_message"))
         .select(
-            *["anomesdia", "product", "step_name", "error_type", "error_code", "error_message", "error_category"],
-            *["source_bucket", "source_key", "occurred_at"],
+            "anomesdia", "product", "step_name", "error_type", "error_code", "error_message", "error_category",
+            "source_bucket", "source_key", "occurred_at",
         )
         .orderBy("anomesdia", "product", "occurred_at")
     )
@@ -57,8 +57,8 @@ def schema_from_steps(steps: DataFrame) -> DataFrame:
     return (
         steps.filter(filled("schema_name"))
         .select(
-            *["anomesdia", "product", "step_name", "schema_name", "validation_result"],
-            *["missing_columns", "unexpected_columns", "validated_at"],
+            "anomesdia", "product", "step_name", "schema_name", "validation_result",
+            "missing_columns", "unexpected_columns", "validated_at",
         )
         .orderBy("anomesdia", "product", "validated_at")
     )

@@ -29,10 +29,10 @@ def troubleshooting(runs: DataFrame) -> DataFrame:
         "product",
         "domain",
         F.col("status").alias("run_status"),
-        *["source_bucket", "source_key", "source_file_name", "ingestion_id", "execution_id"],
-        *["total_records", "processed_records", "rejected_records", "error_records", "failure_step"],
+        "source_bucket", "source_key", "source_file_name", "ingestion_id", "execution_id",
+        "total_records", "processed_records", "rejected_records", "error_records", "failure_step",
         F.col("error_message").alias("run_error"),
-        *["started_at", "finished_at", "raw_path", "processed_path", "curated_path", "rejected_path"],
+        "started_at", "finished_at", "raw_path", "processed_path", "curated_path", "rejected_path",
         F.when(F.col("rejected_records") > 0, 1).otherwise(0).alias("has_rejections"),
     )
 
@@ -55,7 +55,7 @@ def errors_with_source(steps: DataFrame, runs: DataFrame) -> DataFrame:
     joined = steps.filter(filled("error_message")).drop("execution_id").join(run, "ingestion_id", "left")
     return joined.select(
         *own,
-        *["occurred_at", "source_bucket", "source_key", "source_file_name"],
+        "occurred_at", "source_bucket", "source_key", "source_file_name",
         F.col("run_ingestion_id").alias("ingestion_id"),
         "execution_id",
         "run_status",
@@ -82,8 +82,8 @@ def quality_results_exact(steps: DataFrame) -> DataFrame:
 
 def schema_validation_results(steps: DataFrame) -> DataFrame:
     return steps.filter(filled("schema_name")).select(
-        *["anomesdia", "product", "step_name", "schema_name", "schema_version", "validation_result"],
-        *["missing_columns", "unexpected_columns", "validation_message", "validated_at"],
+        "anomesdia", "product", "step_name", "schema_name", "schema_version", "validation_result",
+        "missing_columns", "unexpected_columns", "validation_message", "validated_at",
     )
 
 
@@ -99,8 +99,8 @@ def rejections_summary(steps: DataFrame) -> DataFrame:
 
 def file_lineage(steps: DataFrame) -> DataFrame:
     return steps.filter(filled("artifact_type")).select(
-        *["anomesdia", "product", "step_name", "artifact_type", "artifact_role", "lineage_bucket", "lineage_key"],
-        *["lineage_format", "record_count_lineage", "file_size_bytes", "parent_bucket", "parent_key"],
+        "anomesdia", "product", "step_name", "artifact_type", "artifact_role", "lineage_bucket", "lineage_key",
+        "lineage_format", "record_count_lineage", "file_size_bytes", "parent_bucket", "parent_key",
         "lineage_created_at",
     )
 

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,26 @@ def new_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_root(spark), f"{label}-{uuid.uuid4().hex[:12]}")
 
 
+_staged = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables staged inside, by this thread, when the work is done or has failed.
+
+    For work whose results are written elsewhere, such as a micro-batch.
+    """
+    outer = getattr(_staged, "paths", None)
+    _staged.paths = []
+    try:
+        yield
+    finally:
+        for name in _staged.paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _staged.paths = outer
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to shared storage and read it back.
 
@@ -66,6 +88,8 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     optimiser true file sizes, so a later join broadcasts the table only if it really is small.
     """
     path = new_path(df.sparkSession, label)
+    if getattr(_staged, "paths", None) is not None:
+        _staged.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -15,6 +15,7 @@ from sluice.contracts import CURATED_ZONE, REJECTED_ZONE
 from sluice.functions import clock_text
 from sluice.operators.enrich import Hook, Lookup
 from sluice.plans.ingest import Source, ingest, publish_zones
+from sluice.session import scratch
 from sluice.sources.events import misrouted, open_envelopes
 from sluice.sources.zones import Lake
 
@@ -44,17 +45,18 @@ def ingestion_stream(
         if now is None:
             # one literal per batch, so that every task and every table agrees on the time
             now = F.lit(batch.sparkSession.range(1).select(clock_text(F.current_timestamp())).first()[0])
-        ingest(
-            lake,
-            open_envelopes(batch),
-            configs,
-            mappings,
-            source,
-            now,
-            lookups=lookups,
-            hook=hook,
-            batch_id=f"events-{batch_id}",
-        )
+        with scratch(lake.spark):
+            ingest(
+                lake,
+                open_envelopes(batch),
+                configs,
+                mappings,
+                source,
+                now,
+                lookups=lookups,
+                hook=hook,
+                batch_id=f"events-{batch_id}",
+            )
 
     return messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
 
@@ -69,10 +71,12 @@ def publication_streams(
     no_rejected = spark.createDataFrame([], REJECTED_ZONE)
 
     def ready(batch: DataFrame, batch_id: int) -> None:
-        publish_zones(lake, configs, batch, no_rejected, f"curated-{batch_id}")
+        with scratch(spark):
+            publish_zones(lake, configs, batch, no_rejected, f"curated-{batch_id}")
 
     def bad(batch: DataFrame, batch_id: int) -> None:
-        publish_zones(lake, configs, no_curated, batch, f"rejected-{batch_id}")
+        with scratch(spark):
+            publish_zones(lake, configs, no_curated, batch, f"rejected-{batch_id}")
 
     return (
         lake.read_stream("curated", max_files)

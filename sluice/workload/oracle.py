@@ -175,17 +175,20 @@ _CTES["run_facts"] = f"""
            error AS error_message
     FROM outcomes"""
 
-_STEP_TEXT = (
-    "error_type error_code error_category source_bucket source_key payload_ref occurred_at rule_name rule_type "
-    "rule_result threshold_value measured_value quality_details measured_at schema_name schema_version "
-    "validation_result missing_columns unexpected_columns invalid_types validation_message validated_at "
-    "rejection_reason rejection_category rejected_detail_path sample_message artifact_type artifact_role "
-    "lineage_bucket lineage_key lineage_format parent_bucket parent_key lineage_created_at"
-).split()
-_STEP_NUMBERS = (
-    "valid_records invalid_records warning_records rejected_count_summary total_step_records_summary "
-    "record_count_lineage file_size_bytes"
-).split()
+# fixed values: columns of a step fact beyond its core, by type
+_STEP_TEXT = [
+    "error_type", "error_code", "error_category", "source_bucket", "source_key",
+    "payload_ref", "occurred_at", "rule_name", "rule_type", "rule_result",
+    "threshold_value", "measured_value", "quality_details", "measured_at", "schema_name",
+    "schema_version", "validation_result", "missing_columns", "unexpected_columns", "invalid_types",
+    "validation_message", "validated_at", "rejection_reason", "rejection_category", "rejected_detail_path",
+    "sample_message", "artifact_type", "artifact_role", "lineage_bucket", "lineage_key",
+    "lineage_format", "parent_bucket", "parent_key", "lineage_created_at",
+]
+_STEP_NUMBERS = [
+    "valid_records", "invalid_records", "warning_records", "rejected_count_summary", "total_step_records_summary",
+    "record_count_lineage", "file_size_bytes",
+]
 
 
 def _step(name: str, order: int, job: str, source: str, ok: str, **given: str) -> str:

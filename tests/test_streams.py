@@ -1,10 +1,12 @@
 """Both loops as streams: restart, bad messages and idempotent publication."""
 
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from sluice.plans.ingest import FileSource
+from sluice.session import shared_root
 from sluice.sources.catalog import ANALYTICS_DB, BUSINESS_DB, catalog_tables, register_views
 from sluice.streaming import ingestion_stream, publication_streams
 from tests.conftest import CLOCK, ORDERS_CSV, PAYMENTS_CSV, Bench, event
@@ -34,6 +36,8 @@ def test_loops_restart(bench):
     def tell(name, *bodies):
         (bench.events_dir / name).write_text("\n".join(b if isinstance(b, str) else json.dumps(b) for b in bodies))
 
+    os.makedirs(shared_root(spark), exist_ok=True)
+    staged = set(os.listdir(shared_root(spark)))
     tell("1.json", {"detail": event(run_id="r1")}, "garbage")
     assert drain(ingestion()) == 2
     assert len(bench.rows("curated")) == 2 and len(bench.rows("quarantine")) == 1
@@ -52,6 +56,7 @@ def test_loops_restart(bench):
     }
     assert publication() == [4, 0]
     assert publication() == [0, 0]
+    assert set(os.listdir(shared_root(spark))) == staged  # a batch leaves no staged table behind
     by_destination = bench.lake.read("outbox").groupBy("destination").count().collect()
     assert {r["destination"]: r["count"] for r in by_destination} == {"billing-events": 4, "analytics-events": 4}
 
