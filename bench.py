@@ -19,6 +19,8 @@ CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 HEADLINE = (
     "threshold_gate",
+    "file_threshold_gate",
+    "file_curated",
     "harmonize_mapped",
     "harmonize_rejected",
     "processed",

@@ -14,7 +14,7 @@ from sluice.functions.keys import (
     source_key,
     stem,
 )
-from sluice.functions.text import blank, double_text, first_filled, json_line_bytes, python_json, sorted_json
+from sluice.functions.text import blank, csv_line, double_text, first_filled, json_line_bytes, python_json, sorted_json
 
 __all__ = [
     "anomesdia",
@@ -22,6 +22,7 @@ __all__ = [
     "blank",
     "business_day",
     "clock_text",
+    "csv_line",
     "curated_key",
     "date_key",
     "double_text",

@@ -32,6 +32,16 @@ def double_text(c: Column) -> Column:
     return F.when(exponent == "", text).when(exponent == "4", plain).otherwise(scientific)
 
 
+def csv_line(cells: str) -> Column:
+    """An array of texts as one CSV line."""
+
+    def cell(c: Column) -> Column:
+        quoted = F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(c.rlike('[",\r\n]'), quoted).otherwise(F.coalesce(c, F.lit("")))
+
+    return F.array_join(F.transform(cells, cell), ",")
+
+
 def sorted_json(**fields: Column) -> Column:
     """One JSON object whose top-level keys are in alphabetical order; NULL fields are kept."""
     return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.operators import enrich, facts, harmonize, publish
 from sluice.operators.ordinals import renumber_without
+from sluice.functions import csv_line
 from sluice.sources import files as csv_files
 from sluice.sources.config import validate_configs
 from sluice.sources.events import execution_context, validate_events
@@ -43,7 +44,8 @@ class FileSource:
 
 @dataclass(frozen=True)
 class TableSource:
-    """Records that are already rows of a numbered table; landing keeps them as comma-separated lines."""
+    """Records that are already rows of a numbered table; landing keeps them as CSV lines (quoted where needed, NULL as
+    an empty cell), without header lines."""
 
     landed: Landed
 
@@ -52,7 +54,7 @@ class TableSource:
         frames = (self.landed.rows, self.landed.headers, self.landed.files, self.landed.totals)
         rows, headers, files, totals = [f.join(only, "run_id", "left_semi") for f in frames]
         lines = rows.join(_run_parts(runs), "run_id").withColumns(
-            {"block_start": F.lit(0), "pos": F.col("row_number"), "line": F.concat_ws(",", "cells")}
+            {"block_start": F.lit(0), "pos": F.col("row_number"), "line": csv_line("cells")}
         )
         lake.write("raw", lines)
         return Landed(rows, headers, files, totals)

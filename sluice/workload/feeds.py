@@ -308,5 +308,13 @@ def land_csv(spark: SparkSession, sf_dir: str) -> tuple[Lake, Landed]:
 landed_csv = _once(land_csv)
 
 
+@_once
+def csv_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every parsed file's own header resolved against its product's mapping."""
+    by_product = harmonize.product_layouts(products(spark), mappings(spark))
+    headers = landed_csv(spark, sf_dir)[1].headers
+    return stage(harmonize.file_layouts(headers, csv_runs(spark, sf_dir), by_product), "csv-layouts")
+
+
 def products(spark: SparkSession) -> DataFrame:
     return validate_configs(configs(spark))

@@ -841,6 +841,9 @@ _SELECTS: dict[str, str] = {
 _SELECTS["redelivered_runs"] = _SELECTS["ingestion_runs"]
 _SELECTS["redelivered_status_by_day"] = _SELECTS["vw_ingestion_status_by_day"]
 _SELECTS["redelivered_curated_with_run_context"] = _SELECTS["vw_curated_with_run_context_exact"]
+# from files the same records come out
+for _name in ("threshold_gate", "processed", "curated"):
+    _SELECTS[f"file_{_name}"] = _SELECTS[_name]
 _SELECTS["odd_run_ids"] = """
     SELECT o_orderpriority || ':%2F/{é} =*?' || o_orderstatus AS run_id, count(*)::BIGINT AS records,
            min(o_orderkey)::BIGINT AS least FROM orders GROUP BY ALL"""

@@ -469,6 +469,46 @@ def curated(spark, sf_dir):
     return gate.passing(rows, verdicts).select(*columns)
 
 
+# --- the same path from files: landed, parsed, harmonised, gated, enriched ---
+
+
+def _file_records(spark, sf_dir):
+    """Records parsed from landed CSV files, quoted and drifted ones included."""
+    good = feeds.csv_layouts(spark, sf_dir).filter(F.col("mapping_error").isNull() & (F.size("missing") == 0))
+    return harmonized_records(feeds.landed_csv(spark, sf_dir)[1], good)
+
+
+def _file_gate(spark, sf_dir):
+    return gate.threshold_gate(harmonize.counts(_file_records(spark, sf_dir)), feeds.contexts(spark, sf_dir))
+
+
+def _file_processed(spark, sf_dir):
+    runs = feeds.contexts(spark, sf_dir).select("run_id", "product", "business_date", "file_name")
+    passed = gate.passing(harmonize.accepted(_file_records(spark, sf_dir)), stage(_file_gate(spark, sf_dir), "gate"))
+    return passed.join(runs, "run_id")
+
+
+@query
+def file_threshold_gate(spark, sf_dir):
+    return _file_gate(spark, sf_dir).select(
+        "run_id", "product", "total", "rejected", "rejected_percent", "max_error_percent", "max_error_count", "exceeded"
+    )
+
+
+@query
+def file_processed(spark, sf_dir):
+    return _file_processed(spark, sf_dir).select("run_id", "row_number", *DOMAIN)
+
+
+@query
+def file_curated(spark, sf_dir):
+    checked = enrich.check_lookups(_file_processed(spark, sf_dir), [enrich.Lookup(feeds.reference(spark, sf_dir))])
+    verdicts = stage(_second_gate(spark, sf_dir, checked), "second-gate")
+    rows = enrich.enrich(enrich.accepted(checked), F.lit(feeds.CLOCK))
+    columns = ["run_id", "row_number", *DOMAIN, "domain", "product", "business_date", "enriched_at"]
+    return gate.passing(rows, verdicts).select(*columns)
+
+
 # --- zones and facts of the written lake ---
 
 

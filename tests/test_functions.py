@@ -1,4 +1,6 @@
+import csv
 import hashlib
+import io
 import json
 import re
 
@@ -87,3 +89,9 @@ def test_double_text_has_plain_small_numbers(spark):
 
 def test_sorted_json_keeps_nulls(spark):
     assert one(spark, S.sorted_json(b=F.lit(None), a=F.lit("x"))) == '{"a":"x","b":null}'
+
+
+def test_csv_lines_keep_every_cell(spark):
+    for cells in (["1", None, "x,y"], ['a"b', "", "l\nm"], ["plain"], [None]):
+        line = spark.createDataFrame([(cells,)], "cells array<string>").select(S.csv_line("cells")).first()[0]
+        assert next(csv.reader(io.StringIO(line, newline="")), [""]) == [c or "" for c in cells]
