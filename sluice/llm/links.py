@@ -7,20 +7,22 @@ from pyspark.sql import DataFrame, functions as F
 from sluice.session import stage
 
 
-def _checksum(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+def _settled(edges: DataFrame) -> bool:
+    """Every node points to one root, and no root points elsewhere."""
+    several = edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("a")
+    inner = edges.join(edges.select(F.col("b").alias("a")), "a", "left_semi").select("a")
+    return several.unionByName(inner).isEmpty()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(member, root) for every node of the pairs but the roots themselves; the root is the smallest node of its component.
 
-    Large-star and small-star rounds: each node's neighbours are tied to the smallest of them, until nothing changes.
+    Large-star and small-star rounds: each node's neighbours are tied to the smallest of them, until only stars are left.
     Every round is written to shared storage. Nodes with very many neighbours are only ever aggregated by minimum.
     """
     edges = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct()
-    edges, before = stage(edges, "links"), None
-    while (now := _checksum(edges)) != before:
-        before = now
+    edges = stage(edges, "links")
+    while not _settled(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
