@@ -65,15 +65,16 @@ _staged = threading.local()
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
+def scratch(spark: SparkSession) -> Iterator[list[str]]:
     """Delete the tables staged inside, by this thread, when the work is done or has failed.
 
-    For work whose results are written elsewhere, such as a micro-batch.
+    For work whose results are written elsewhere, such as a micro-batch. Yields the paths in the order of staging; what
+    is taken out of the list stays.
     """
     outer = getattr(_staged, "paths", None)
     _staged.paths = []
     try:
-        yield
+        yield _staged.paths
     finally:
         for name in _staged.paths:
             path = spark._jvm.org.apache.hadoop.fs.Path(name)
