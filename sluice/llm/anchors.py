@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluice.llm.texts import Words, byte_values, chunks, joined, rolling, span_hash
-from sluice.session import stage
+from sluice.session import scratch, stage
 
 RUN = 128  # most windows of a piece
 SHARD_BYTES = 1 << 20  # distinct pieces that one task compares at a time, about
@@ -239,7 +239,7 @@ def repeated_spans(
     given = docs.select(document_key(doc_id, text).alias("key"), doc, F.coalesce(F.col(text), F.lit("")).alias("text"))
     # shorter texts hold no window
     given = given.filter(F.octet_length("text") >= (unit.length if unit.kind == "bytes" else 2 * unit.length - 1))
-    with shuffles_freed(spark):
+    with shuffles_freed(spark), scratch(spark) as staged:
         digests = stage(given.select("key", "doc", F.md5("text").alias("digest")), "text-digests")
         first = digests.groupBy("digest").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
         later = digests.join(first, "digest").filter("doc > first").select("key").distinct()
@@ -268,7 +268,9 @@ def repeated_spans(
         span = F.struct((F.col("place") + F.col("low")).alias("low"), (F.col("place") + F.col("high") + unit.length).alias("high"))
         spans = hit.groupBy("key").agg(F.collect_list(span).alias("spans"))  # as long as the document
         whole = copies.select("key", F.lit(None).cast("array<struct<low: bigint, high: bigint>>").alias("spans"))
-        return stage(spans.unionByName(whole), "repeated-spans")
+        result = stage(spans.unionByName(whole), "repeated-spans")
+        staged.pop()  # all but the spans is deleted
+        return result
 
 
 def marked(spans: pa.Array, has: pa.Array, row_start: np.ndarray, fits: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ from sluice.llm.anchors import shuffles_freed
 from sluice.llm.frames import append, free_name, list_array, struct
 from sluice.llm.links import components
 from sluice.llm.texts import Words, chunks, mixed, rolling, span_hash
-from sluice.session import stage
+from sluice.session import scratch, stage
 
 K = 5
 SKETCHES = 24
@@ -198,7 +198,7 @@ def near_duplicates(
     spark = docs.sparkSession
     smallest = F.lit(-(2**63))
     own_id = F.coalesce(F.col(doc_id).cast("bigint"), smallest)
-    with shuffles_freed(spark):
+    with shuffles_freed(spark), scratch(spark) as staged:
         given = docs.select(own_id.alias("id"), F.col(text).alias("text"))
         sketched = stage(_sketch(given, "text", "s").select("id", "s.*"), "sketches")
         copies = sketched.groupBy("digest", "node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
@@ -211,6 +211,7 @@ def near_duplicates(
         of_class = classed.groupBy("root").agg(F.sum("n").alias("n_class"), F.min(F.struct("id", "digest")).alias("least"))
         classes = classed.select("digest", "root").join(of_class, "root").select("digest", "n_class", "least")
         classes = stage(classes, "classes")
+        staged.pop()  # all but the classes is deleted
     mark = free_name(docs, "_digest")
     digested = append(docs, text, _digests, "digest string", mark)
     found = digested.join(classes, F.col(mark)["digest"] == classes["digest"], "left")

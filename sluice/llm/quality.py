@@ -176,6 +176,6 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum: str, m: str = "measu
 def quality_filter(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """``docs`` without the rows that the rules reject, with cutoffs from the labelled among them."""
     m, v = free_name(docs, "measures"), free_name(docs, "verdict")
-    labelled = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    cutoffs = calibrate(measure(labelled.select("doc_id", stratum, "text"), name=m).drop("text"), labels, stratum, m)
+    # all documents are measured for it, since counts are cheaper to bring to the labels than texts
+    cutoffs = calibrate(measure(docs.select("doc_id", stratum, "text"), name=m).drop("text"), labels, stratum, m)
     return judge(measure(docs, name=m), cutoffs, stratum, m, v).filter(F.col(f"{v}.kept")).select(docs.columns)
