@@ -9,8 +9,11 @@ similarity, 1 - edits / words of the longer, reaches ``SIMILARITY``, by banded a
 Exact copies count once. The documents that share a sketch are compared with the smallest of them, not with each other. First
 each document is aligned with the one it is most often held against; what this links forms classes. Then come the
 candidate pairs between different classes. The documents that their group's smallest doesn't explain go on without it: up to
-``SMALL_GROUP`` of them are compared with each other, more are cut finer by further sketches, until no group of two is left. So
-every group is worked off, and a document never has more than a few partners in a group, however large. Two documents of which no sketch agrees are never compared: with 24 sketches of 4
+``SMALL_GROUP`` of them are compared with each other, more are cut finer without losing a pair: of two texts of
+similarity s, each has a word in common with the other among the (1 - s) * words + 1 that are rarest in the group (a prefix
+filter, which takes the n-th occurrence of a word for a word of its own), and n of them among n - 1 more. Parts that share such
+a word are compared with their smallest, small ones with each other; what is left in large parts is cut by a second and a third
+word, and then compared pair by pair. Two documents of which no sketch agrees are never compared: with 24 sketches of 4
 shingles that is one pair in 3 * 10^5 at a shingle similarity of 0.8.
 
 Defined cases: documents without words (null, empty, blank) are copies of each other; a document shorter than a shingle is
@@ -38,7 +41,8 @@ SKETCHES = 24
 PICKED = 4
 SIMILARITY = 0.8
 SMALL_GROUP = 8  # members of a group that are compared with each other once its smallest doesn't explain them
-_FINER = 3  # sketches by which a large group is cut finer in the first round
+_SMALL_PART = 32  # the same for those of a group that share rare words
+_DEPTH = 3  # rare words by which a large group is cut; what agrees on all of them is compared pair by pair
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _JOIN = np.uint64(0x9E3779B97F4A7C15)
@@ -162,26 +166,73 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
     rest = apart(pairs).join(best, ["doc", "lead"], "left_anti").select(F.col("lead").alias("a"), F.col("doc").alias("b"))
     links = links.unionByName(_aligned(rest, texts, similarity))
     roots = components(links)
-    # what its group's smallest doesn't explain goes on without it: small groups are settled, large ones cut finer
-    unexplained = apart(held).select("group", "doc", "n_words")
-    for cut in range(SKETCHES):
-        several = unexplained.groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-        unexplained = stage(unexplained.join(several, "group"), "unexplained")
-        if unexplained.isEmpty():
-            break
-        finer = [(cut * _FINER + k) % SKETCHES for k in range(_FINER if cut == 0 else 1)]
-        keyed = unexplained.filter(F.col("n") > SMALL_GROUP).join(texts.select("doc", "sketches"), "doc")
-        parts = F.array(*[F.xxhash64("group", F.lit(i), F.get("sketches", F.lit(i))) for i in finer])
-        held = _held_against(keyed.select("doc", "n_words", F.explode(parts).alias("group")).distinct())
-        new = held.select("doc", "n_words", "lead", "lead_words").unionByName(_each_with_smaller(unexplained.filter(F.col("n") <= SMALL_GROUP)))
-        found = _aligned(apart(_possible(new, similarity).distinct()).select(F.col("lead").alias("a"), F.col("doc").alias("b")), texts, similarity)
+    # what its group's smallest doesn't explain goes on without it: small groups are settled, large ones cut by rare words
+
+    def tried(new: DataFrame) -> None:
+        nonlocal links, roots
+        both = apart(_possible(new, similarity).select("doc", "lead").distinct())
+        found = _aligned(both.select(F.col("lead").alias("a"), F.col("doc").alias("b")), texts, similarity)
         if not found.isEmpty():
             links = stage(links.unionByName(found), "links")
             roots = components(links)
-        unexplained = apart(held).select("group", "doc", "n_words")
+
+    def unlike(rows: DataFrame) -> DataFrame:
+        """The rows of groups of several classes, with their class and the group's size ``n``."""
+        classed = _classes(rows, roots, "doc", "class")
+        size = classed.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("_low"), F.max("class").alias("_high"))
+        return stage(classed.join(size.filter("_low <> _high"), "group").drop("_low", "_high"), "unexplained")
+
+    rows = unlike(apart(held).select("group", "doc", "n_words"))
+    if rows.isEmpty():
+        return roots
+    tried(_each_with_smaller(rows.filter(F.col("n") <= SMALL_GROUP)))
+    rows = unlike(rows.filter(F.col("n") > SMALL_GROUP).select("group", "doc", "n_words"))
+    if rows.isEmpty():
+        return roots
+    rare = _by_rarity(rows.select("group", "doc", "n_words"), texts)
+    rows = rows.select(F.col("group").alias("whole"), "group", "doc", "n_words", F.lit(-1).alias("place"))
+    for depth in range(1, _DEPTH + 1):
+        # of two alike texts, the first ``depth`` words in common are among so many of each
+        first = F.slice("rare", 1, (F.floor((1 - similarity) * F.col("n_words") + 1e-9) + depth).cast("int"))
+        longer = rows.withColumnRenamed("place", "_last").join(rare, ["whole", "doc"]).select("*", F.posexplode(first).alias("place", "word"))
+        longer = longer.filter((F.col("place") > F.col("_last")) & (F.col("word.n") > 1))
+        rows = unlike(longer.select("whole", F.xxhash64("group", "word.token").alias("group"), "doc", "n_words", "place"))
+        if rows.isEmpty():
+            return roots
+        large = rows.filter(F.col("n") > _SMALL_PART)
+        against = _held_against(large.select("group", "doc", "n_words")).select("doc", "n_words", "lead", "lead_words")
+        tried(_each_with_smaller(rows.filter(F.col("n") <= _SMALL_PART)).unionByName(against))
+        rows = unlike(large.select("whole", "group", "doc", "n_words", "place"))
+        if rows.isEmpty():
+            return roots
+    other = rows.select("group", F.col("doc").alias("lead"), F.col("n_words").alias("lead_words"), F.col("class").alias("_class"))
+    tried(rows.join(other, "group").filter("lead < doc and class <> _class").select("doc", "n_words", "lead", "lead_words"))
     return roots
 
 
+def _labelled(lists: pa.Array) -> pa.StructArray:
+    """The numbers of each list as hashes of the number and how often it has occurred before."""
+    values, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+    row, at = np.repeat(np.arange(len(sizes)), sizes), np.arange(len(values))
+    order = np.lexsort((values, row))
+    new = np.ones(len(values), bool)
+    new[1:] = (values[order[1:]] != values[order[:-1]]) | (row[order[1:]] != row[order[:-1]])
+    seen = np.empty(len(values), np.int64)
+    seen[order] = at - np.maximum.accumulate(np.where(new, at, 0))
+    tokens = mixed(values.astype(np.uint64) + seen.astype(np.uint64) * _JOIN)
+    return struct(tokens=list_array(tokens.view(np.int64), sizes))
+
+
+def _by_rarity(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(whole, doc, rare): for members of groups the labelled words of the text, in how many of the group each occurs, rarest first."""
+    own = texts.join(members.select("doc").distinct(), "doc", "left_semi").select("doc", "words")
+    own = stage(append(own, "words", _labelled, "tokens array<bigint>", "l").select("doc", "l.tokens"), "labelled")
+    rows = members.join(own, "doc").select(F.col("group").alias("whole"), "doc", F.explode("tokens").alias("token"))
+    counts = rows.groupBy("whole", "token").agg(F.count(F.lit(1)).alias("n"))
+    rare = rows.join(counts, ["whole", "token"]).groupBy("whole", "doc").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("rare"))
+    return stage(rare, "rare-words")
+
+
 def _each_with_smaller(groups: DataFrame) -> DataFrame:
     """(doc, n_words, lead, lead_words): members of groups of bounded size, each beside the smaller ones."""
     listed = groups.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("doc", "n_words"))).alias("all"))  # SMALL_GROUP at most

@@ -108,6 +108,37 @@ def test_hot_group_of_unlike_documents(spark):
     assert got == {i: i - 20 if i >= 60 else i for i in range(70)}
 
 
+def classes_by_sketch(spark, texts, sketches):
+    """The least member of each text's class where the texts have the given sketches."""
+    numbers = {w: k for k, w in enumerate(sorted({w for t in texts for w in t.split()}))}
+    rows = [(i, len(t.split()), s, [numbers[w] for w in t.split()]) for i, (t, s) in enumerate(zip(texts, sketches))]
+    frame = stage(spark.createDataFrame(rows, "doc bigint, n_words bigint, sketches array<bigint>, words array<int>"), "texts")
+    roots = {r.member: r.root for r in order_minhash.classes_of(frame, 0.8).collect()}
+    return [roots.get(i, i) for i in range(len(texts))]
+
+
+def test_pairs_alike_only_by_a_hot_sketch_are_found(spark):
+    """Texts of one template share one sketch and no other, and two by two they are near-duplicates."""
+    rnd = random.Random(9)
+    template, n = prose(rnd, 60), 150
+    texts = [template + " " + prose(rnd, 40) for _ in range(n)]
+    texts += [edited(rnd, t, 8) for t in texts]
+    sketches = [[1] + [1000 * (i + 1) + k for k in range(1, order_minhash.SKETCHES)] for i in range(2 * n)]
+    got = classes_by_sketch(spark, texts, sketches)
+    assert got[:n] == list(range(n))
+    assert got[n:] == [i if edit_distance(texts[i].split(), texts[n + i].split()) <= 20 else n + i for i in range(n)]
+
+
+def test_large_parts_of_equal_words_are_compared_pair_by_pair(spark):
+    """Permutations of the same words share every rare word, yet only few are near-duplicates."""
+    rnd = random.Random(10)
+    words = [f"w{k}" for k in range(20)]
+    texts = [" ".join(rnd.sample(words, 20)) for _ in range(50)]
+    texts += [" ".join([*t.split()[1:], t.split()[0]]) for t in texts[10:30]]
+    got = classes_by_sketch(spark, texts, [[1] for _ in texts])
+    assert got == list(range(50)) + list(range(10, 30))
+
+
 def test_keep_first_leaves_one_row_a_class(docs, no_docs):
     kept = order_minhash.keep_first(docs)
     assert kept.columns == docs.columns
