@@ -8,8 +8,8 @@ similarity, 1 - edits / words of the longer, reaches ``SIMILARITY``, by banded a
 
 Exact copies count once. The documents that share a sketch are compared with the smallest of them, not with each other. First
 each document is aligned with the one it is most often held against; what this links forms classes. Then come the
-candidate pairs between different classes. The documents that their group's smallest doesn't explain go on without it: up to
-``SMALL_GROUP`` of them are compared with each other, more are cut finer without losing a pair: of two texts of
+candidate pairs between different classes. Groups of which the smallest doesn't explain all members go on with all of them,
+explained or not, and only pairs of different classes are compared: up to ``SMALL_GROUP`` members with each other, more are cut finer without losing a pair: of two texts of
 similarity s, each has a word in common with the other among the (1 - s) * words + 1 that are rarest in the group (a prefix
 filter, which takes the n-th occurrence of a word for a word of its own), and n of them among n - 1 more. Parts that share such
 a word are compared with their smallest, small ones with each other; what is left in large parts is cut by a second and a third
@@ -40,7 +40,7 @@ K = 5
 SKETCHES = 24
 PICKED = 4
 SIMILARITY = 0.8
-SMALL_GROUP = 8  # members of a group that are compared with each other once its smallest doesn't explain them
+SMALL_GROUP = 8  # members of a group that are compared with each other once its smallest doesn't explain all of them
 _SMALL_PART = 32  # the same for those of a group that share rare words
 _DEPTH = 3  # rare words by which a large group is cut; what agrees on all of them is compared pair by pair
 _RNG = np.random.default_rng(20)
@@ -166,7 +166,7 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
     rest = apart(pairs).join(best, ["doc", "lead"], "left_anti").select(F.col("lead").alias("a"), F.col("doc").alias("b"))
     links = links.unionByName(_aligned(rest, texts, similarity))
     roots = components(links)
-    # what its group's smallest doesn't explain goes on without it: small groups are settled, large ones cut by rare words
+    # groups that their smallest doesn't explain go on: small ones are settled, large ones cut by rare words
 
     def tried(new: DataFrame) -> None:
         nonlocal links, roots
@@ -180,9 +180,12 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
         """The rows of groups of several classes, with their class and the group's size ``n``."""
         classed = _classes(rows, roots, "doc", "class")
         size = classed.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("_low"), F.max("class").alias("_high"))
-        return stage(classed.join(size.filter("_low <> _high"), "group").drop("_low", "_high"), "unexplained")
+        return stage(classed.join(size.filter("_low <> _high"), "group").drop("_low", "_high"), "unlike")
 
-    rows = unlike(apart(held).select("group", "doc", "n_words"))
+    # what the smallest explains stays: it may be like what the smallest doesn't explain
+    open_groups = held.join(apart(held).select("group").distinct(), "group", "left_semi")
+    leads = open_groups.select("group", F.col("lead").alias("doc"), F.col("lead_words").alias("n_words")).distinct()
+    rows = unlike(open_groups.select("group", "doc", "n_words").unionByName(leads))
     if rows.isEmpty():
         return roots
     tried(_each_with_smaller(rows.filter(F.col("n") <= SMALL_GROUP)))

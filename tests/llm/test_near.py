@@ -129,6 +129,17 @@ def test_pairs_alike_only_by_a_hot_sketch_are_found(spark):
     assert got[n:] == [i if edit_distance(texts[i].split(), texts[n + i].split()) <= 20 else n + i for i in range(n)]
 
 
+@pytest.mark.parametrize("more", [0, 20])
+def test_explained_members_are_held_against_the_others(spark, more):
+    """A is like the lead L, B is like A but unlike L, and one sketch is all they share."""
+    rnd = random.Random(11)
+    lead = prose(rnd, 100).split()
+    a = [f"a{k}" if k < 15 else w for k, w in enumerate(lead)]
+    b = [f"b{k}" if k >= 85 else w for k, w in enumerate(a)]
+    texts = [" ".join(t) for t in (lead, a, b)] + [prose(rnd, 100) for _ in range(more)]
+    assert classes_by_sketch(spark, texts, [[1]] * len(texts)) == [0, 0, 0, *range(3, 3 + more)]
+
+
 def test_large_parts_of_equal_words_are_compared_pair_by_pair(spark):
     """Permutations of the same words share every rare word, yet only few are near-duplicates."""
     rnd = random.Random(10)
