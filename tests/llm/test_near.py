@@ -129,6 +129,20 @@ def test_pairs_alike_only_by_a_hot_sketch_are_found(spark):
     assert got[n:] == [i if edit_distance(texts[i].split(), texts[n + i].split()) <= 20 else n + i for i in range(n)]
 
 
+@pytest.mark.parametrize("n, edits", [(10, 2), (25, 5), (60, 11), (300, 57), (300, 45), (300, 30)])
+def test_sketches_fit_the_bar(n, edits):
+    """Texts with scattered substitutions down to an edit similarity of 0.8 share a sketch."""
+    rnd = np.random.default_rng(12)
+    found = 0
+    for _ in range(300):
+        a = rnd.integers(0, 2**63, n, dtype=np.uint64)
+        b = a.copy()
+        b[rnd.choice(n, edits, replace=False)] = rnd.integers(0, 2**63, edits, dtype=np.uint64)
+        x, y = order_minhash.sketches(a), order_minhash.sketches(b)
+        found += bool((x[: len(y)] == y[: len(x)]).any())
+    assert found >= 0.95 * 300
+
+
 @pytest.mark.parametrize("more", [0, 20])
 def test_explained_members_are_held_against_the_others(spark, more):
     """A is like the lead L, B is like A but unlike L, and one sketch is all they share."""
