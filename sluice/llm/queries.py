@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from sluice.llm import bwt_dedup, order_minhash, quality, secret_scan, substring_dedup, token_file, url_filter, warc
+from sluice.llm import bwt_dedup, importance, order_minhash, periodic_runs, quality, secret_scan, substring_dedup, token_file, toxicity, url_filter, warc
 from sluice.llm.bpe import decode_column, encode_column
 from sluice.llm.decontaminate import contamination
 from sluice.llm.frames import table
@@ -160,6 +160,59 @@ def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    drawn = importance.resample(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+    return drawn.select("doc_id", "drawn.n_features", "drawn.weight", "drawn.score", "drawn.rank")
+
+
+def stuttered(doc_id: Column, text: Column) -> Column:
+    """The contract's periodic texts: a tenth of the documents, by checksum of the id, repeat a piece up to the end.
+
+    Other texts, and those without words or id, stay as they are.
+    """
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    n = F.size(words)
+    first = (g % n).cast("int")
+    period = (1 + F.floor((n - first) / (3 + g % 8))).cast("int")
+    copies = F.flatten(F.array_repeat(F.slice(words, first + 1, period), F.ceil((n - first) / period).cast("int")))
+    # an empty piece comes before a first word that stutters
+    whole = F.slice(F.concat(F.slice(words, F.lit(1), first), copies), F.lit(1), n)
+    return F.when((h % 10 == 0) & (n > 0), F.array_join(whole, " ")).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", stuttered(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.periodic_runs(docs, name="found").select("doc_id", "found.runs", "found.kept")
+    # the longest run; of those the first, then the one with the smallest period
+    key = lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("shorter"))
+    found = found.withColumn("best", F.array_max(F.transform("runs", key)))
+    length, start, period = F.col("best.length"), -F.col("best.before"), -F.col("best.shorter")
+    # of runs with one start the longer has the longer period, so they come in the contract's order
+    line = lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # a null id has no label, so it is held out
+    held_out = lambda c: F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"))))
+    scored = toxicity.score(docs, model, name="score")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_url_filter": op2_url_filter,
@@ -171,6 +224,9 @@ QUERIES: dict[str, Query] = {
     "op8_token_file": op8_token_file,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_secret_scan": op10_secret_scan,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_toxicity": op13_toxicity,
 }
 
 
