@@ -15,6 +15,7 @@ from sluice.sources import files as csv_files
 from sluice.sources.config import validate_configs
 from sluice.sources.events import execution_context, validate_events
 from sluice.sources.files import Landed
+from sluice.sources.ledger import BatchKey, Entry
 from sluice.sources.zones import Lake, date_parts
 from sluice.session import run_together, stage
 
@@ -62,10 +63,14 @@ class TableSource:
 
 @dataclass(frozen=True)
 class Batch:
-    """What a batch leaves besides its tables: one verdict per event and one state row per run."""
+    """What a batch leaves besides its tables: its ledger entry, one verdict per event and one state row per run.
 
-    validated: DataFrame
-    states: DataFrame
+    A replay of a committed batch does nothing and has the entry only.
+    """
+
+    entry: Entry
+    validated: DataFrame | None = None
+    states: DataFrame | None = None
 
 
 def _run_parts(runs: DataFrame) -> DataFrame:
@@ -99,16 +104,35 @@ def ingest(
     finished: Column | None = None,
     lookups: Sequence[enrich.Lookup] = (),
     hook: enrich.Hook | None = None,
-    batch_id: str = "0",
+    batch: BatchKey | None = None,
 ) -> Batch:
     """Land, harmonise, gate, enrich, gate, publish and record. ``clock`` is the run clock as ISO text.
 
+    ``batch`` says which batch this is, so that a replay is recognised; without it the call is a batch of its own.
     Small per-run tables (contexts, layouts, counts, states) are staged once; record-grain data is written only to
     the zones. Rejected records are written whether or not their run passes its gate.
     """
+    with lake.batch(batch) as entry:
+        if entry.committed:
+            return Batch(entry)
+        return _ingest(lake, entry, events, configs, mappings, source, clock, finished, lookups, hook)
+
+
+def _ingest(
+    lake: Lake,
+    entry: Entry,
+    events: DataFrame,
+    configs: DataFrame,
+    mappings: DataFrame,
+    source: Source,
+    clock: Column,
+    finished: Column | None,
+    lookups: Sequence[enrich.Lookup],
+    hook: enrich.Hook | None,
+) -> Batch:
     finished = clock if finished is None else finished
     stamp = F.to_timestamp(clock, "yyyy-MM-dd'T'HH:mm:ssxxx")
-    tagged = F.lit(batch_id).alias("batch_id")
+    tagged = F.lit(entry.batch_id).alias("batch_id")
     products = stage(validate_configs(configs), "configs")
     validated, runs = plan_runs(events, products, stamp, lake)
     body = F.col("value") if "value" in validated.columns else F.to_json(F.struct(*events.columns))
@@ -159,7 +183,7 @@ def ingest(
         lambda: lake.write("manifests", facts.manifests(states, lake.names), gather=True),
         lambda: lake.write("outbox", publish.file_failed_messages(failures).select("*", tagged)),
     )
-    return Batch(validated, states)
+    return Batch(entry, validated, states)
 
 
 def enrichment_rejects(bad: DataFrame, removed: DataFrame) -> DataFrame:
@@ -169,10 +193,12 @@ def enrichment_rejects(bad: DataFrame, removed: DataFrame) -> DataFrame:
     return numbered.withColumns({"row_number": F.col("position"), "stage": F.lit("enrichment")})
 
 
-def publish_zones(lake: Lake, configs: DataFrame, curated: DataFrame, rejected: DataFrame, batch_id: str) -> None:
-    """Fan curated and rejected rows out to the outbox."""
-    products = stage(validate_configs(configs), "configs")
-    tagged = F.lit(batch_id).alias("batch_id")
-    ready = publish.record_ready_messages(publish.record_ready(curated, products, lake.names))
-    bad = publish.records_rejected_messages(publish.records_rejected(rejected, products, lake.names))
-    lake.write("outbox", ready.unionByName(bad).select("*", tagged))
+def publish_zones(lake: Lake, configs: DataFrame, curated: DataFrame, rejected: DataFrame, batch: BatchKey | None = None) -> None:
+    """Fan curated and rejected rows out to the outbox, once per ``batch``."""
+    with lake.batch(batch) as entry:
+        if entry.committed:
+            return
+        products = stage(validate_configs(configs), "configs")
+        ready = publish.record_ready_messages(publish.record_ready(curated, products, lake.names))
+        bad = publish.records_rejected_messages(publish.records_rejected(rejected, products, lake.names))
+        lake.write("outbox", ready.unionByName(bad).select("*", F.lit(entry.batch_id).alias("batch_id")))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -20,6 +22,7 @@ from sluice.contracts import (
     struct,
 )
 from sluice.operators.facts import latest_runs, latest_steps
+from sluice.sources.ledger import BatchKey, Entry, Ledger
 
 _RUN_KEYS = ["product", *ZONE_DATE_KEYS, "run_id"]
 _MANIFEST = struct(
@@ -33,7 +36,7 @@ _OUTBOX = struct(
 )
 
 # table: folder, schema, partition columns. Facts and messages are partitioned by batch below their day or
-# destination: many facts share a file, and a replayed batch replaces exactly what it wrote before.
+# destination: many facts share a file, and the ledger gives every batch partitions of its own.
 TABLES: dict[str, tuple[str, T.StructType, list[str]]] = {
     "raw": ("raw", RAW_ZONE, _RUN_KEYS),
     "processed": ("processed", PROCESSED_ZONE, _RUN_KEYS),
@@ -78,6 +81,41 @@ class Lake:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(self.spark, os.path.join(self.root, "ledger"))
+
+    @contextmanager
+    def batch(self, key: BatchKey | None = None) -> Iterator[Entry]:
+        """Open a batch and commit it when the work inside is done; if that fails, the batch stays open and unseen.
+
+        Skip the work if the entry is ``committed``. A new attempt at an open batch starts from a clean slate.
+        """
+        entry = self.ledger.open(key)
+        if entry.replayed and not entry.committed:
+            self._remove_batch(entry)
+        yield entry
+        if not entry.committed:
+            self.ledger.commit(entry)
+
+    def abandon(self, key: BatchKey) -> None:
+        """Remove what an open batch wrote to the shared tables, and close it."""
+        entry = self.ledger.open(key)
+        if entry.committed:
+            raise ValueError(f"batch {key} has committed")
+        self._remove_batch(entry)
+        self.ledger.abandon(entry)
+
+    def _remove_batch(self, entry: Entry) -> None:
+        for table, (_, _, keys) in TABLES.items():
+            if "batch_id" not in keys:
+                continue
+            fs, path = self._folder(table)
+            above = "/*" * keys.index("batch_id")
+            found = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{path.toString()}{above}/batch_id={entry.batch_id}"))
+            for status in found or []:
+                fs.delete(status.getPath(), True)
+
     def read_stream(self, table: str, max_files: int) -> DataFrame:
         """New files of a table as a stream; the folder is made if nothing was written yet."""
         fs, path = self._folder(table)
@@ -88,9 +126,12 @@ class Lake:
     def read(self, table: str) -> DataFrame:
         """Read a table with its declared schema; a table nothing was written to yet is empty.
 
-        A fact counts as its last batch wrote it; ``history`` has all writes.
+        Rows of batches that have not committed are passed over, and a fact counts as its last batch wrote it; ``history``
+        has all writes.
         """
         rows = self.history(table)
+        if "batch_id" in TABLES[table][2] and (unseen := self.ledger.open_ids()):
+            rows = rows.filter(~F.col("batch_id").isin(unseen))
         return LATEST[table](rows) if table in LATEST else rows
 
     def history(self, table: str) -> DataFrame:

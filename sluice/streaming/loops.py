@@ -1,11 +1,13 @@
 """The two loops of the system as Structured Streaming queries.
 
-Both run batch functions under ``foreachBatch``. Delivery is at least once; a replayed batch carries the same batch
-id and replaces the partitions it wrote before, so the tables end up the same.
+Both run batch functions under ``foreachBatch``, which delivers at least once. The lake's ledger knows a batch by its stream's
+checkpoint and its number there: a replay is recognised, and a stream that starts again with a new checkpoint has batches
+of its own.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -17,9 +19,16 @@ from sluice.operators.enrich import Hook, Lookup
 from sluice.plans.ingest import Source, ingest, publish_zones
 from sluice.session import scratch
 from sluice.sources.events import misrouted, open_envelopes
+from sluice.sources.ledger import BatchKey
 from sluice.sources.zones import Lake
 
 
+def batch_key(lake: Lake, name: str, checkpoint: str, number: int) -> BatchKey:
+    """Key of a stream's batch. A checkpoint holds an id that is made with it and stays with it."""
+    about = lake.spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return BatchKey(f"{name}-{json.loads(about)['id']}", number)
+
+
 def ingestion_stream(
     lake: Lake,
     event_dir: str,
@@ -55,7 +64,7 @@ def ingestion_stream(
                 now,
                 lookups=lookups,
                 hook=hook,
-                batch_id=f"events-{batch_id}",
+                batch=batch_key(lake, "events", checkpoint, batch_id),
             )
 
     return messages.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
@@ -72,11 +81,11 @@ def publication_streams(
 
     def ready(batch: DataFrame, batch_id: int) -> None:
         with scratch(spark):
-            publish_zones(lake, configs, batch, no_rejected, f"curated-{batch_id}")
+            publish_zones(lake, configs, batch, no_rejected, batch_key(lake, "curated", f"{checkpoint}/curated", batch_id))
 
     def bad(batch: DataFrame, batch_id: int) -> None:
         with scratch(spark):
-            publish_zones(lake, configs, no_curated, batch, f"rejected-{batch_id}")
+            publish_zones(lake, configs, no_curated, batch, batch_key(lake, "rejected", f"{checkpoint}/rejected", batch_id))
 
     return (
         lake.read_stream("curated", max_files)

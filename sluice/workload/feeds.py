@@ -25,7 +25,9 @@ from sluice.plans.ingest import (
 )
 from sluice.session import configure, new_path, stage
 from sluice.sources.config import validate_configs
+from sluice.sources.events import open_envelopes, validate_events
 from sluice.sources.files import Landed
+from sluice.sources.ledger import BatchKey
 from sluice.sources.zones import Lake
 
 CLOCK = "2026-05-01T00:00:00+00:00"
@@ -241,7 +243,7 @@ def build_lake(spark: SparkSession, sf_dir: str) -> tuple[Lake, Batch]:
         F.lit(CLOCK),
         lookups=[Lookup(reference(spark, sf_dir))],
     )
-    publish_zones(at, configs(spark), at.read("curated"), at.read("rejected"), "0")
+    publish_zones(at, configs(spark), at.read("curated"), at.read("rejected"))
     return at, batch
 
 
@@ -256,6 +258,37 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
     return built(spark, sf_dir)[1].states
 
 
+@_once
+def ledgered(spark: SparkSession, sf_dir: str) -> Lake:
+    """The same feed, with messages that hold no event among it, as two streams deliver it, each as its batch 0.
+
+    The first batch and the publication come twice, the second time with other contents; a third stream's attempt wrote
+    wrong rows and never committed.
+    """
+    from sluice.workload.documents import event_messages
+
+    at = Lake(spark, new_path(spark, "ledgered"))
+    told = events(spark, sf_dir).select("product", F.to_json(F.struct("product", "file_name", "business_date", "run_id")).alias("value"))
+    unusable = validate_events(open_envelopes(event_messages(spark, sf_dir)), products(spark)).filter("outcome = 'quarantined'")
+    second = F.floor(F.col("message_id") / 10) % 2 == 1
+    messages = told.select("value", (F.col("product") != "orders").alias("second")).unionByName(unusable.select("value", second.alias("second")))
+    messages = stage(messages, "ledgered-messages")
+
+    def deliver(rows: DataFrame, origin: str, clock: str = CLOCK) -> None:
+        source, lookups = TableSource(landed(spark, sf_dir)), [Lookup(reference(spark, sf_dir))]
+        ingest(at, open_envelopes(rows.select("value")), configs(spark), mappings(spark), source, F.lit(clock), lookups=lookups, batch=BatchKey(origin, 0))
+
+    deliver(messages.filter("not second"), "events-a")
+    deliver(messages.filter("second"), "events-b")
+    deliver(messages, "events-a", "2027-01-01T00:00:00+00:00")
+    publish_zones(at, configs(spark), at.read("curated"), at.read("rejected"), BatchKey("curated-a", 0))
+    publish_zones(at, configs(spark), at.read("curated").limit(1), at.read("rejected"), BatchKey("curated-a", 0))
+    failed = F.lit(at.ledger.open(BatchKey("events-c", 0)).batch_id)
+    for name, column in (("ingestion_runs", "status"), ("ingestion_steps", "status"), ("quarantine", "reason"), ("outbox", "payload")):
+        at.write(name, at.read(name).withColumns({column: F.lit("wrong"), "batch_id": failed}))
+    return at
+
+
 @_once
 def contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One context row per run, as the first step of ingestion makes it."""

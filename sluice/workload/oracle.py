@@ -841,6 +841,25 @@ _SELECTS: dict[str, str] = {
 _SELECTS["redelivered_runs"] = _SELECTS["ingestion_runs"]
 _SELECTS["redelivered_status_by_day"] = _SELECTS["vw_ingestion_status_by_day"]
 _SELECTS["redelivered_curated_with_run_context"] = _SELECTS["vw_curated_with_run_context_exact"]
+# two batches with one number, a replay and an attempt that failed leave what one delivery leaves
+_SELECTS["ledger_runs"] = _SELECTS["ingestion_runs"]
+_SELECTS["ledger_steps"] = _SELECTS["ingestion_steps"]
+_SELECTS["ledger_messages"] = _SELECTS["outbox_payload_json"]
+_SELECTS["ledger_quarantine"] = """
+    SELECT (message_id // 10 % 2)::VARCHAR AS batch_id, reason, count(*)::BIGINT AS messages
+    FROM checked_events WHERE outcome = 'quarantined' GROUP BY ALL"""
+_SELECTS["ledger_batches"] = """
+    SELECT * FROM (WITH runs AS (SELECT product <> 'orders' AS second, count(*)::BIGINT AS n FROM run_facts GROUP BY ALL),
+         bad AS (SELECT message_id // 10 % 2 = 1 AS second, count(*)::BIGINT AS n FROM checked_events WHERE outcome = 'quarantined' GROUP BY ALL),
+         failures AS (SELECT product <> 'orders' AS second, count(*)::BIGINT AS n FROM bad_files GROUP BY ALL),
+         sent AS (SELECT count(*)::BIGINT AS n FROM messages_out)
+    SELECT 0::BIGINT AS sequence, 'events-a' AS origin, 0::BIGINT AS number, 'committed' AS state,
+           coalesce((SELECT n FROM runs WHERE NOT second), 0) AS ingestion_runs, coalesce((SELECT n FROM bad WHERE NOT second), 0) AS quarantine,
+           coalesce((SELECT n FROM failures WHERE NOT second), 0) AS outbox
+    UNION ALL SELECT 1, 'events-b', 0, 'committed', coalesce((SELECT n FROM runs WHERE second), 0),
+           coalesce((SELECT n FROM bad WHERE second), 0), coalesce((SELECT n FROM failures WHERE second), 0)
+    UNION ALL SELECT 2, 'curated-a', 0, 'committed', 0, 0, (SELECT n FROM sent) - (SELECT coalesce(sum(n), 0) FROM failures)::BIGINT
+    UNION ALL SELECT 3, 'events-c', 0, 'open', (SELECT sum(n) FROM runs)::BIGINT, (SELECT sum(n) FROM bad)::BIGINT, (SELECT n FROM sent))"""
 # from files the same records come out
 for _name in ("threshold_gate", "processed", "curated"):
     _SELECTS[f"file_{_name}"] = _SELECTS[_name]

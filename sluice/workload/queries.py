@@ -573,6 +573,39 @@ def redelivered_curated_with_run_context(spark, sf_dir):
     return VIEWS["vw_curated_with_run_context_exact"][0](curated_rows, _redelivered(spark, sf_dir))
 
 
+@query
+def ledger_runs(spark, sf_dir):
+    """Facts of two batches that share their number and their days."""
+    return feeds.ledgered(spark, sf_dir).read("ingestion_runs").drop("batch_id")
+
+
+@query
+def ledger_steps(spark, sf_dir):
+    return feeds.ledgered(spark, sf_dir).read("ingestion_steps").drop("batch_id")
+
+
+@query
+def ledger_quarantine(spark, sf_dir):
+    rows = feeds.ledgered(spark, sf_dir).read("quarantine")
+    return rows.groupBy("batch_id", "reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query
+def ledger_messages(spark, sf_dir):
+    return feeds.ledgered(spark, sf_dir).read("outbox").select("event_type", "destination", "run_id", "record_key", "payload")
+
+
+@query
+def ledger_batches(spark, sf_dir):
+    """Every batch of that lake, with the rows it holds in the shared tables, seen or not."""
+    at = feeds.ledgered(spark, sf_dir)
+    entries = at.ledger.entries().select("sequence", "origin", "number", "state")
+    for name in ("ingestion_runs", "quarantine", "outbox"):
+        held = at.history(name).groupBy(F.col("batch_id").cast("bigint").alias("sequence")).agg(F.count(F.lit(1)).alias(name))
+        entries = entries.join(held, "sequence", "left").withColumn(name, F.coalesce(name, F.lit(0).cast("bigint")))
+    return entries
+
+
 @query
 def odd_run_ids(spark, sf_dir):
     """Runs whose ids need escaping in folder names, written and read back by run."""

@@ -68,7 +68,7 @@ def world(spark, tmp_path_factory):
         event(day="01-05-2026"),
     ]
     b.batch = b.ingest(*events, lookups=b.reference("C1", "ana", "rui"))
-    publish_zones(b.lake, b.configs(), b.lake.read("curated"), b.lake.read("rejected"), "0")
+    publish_zones(b.lake, b.configs(), b.lake.read("curated"), b.lake.read("rejected"))
     b.runs = {r["execution_id"]: r for r in b.rows("ingestion_runs")}
     b.steps = {(s["execution_id"], s["step_order"]): s for s in b.rows("ingestion_steps")}
     b.messages = b.rows("outbox")
@@ -249,10 +249,10 @@ def test_replay_redelivery_and_fan_out(bench):
     bench.config(orders=product(50, 10))
     bench.put("orders", "orders-2027-11-08.csv", BLANK_AMOUNT)
     both = (event(run_id="r1"), event(run_id="r2"))
-    bench.ingest(*both, event(run_id="r1"), batch_id="7")
+    bench.ingest(*both, event(run_id="r1"), batch=BatchKey("nightly", 7))
     first = {t: bench.rows(t) for t in TABLES}
     # a replayed batch replaces what it wrote
-    bench.ingest(*both, batch_id="7")
+    bench.ingest(*both, batch=BatchKey("nightly", 7))
     assert {t: bench.rows(t) for t in TABLES} == first
     # two runs of one day repeat rows in the views that join by day, not in the exact ones
     curated, runs = bench.lake.read("curated"), bench.lake.read("ingestion_runs")
@@ -263,7 +263,7 @@ def test_replay_redelivery_and_fan_out(bench):
     assert [r.curated_records for r in reports.curated_with_run_context(curated, runs).collect()] == [4]
     # a later delivery of a run replaces its rows, and its facts count from then on
     bench.put("orders", "orders-2027-11-08.csv", BLANK_AMOUNT + "7303,C3,5.00,2027-11-08\n")
-    later = {"batch_id": "8", "clock": "2027-11-10T08:00:00+00:00", "finished": F.lit("2027-11-10T08:01:30+00:00")}
+    later = {"batch": BatchKey("nightly", 8), "clock": "2027-11-10T08:00:00+00:00", "finished": F.lit("2027-11-10T08:01:30+00:00")}
     bench.ingest(both[0], **later)
     assert bench.lake.history("ingestion_runs").count() == 3
     latest = {r.execution_id: r for r in bench.lake.read("ingestion_runs").collect()}

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sluice.contracts import REJECTED_ZONE
 from sluice.plans.views import VIEWS
+from sluice.sources.ledger import BatchKey
 from tests.conftest import ORDERS_CSV, event, product
 
 HEADER = ORDERS_CSV.split("\n")[0] + "\n"
@@ -19,11 +20,11 @@ def test_odd_run_ids_ingest_beside_a_plain_one(bench):
 
 
 def test_last_batch_wins_at_one_clock(bench):
-    for batch, text in ((9, ORDERS_CSV), (11, HEADER + "1,,2,\n"), (10, ORDERS_CSV)):
+    for batch, text in ((9, ORDERS_CSV), (10, ORDERS_CSV), (11, HEADER + "1,,2,\n"), (10, ORDERS_CSV)):
         bench.put("orders", "orders-2027-11-08.csv", text)
-        bench.ingest(event(run_id="r1"), batch_id=f"events-{batch}")
+        bench.ingest(event(run_id="r1"), batch=BatchKey("events", batch))
     assert bench.lake.history("ingestion_runs").count() == 3
-    assert [(r["status"], r["batch_id"]) for r in bench.rows("ingestion_runs")] == [("FAILED", "events-11")]
+    assert [(r["status"], r["batch_id"]) for r in bench.rows("ingestion_runs")] == [("FAILED", "2")]
     by_day = VIEWS["vw_ingestion_status_by_day"][0](bench.lake.read("ingestion_runs")).collect()
     assert [(r.status, r.total_runs) for r in by_day] == [("FAILED", 1)]
 
