@@ -32,14 +32,12 @@ class FileSource:
 
     def land(self, lake: Lake, runs: DataFrame) -> Landed:
         spark = lake.spark
-        found = stage(csv_files.match_files(runs, csv_files.list_source_files(spark, self.root, runs)), "source-files")
-        empty = csv_files.empty_sources(spark, self.root, runs, found)
-        files = stage(found.unionByName(empty), "all-source-files")
+        files = stage(csv_files.match_files(runs, csv_files.list_source_files(spark, self.root, runs)), "source-files")
         lines = csv_files.landed_lines(spark, files, runs)
         if lines is None:
             return csv_files.nothing_landed(files)
         lake.write("raw", lines)
-        filled = runs.join(found, "run_id", "left_semi")
+        filled = runs.join(files.filter("file_size > 0"), "run_id", "left_semi")
         return csv_files.parse_landed(lake.read_runs("raw", _run_parts(filled)), files)
 
 

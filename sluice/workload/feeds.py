@@ -326,6 +326,21 @@ def csv_files(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+@_once
+def landed_texts(spark: SparkSession, sf_dir: str) -> Landed:
+    """The documents as CSV files, one folder of part files per language, landed and parsed; their texts hold line breaks."""
+    root = new_path(spark, "texts")
+    rows = table(spark, sf_dir, "documents").withColumn("run_id", F.concat(F.lit("texts-"), F.coalesce("lang", F.lit("none"))))
+    spaces = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    writer = rows.select("run_id", "doc_id", "text", "source").write.partitionBy("run_id").option("header", "true")
+    writer.options(escape='"', **spaces).csv(f"{root}/texts")
+    told = rows.select("run_id").distinct().withColumns(
+        {"product": F.lit("texts"), "file_name": F.col("run_id"), "business_date": F.lit("2026-05-01"), "business_day": F.lit("2026-05-01").cast("date")}
+    )
+    runs = stage(told.withColumn("source_key", F.concat(F.lit("texts/run_id="), "run_id")), "text-runs")
+    return FileSource(root).land(Lake(spark, new_path(spark, "text-lake")), runs)
+
+
 def csv_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run contexts pointing at the CSV folders."""
     runs = contexts(spark, sf_dir).filter("outcome = 'accepted'")

@@ -841,6 +841,11 @@ _SELECTS: dict[str, str] = {
 _SELECTS["redelivered_runs"] = _SELECTS["ingestion_runs"]
 _SELECTS["redelivered_status_by_day"] = _SELECTS["vw_ingestion_status_by_day"]
 _SELECTS["redelivered_curated_with_run_context"] = _SELECTS["vw_curated_with_run_context_exact"]
+_SELECTS["scan_quoted_breaks"] = """
+    SELECT 'texts-' || coalesce(lang, 'none') AS run_id, doc_id, coalesce(text, '') AS text, source FROM documents"""
+_SELECTS["quoted_break_numbers"] = """
+    SELECT 'texts-' || coalesce(lang, 'none') AS run_id, count(*)::BIGINT AS numbers, 1::BIGINT AS least,
+           count(*)::BIGINT AS most, count(*)::BIGINT AS total FROM documents GROUP BY ALL"""
 # two batches with one number, a replay and an attempt that failed leave what one delivery leaves
 _SELECTS["ledger_runs"] = _SELECTS["ingestion_runs"]
 _SELECTS["ledger_steps"] = _SELECTS["ingestion_steps"]

@@ -91,6 +91,25 @@ def land_raw(spark, sf_dir):
     )
 
 
+@query
+def scan_quoted_breaks(spark, sf_dir):
+    """Records whose cells span lines, put together from the lines of split files."""
+    cell = lambda i: F.get("cells", F.lit(i))
+    return feeds.landed_texts(spark, sf_dir).rows.select(
+        "run_id", cell(0).cast("bigint").alias("doc_id"), cell(1).alias("text"), cell(2).alias("source")
+    )
+
+
+@query
+def quoted_break_numbers(spark, sf_dir):
+    """Numbers of the same records: as many as rows, from 1 to the total of each run."""
+    landed = feeds.landed_texts(spark, sf_dir)
+    rows = landed.rows.groupBy("run_id").agg(
+        F.count_distinct("row_number").alias("numbers"), F.min("row_number").alias("least"), F.max("row_number").alias("most")
+    )
+    return rows.join(landed.totals, "run_id").select("run_id", "numbers", "least", "most", "total")
+
+
 @query
 def row_ordinals(spark, sf_dir):
     feed = feeds.orders_feed(spark, sf_dir).unionByName(feeds.payments_feed(spark, sf_dir))
