@@ -25,27 +25,38 @@ class Lookup:
 Hook = Callable[[DataFrame], DataFrame]
 
 
+def missing_keys(rows: DataFrame, lookup: Lookup) -> DataFrame:
+    """Distinct keys of ``rows`` that the reference lacks, a NULL key among them; written once, so that its size is known.
+
+    Only keys meet the reference, however large it is, and a key that many records share is one of them.
+    """
+    keys = rows.select(F.col(lookup.field).alias("_key")).distinct()
+    known = lookup.reference.select(F.col(lookup.key).alias("_key"))
+    return stage(keys.join(known, "_key", "left_anti"), "missing-keys")
+
+
 def check_lookups(processed: DataFrame, lookups: Sequence[Lookup], hook: Hook | None = None) -> DataFrame:
     """Add ``reject_reason``: the first lookup that misses, then the user's own rule, or NULL.
 
-    ``hook`` maps a frame to one with a nullable ``reject_reason`` column, so custom rules stay set-wise. The verdict is
-    written once, whatever the sizes: its readers (accepted and rejected records) must see the same one.
+    Records meet the missing keys only, which are broadcast if they are as few as they should be; otherwise the records
+    are shuffled to them. ``hook`` maps a frame to one with a nullable ``reject_reason`` column, so custom rules stay
+    set-wise; its verdict is written once, since its readers (accepted and rejected records) must see the same one.
     """
     checked, reasons, shuffled = processed, [], False
     for i, lookup in enumerate(lookups):
-        flag = f"_known_{i}"
-        known = lookup.reference.select(F.col(lookup.key).alias(lookup.field)).distinct().withColumn(flag, F.lit(True))
-        shuffled = shuffled or not broadcasts(known)
-        checked = checked.join(known, lookup.field, "left")
-        reasons.append(F.when(F.col(flag).isNull(), F.lit(lookup.reason)))
+        flag, missing = f"_missing_{i}", missing_keys(processed, lookup)
+        shuffled = shuffled or not broadcasts(missing)
+        marked = missing.withColumn(flag, F.lit(True))
+        checked = checked.join(marked, F.col(lookup.field).eqNullSafe(F.col("_key")), "left").drop("_key")
+        reasons.append(F.when(F.col(flag), F.lit(lookup.reason)))
     if hook is not None:
         checked = hook(checked)
         reasons.append(F.col("reject_reason"))
     reason = F.coalesce(*reasons) if reasons else F.lit(None).cast("string")
-    checked = checked.withColumn("reject_reason", reason).drop(*[f"_known_{i}" for i in range(len(lookups))])
-    # the shuffle scattered every run; bring runs back together (hot ones split) so zone files stay few and full
+    checked = checked.withColumn("reject_reason", reason).drop(*[f"_missing_{i}" for i in range(len(lookups))])
+    # a shuffle scattered every run; bring runs back together (hot ones split) so zone files stay few and full
     checked = checked.hint("rebalance", F.col("run_id")) if shuffled else checked
-    return stage(checked, "lookups") if reasons else checked
+    return stage(checked, "lookups") if hook is not None or shuffled else checked
 
 
 def counts(checked: DataFrame) -> DataFrame:

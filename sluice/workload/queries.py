@@ -445,10 +445,12 @@ def _no_counts(spark):
 
 # --- enrichment and the second gate ---
 
+_WIDE = ("raw_fields", "cells", "file_path")  # of records as they were parsed
+
 
 def _lookups(spark, sf_dir):
     reference = enrich.Lookup(feeds.reference(spark, sf_dir))
-    return enrich.check_lookups(_processed(spark, sf_dir), [reference])
+    return enrich.check_lookups(_processed(spark, sf_dir).drop(*_WIDE), [reference])
 
 
 def _second_gate(spark, sf_dir, checked):
@@ -462,7 +464,7 @@ def enrich_lookup_accepted(spark, sf_dir):
 
 @query
 def enrich_lookup_rejected(spark, sf_dir):
-    bad = enrich.rejected(_lookups(spark, sf_dir)).drop("raw_fields", "cells", "file_path")
+    bad = enrich.rejected(_lookups(spark, sf_dir))
     removed = harmonize.rejected(_valid_records(spark, sf_dir)).select("run_id", "row_number")
     return enrichment_rejects(bad, removed).select(*_REJECT)
 
@@ -470,7 +472,7 @@ def enrich_lookup_rejected(spark, sf_dir):
 @query
 def enrich_step(spark, sf_dir):
     clock = F.lit(feeds.CLOCK)
-    rows = _processed(spark, sf_dir).drop("raw_fields", "cells", "file_path")
+    rows = _processed(spark, sf_dir).drop(*_WIDE)
     checked = enrich.check_lookups(rows, [enrich.Lookup(feeds.reference(spark, sf_dir))])
     bad = stage(enrich.rejected(checked), "enrich-rejects")
     counted = enrich.reject_counts(enrich.sizes(rows, clock), bad, clock)
@@ -521,7 +523,7 @@ def file_processed(spark, sf_dir):
 
 @query
 def file_curated(spark, sf_dir):
-    checked = enrich.check_lookups(_file_processed(spark, sf_dir), [enrich.Lookup(feeds.reference(spark, sf_dir))])
+    checked = enrich.check_lookups(_file_processed(spark, sf_dir).drop(*_WIDE), [enrich.Lookup(feeds.reference(spark, sf_dir))])
     verdicts = stage(_second_gate(spark, sf_dir, checked), "second-gate")
     rows = enrich.enrich(enrich.accepted(checked), F.lit(feeds.CLOCK))
     columns = ["run_id", "row_number", *DOMAIN, "domain", "product", "business_date", "enriched_at"]
