@@ -11,7 +11,6 @@ its own, and a record that crosses a border of splits is stitched together from
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -19,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from sluice.operators.ordinals import block_bases
 from sluice.session import stage
+from sluice.sources.listing import LOCAL, leaf_files, qualified, uri
 
 _BLOCK = ("run_id", "file_path", "block_start")
 # the dialect: comma, quotes doubled inside quotes, backslash is plain text
@@ -26,8 +26,6 @@ _CSV = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE", "maxChars
 # a line whose last cell opens with a quote and does not close; quotes inside an unquoted cell are plain text
 _LEAVES_OPEN = r'^(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|),)*+"(?:[^"]++|"")*+\z'
 
-_LOCAL = "^file:/+"  # local files are listed with one slash or three
-
 
 @dataclass(frozen=True)
 class Landed:
@@ -43,30 +41,17 @@ class Landed:
     totals: DataFrame
 
 
-def _file_system(spark: SparkSession, root: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-
-
 def list_source_files(spark: SparkSession, root: str, runs: DataFrame) -> DataFrame:
     """source_key, file_path, file_size of the objects the runs' source keys name, or of the files below them.
 
     The exact paths go to Spark's file index, which looks them up in parallel (as a job if they are many) and passes over
     missing ones; nothing beside them is listed, and contents stay unread.
     """
-    keys = sorted(r.source_key for r in runs.select("source_key").distinct().collect())
-    jvm, path = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path
-    scala = jvm.org.apache.spark.api.python.PythonUtils
-    base = path(root)
-    base = base.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(base)
-    places = {key: path(f"{base.toString()}/{key.strip('/')}") for key in keys if key.strip("/")}
-    none, datasources = jvm.scala.Option.empty(), jvm.org.apache.spark.sql.execution.datasources
-    index = datasources.InMemoryFileIndex(
-        spark._jsparkSession, scala.toSeq(list(places.values())), scala.toScalaMap({}), none, datasources.FileStatusCache.getOrCreate(spark._jsparkSession), none, none
-    )
-    found = jvm.scala.jdk.javaapi.CollectionConverters.asJava(index.allFiles())
-    listed = {(re.sub(_LOCAL, "file:/", f.getPath().toUri().toString()), f.getLen()) for f in found}
-    prefix = re.sub(_LOCAL, "file:/", base.toUri().toString()).rstrip("/") + "/"
-    rows = [(file, size, unquote(file.removeprefix(prefix))) for file, size in sorted(listed)]
+    keys = sorted(r.source_key.strip("/") for r in runs.select("source_key").distinct().collect())
+    base = qualified(spark, root)
+    prefix = uri(spark, base).rstrip("/") + "/"
+    found = leaf_files(spark, [f"{base}/{key}" for key in keys if key])
+    rows = [(file, size, unquote(file.removeprefix(prefix))) for file, size in found]
     return spark.createDataFrame(rows, "file_path string, file_size bigint, source_key string")
 
 
@@ -91,7 +76,7 @@ def scan_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         spark.read.option("lineSep", "\n")
         .text(paths)
         .select(
-            F.regexp_replace("_metadata.file_path", _LOCAL, "file:/").alias("file_path"),
+            F.regexp_replace("_metadata.file_path", LOCAL, "file:/").alias("file_path"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.col("value").alias("line"),
         )

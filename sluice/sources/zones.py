@@ -129,10 +129,15 @@ class Lake:
         Rows of batches that have not committed are passed over, and a fact counts as its last batch wrote it; ``history``
         has all writes.
         """
+        rows = self.committed(table)
+        return LATEST[table](rows) if table in LATEST else rows
+
+    def committed(self, table: str) -> DataFrame:
+        """All writes of batches that have committed."""
         rows = self.history(table)
         if "batch_id" in TABLES[table][2] and (unseen := self.ledger.open_ids()):
             rows = rows.filter(~F.col("batch_id").isin(unseen))
-        return LATEST[table](rows) if table in LATEST else rows
+        return rows
 
     def history(self, table: str) -> DataFrame:
         _, schema, _ = TABLES[table]

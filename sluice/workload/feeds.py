@@ -24,6 +24,7 @@ from sluice.plans.ingest import (
     publish_zones,
 )
 from sluice.session import configure, new_path, stage
+from sluice.sources.catalog import Catalog
 from sluice.sources.config import validate_configs
 from sluice.sources.events import open_envelopes, validate_events
 from sluice.sources.files import Landed
@@ -259,7 +260,7 @@ def states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_once
-def ledgered(spark: SparkSession, sf_dir: str) -> Lake:
+def _ledgered(spark: SparkSession, sf_dir: str) -> tuple[Lake, Catalog]:
     """The same feed, with messages that hold no event among it, as two streams deliver it, each as its batch 0.
 
     The first batch and the publication come twice, the second time with other contents; a third stream's attempt wrote
@@ -268,6 +269,8 @@ def ledgered(spark: SparkSession, sf_dir: str) -> Lake:
     from sluice.workload.documents import event_messages
 
     at = Lake(spark, new_path(spark, "ledgered"))
+    catalog = Catalog(at, "ledgered_analytics", "ledgered_business")
+    catalog.create(replace=True)
     told = events(spark, sf_dir).select("product", F.to_json(F.struct("product", "file_name", "business_date", "run_id")).alias("value"))
     unusable = validate_events(open_envelopes(event_messages(spark, sf_dir)), products(spark)).filter("outcome = 'quarantined'")
     second = F.floor(F.col("message_id") / 10) % 2 == 1
@@ -276,7 +279,10 @@ def ledgered(spark: SparkSession, sf_dir: str) -> Lake:
 
     def deliver(rows: DataFrame, origin: str, clock: str = CLOCK) -> None:
         source, lookups = TableSource(landed(spark, sf_dir)), [Lookup(reference(spark, sf_dir))]
-        ingest(at, open_envelopes(rows.select("value")), configs(spark), mappings(spark), source, F.lit(clock), lookups=lookups, batch=BatchKey(origin, 0))
+        events = open_envelopes(rows.select("value"))
+        batch = ingest(at, events, configs(spark), mappings(spark), source, F.lit(clock), lookups=lookups, batch=BatchKey(origin, 0))
+        if batch.states is not None:
+            catalog.add_runs(batch.states)
 
     deliver(messages.filter("not second"), "events-a")
     deliver(messages.filter("second"), "events-b")
@@ -286,7 +292,20 @@ def ledgered(spark: SparkSession, sf_dir: str) -> Lake:
     failed = F.lit(at.ledger.open(BatchKey("events-c", 0)).batch_id)
     for name, column in (("ingestion_runs", "status"), ("ingestion_steps", "status"), ("quarantine", "reason"), ("outbox", "payload")):
         at.write(name, at.read(name).withColumns({column: F.lit("wrong"), "batch_id": failed}))
-    return at
+    return at, catalog
+
+
+def ledgered(spark: SparkSession, sf_dir: str) -> Lake:
+    return _ledgered(spark, sf_dir)[0]
+
+
+def ledgered_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
+    """The catalog of that lake as its batches were added to it, pointing to the lake of this folder."""
+    catalog = _ledgered(spark, sf_dir)[1]
+    catalog.create(replace=True)
+    if spark.sql(f"SHOW PARTITIONS {catalog.tables()['raw']}").isEmpty():  # another folder's lake had the names since
+        catalog.register()
+    return catalog
 
 
 @_once

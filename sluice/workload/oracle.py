@@ -704,8 +704,8 @@ _SELECTS: dict[str, str] = {
     "catalog_tables": """
         SELECT * FROM (
           SELECT 'ingestion_analytics' AS database_name, 'analytics_ingestion_runs' AS table_name, 24 AS column_count,
-                 'anomesdia, batch_id' AS partition_keys, count(*)::BIGINT AS row_count FROM run_facts
-          UNION ALL SELECT 'ingestion_analytics', 'analytics_ingestion_steps', 64, 'anomesdia, batch_id', count(*)
+                 'anomesdia' AS partition_keys, count(*)::BIGINT AS row_count FROM run_facts
+          UNION ALL SELECT 'ingestion_analytics', 'analytics_ingestion_steps', 64, 'anomesdia', count(*)
             FROM step_facts
           UNION ALL SELECT 'ingestion_business', 'business_raw', 4, 'product, year, month, day, run_id', count(*) FROM recs
           UNION ALL SELECT 'ingestion_business', 'business_processed', 7, 'product, year, month, day, run_id', count(*)
@@ -865,6 +865,12 @@ _SELECTS["ledger_batches"] = """
            coalesce((SELECT n FROM bad WHERE second), 0), coalesce((SELECT n FROM failures WHERE second), 0)
     UNION ALL SELECT 2, 'curated-a', 0, 'committed', 0, 0, (SELECT n FROM sent) - (SELECT coalesce(sum(n), 0) FROM failures)::BIGINT
     UNION ALL SELECT 3, 'events-c', 0, 'open', (SELECT sum(n) FROM runs)::BIGINT, (SELECT sum(n) FROM bad)::BIGINT, (SELECT n FROM sent))"""
+# SQL over the catalog finds what the lake holds, after re-delivery and batch by batch
+_SELECTS["catalog_redelivered_status_by_day"] = _SELECTS["vw_ingestion_status_by_day"]
+_SELECTS["catalog_curated_by_day"] = """
+    SELECT product, business_date, count(*)::BIGINT AS curated_records, count(DISTINCT run_id)::BIGINT AS runs
+    FROM final_rows GROUP BY ALL"""
+_SELECTS["catalog_ledger_tables"] = _SELECTS["catalog_tables"].replace("ingestion_", "ledgered_").replace("ledgered_runs", "ingestion_runs").replace("ledgered_steps", "ingestion_steps")
 # from files the same records come out
 for _name in ("threshold_gate", "processed", "curated"):
     _SELECTS[f"file_{_name}"] = _SELECTS[_name]

@@ -35,7 +35,7 @@ from sluice.plans.reports import REPORTS
 from sluice.plans.views import VIEWS
 from sluice.session import configure, new_path, stage
 from sluice.sources import config, events, notifications
-from sluice.sources.catalog import catalog_tables
+from sluice.sources.catalog import Catalog
 from sluice.sources.zones import Lake, read_jsonl_zone, table_counts
 from sluice.workload import documents, feeds
 
@@ -153,7 +153,10 @@ QUERIES["table_counts"] = _table_counts
 
 
 def _catalog_tables(spark, sf_dir):
-    return catalog_tables(feeds.lake(spark, sf_dir))
+    """The whole lake registered at once; the names stand for the lake of the last call."""
+    catalog = Catalog(feeds.lake(spark, sf_dir))
+    catalog.register(replace=True)
+    return catalog.describe()
 
 
 QUERIES["catalog_tables"] = _catalog_tables
@@ -566,16 +569,25 @@ def latest_step_facts(spark, sf_dir):
     )
 
 
-def _redelivered(spark, sf_dir):
+def _redelivered_lake(spark, sf_dir, registered=False):
     """The lake's run facts as three batches at one clock wrote them; only the last one's numbers are right."""
     runs = feeds.lake(spark, sf_dir).read("ingestion_runs")
     again = Lake(spark, new_path(spark, "redelivered"))
+    if registered:
+        catalog = Catalog(again, "redelivered_analytics", "redelivered_business")
+        catalog.create(replace=True)
     for batch, wrong in ((9, -1), (11, 0), (10, -2)):
         total = F.col("total_records") if not wrong else F.lit(wrong).cast("bigint")
         status = F.col("status") if not wrong else F.lit("FAILED")
         written = {"batch_id": F.lit(f"events-{batch}"), "total_records": total, "status": status}
         again.write("ingestion_runs", runs.withColumns(written))
-    return again.read("ingestion_runs")
+        if registered:
+            catalog.merge_facts([r.anomesdia for r in runs.select("anomesdia").distinct().collect()])
+    return again
+
+
+def _redelivered(spark, sf_dir):
+    return _redelivered_lake(spark, sf_dir).read("ingestion_runs")
 
 
 @query
@@ -627,6 +639,27 @@ def ledger_batches(spark, sf_dir):
     return entries
 
 
+@query
+def catalog_ledger_tables(spark, sf_dir):
+    """A lake registered batch by batch."""
+    return feeds.ledgered_catalog(spark, sf_dir).describe()
+
+
+@query
+def catalog_curated_by_day(spark, sf_dir):
+    name = feeds.ledgered_catalog(spark, sf_dir).tables()["curated"]
+    return spark.sql(
+        f"SELECT product, business_date, count(*) AS curated_records, count(DISTINCT run_id) AS runs FROM {name} GROUP BY product, business_date"
+    )
+
+
+@query
+def catalog_redelivered_status_by_day(spark, sf_dir):
+    """The registered run facts after three deliveries at one clock, merged after each."""
+    catalog = Catalog(_redelivered_lake(spark, sf_dir, registered=True), "redelivered_analytics", "redelivered_business")
+    return VIEWS["vw_ingestion_status_by_day"][0](spark.table(catalog.tables()["ingestion_runs"]))
+
+
 @query
 def odd_run_ids(spark, sf_dir):
     """Runs whose ids need escaping in folder names, written and read back by run."""
