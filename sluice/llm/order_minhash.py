@@ -8,12 +8,14 @@ similarity, 1 - edits / words of the longer, reaches ``SIMILARITY``, by banded a
 
 Exact copies count once. The documents that share a sketch are compared with the smallest of them, not with each other. First
 each document is aligned with the one it is most often held against; what this links forms classes. Then come the
-candidate pairs between different classes. Groups of which the smallest doesn't explain all members go on with all of them,
-explained or not, and only pairs of different classes are compared: up to ``SMALL_GROUP`` members with each other, more are
-cut finer without losing a pair: of two texts of similarity s, each has a word in common with the other among the
-(1 - s) * words + 1 that are rarest in the group (a prefix filter, which takes the n-th occurrence of a word for a word of its
-own), and n of them among n - 1 more. Parts that share such a word are compared with their smallest, small ones with each
-other; what is left in large parts is cut by a second and a third word, and then compared pair by pair.
+candidate pairs between different classes. Groups of which the smallest doesn't explain all members are open: their members,
+explained or not, may be like each other. Up to ``_FEW`` members beside a group's largest class are compared with all others. For
+groups with more, documents are left out of whose pairs of neighbouring words too many occur in no other member; then one
+prefix filter over all members that are left finds the pairs, however many open groups a document is in: of two texts of similarity s, each has a word in common with the other among the (1 - s) * words + 1 that are
+rarest among all members (the n-th occurrence of a word counts as a word of its own), and n of them among n - 1 more. Members
+that share such a word are a part; pairs of different classes that also share an open group are compared, in small parts each
+member with the others, in larger ones with the smallest. What is left in larger parts is cut by a second and a third word, and
+then compared pair by pair.
 
 Two documents of which no sketch agrees are never compared. The sketches serve the bar of 0.8: of texts of 300 words with
 scattered substitutions 97.8 % share one at edit similarity 0.8, 99.8 % at 0.85. Documents of up to ``SHORT`` words, in which
@@ -30,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.llm.alignment import distances
 from sluice.llm.anchors import shuffles_freed
@@ -45,9 +47,9 @@ PICKED = 2
 SHORT = 25  # words up to which a text has sketches of single words too
 _SHORT_SKETCHES = 8
 SIMILARITY = 0.8
-SMALL_GROUP = 8  # members of a group that are compared with each other once its smallest doesn't explain all of them
-_SMALL_PART = 32  # the same for those of a group that share rare words
-_DEPTH = 3  # rare words by which a large group is cut; what agrees on all of them is compared pair by pair
+_FEW = 16  # members of an open group beside its largest class that are compared with all of it
+_SMALL_PART = 32  # members that share rare words and are compared with each other
+_DEPTH = 3  # rare words by which larger parts are cut; what agrees on all of them is compared pair by pair
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, SKETCHES + _SHORT_SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _JOIN = np.uint64(0x9E3779B97F4A7C15)
@@ -131,9 +133,11 @@ def _aligned(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
                 good = pa.array(distances(list(zip(*sides)), limits) <= limits)
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], ["a", "b"])
 
-    left = texts.select(F.col("doc").alias("a"), F.col("words").alias("left"))
-    right = texts.select(F.col("doc").alias("b"), F.col("words").alias("right"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    # written first: few pairs go to the texts, and only texts of pairs meet
+    pairs = stage(pairs.select("a", "b"), "pairs")
+    left = texts.select(F.col("doc").alias("a"), F.col("words").alias("left")).join(pairs, "a")
+    right = texts.select(F.col("doc").alias("b"), F.col("words").alias("right")).join(pairs, "b")
+    both = left.join(right, ["a", "b"]).select("a", "b", "left", "right")
     return stage(both.mapInArrow(run, "a bigint, b bigint"), "aligned")
 
 
@@ -146,9 +150,9 @@ def _classes(docs: DataFrame, roots: DataFrame, doc: str, name: str) -> DataFram
 
 
 def _held_against(groups: DataFrame) -> DataFrame:
-    """(group, doc, n_words, lead, lead_words): each member of a group beside the group's smallest."""
-    lead = groups.groupBy("group").agg(F.min(F.struct("doc", "n_words")).alias("lead"), F.count(F.lit(1)).alias("n"))
-    lead = lead.filter("n > 1").select("group", F.col("lead.doc").alias("lead"), F.col("lead.n_words").alias("lead_words"))
+    """(group, doc, n_words, lead, lead_words, size): each member of a group beside the group's smallest."""
+    lead = groups.groupBy("group").agg(F.min(F.struct("doc", "n_words")).alias("lead"), F.count(F.lit(1)).alias("size"))
+    lead = lead.filter("size > 1").select("group", F.col("lead.doc").alias("lead"), F.col("lead.n_words").alias("lead_words"), "size")
     return groups.join(lead, "group").filter("doc <> lead")
 
 
@@ -163,8 +167,12 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
     groups = texts.select("doc", "n_words", "sketches", F.posexplode("sketches").alias("nth", "group"))
     groups = groups.select("doc", "n_words", F.xxhash64("nth", "group").alias("group"))
     held = stage(_held_against(groups), "candidates")
-    pairs = _possible(held, similarity).groupBy("doc", "lead").agg(F.count(F.lit(1)).alias("n"))
-    pairs = stage(pairs, "candidate-pairs")
+    # of each document and lead, how many groups they share, and whether any of them has further members
+    every = held.groupBy("doc", "lead").agg(
+        F.count(F.lit(1)).alias("n"), F.max("n_words").alias("n_words"), F.max("lead_words").alias("lead_words"), F.max("size").alias("size")
+    )
+    every = stage(every, "candidate-pairs")
+    pairs = _possible(every, similarity).select("doc", "lead", "n")
     best = pairs.groupBy("doc").agg(F.max_by("lead", F.struct("n", F.bitwise_not("lead"))).alias("lead"))
     links = _aligned(best.select(F.col("lead").alias("a"), F.col("doc").alias("b")), texts, similarity)
     roots = components(links)
@@ -176,9 +184,19 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
     rest = apart(pairs).join(best, ["doc", "lead"], "left_anti").select(F.col("lead").alias("a"), F.col("doc").alias("b"))
     links = links.unionByName(_aligned(rest, texts, similarity))
     roots = components(links)
-    # groups that their smallest doesn't explain go on: small ones are settled, large ones cut by rare words
+    # a group is open if its smallest doesn't explain a member and there are others that may
+    unexplained = apart(every.filter("size > 2").select("doc", "lead"))
+    opened = held.filter("size > 2").join(unexplained, ["doc", "lead"], "left_semi").select("group", "lead", "lead_words").distinct()
+    opened = stage(opened, "open-groups")
+    if opened.isEmpty():
+        return roots
+    # what the smallest explains stays: it may be like what the smallest doesn't explain
+    members = held.join(opened.select("group"), "group", "left_semi").select("group", "doc", "n_words")
+    members = members.unionByName(opened.select("group", F.col("lead").alias("doc"), F.col("lead_words").alias("n_words")))
+    members = stage(_classes(members, roots, "doc", "class"), "open-members")
 
     def tried(new: DataFrame) -> None:
+        """Align pairs of different classes."""
         nonlocal links, roots
         both = apart(_possible(new, similarity).select("doc", "lead").distinct())
         found = _aligned(both.select(F.col("lead").alias("a"), F.col("doc").alias("b")), texts, similarity)
@@ -186,43 +204,62 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
             links = stage(links.unionByName(found), "links")
             roots = components(links)
 
+    # groups with few members beside their largest class: these few are held against all, pairs in proportion to the group
+    sizes = members.groupBy("group", "class").agg(F.count(F.lit(1)).alias("n")).groupBy("group")
+    sizes = sizes.agg(F.sum("n").alias("n"), F.max(F.struct("n", "class")).alias("top")).withColumn("others", F.col("n") - F.col("top.n"))
+    sizes = stage(sizes.filter("others > 0"), "open-sizes")
+    probed = members.join(sizes.filter(F.col("others") <= _FEW).select("group", F.col("top.class").alias("top")), "group")
+    others = probed.filter("class <> top").select("group", F.col("doc").alias("lead"), F.col("n_words").alias("lead_words"), F.col("class").alias("_class"))
+    beside = probed.join(others, "group").filter("class <> _class")
+    tried(beside.select(*[F.when(F.col("doc") > F.col("lead"), F.col(x)).otherwise(F.col(y)).alias(n) for n, x, y in (
+        ("doc", "doc", "lead"), ("lead", "lead", "doc"), ("n_words", "n_words", "lead_words"), ("lead_words", "lead_words", "n_words"))]))
+    inside = members.join(sizes.filter(F.col("others") > _FEW).select("group"), "group", "left_semi")
+    inside = stage(inside.groupBy("doc").agg(F.collect_set("group").alias("open")), "open-lists")  # as many as sketches
+    inside = stage(inside.join(_without_company(inside.select("doc"), texts, similarity), "doc", "left_anti"), "company")
+    if inside.isEmpty():
+        return roots
+    rare = _by_rarity(inside.select("doc"), texts, similarity)
+
+    def sharing(pairs: DataFrame) -> DataFrame:
+        """The pairs that share an open group."""
+        pairs = _possible(pairs, similarity).distinct()
+        for side in ("doc", "lead"):
+            pairs = pairs.join(inside.select(F.col("doc").alias(side), F.col("open").alias(f"{side}_open")), side)
+        return pairs.filter(F.arrays_overlap("doc_open", "lead_open")).select("doc", "n_words", "lead", "lead_words")
+
     def unlike(rows: DataFrame) -> DataFrame:
-        """The rows of groups of several classes, with their class and the group's size ``n``."""
+        """The rows of parts of several classes, with their class and the part's size ``n``."""
         classed = _classes(rows, roots, "doc", "class")
-        size = classed.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("_low"), F.max("class").alias("_high"))
-        return stage(classed.join(size.filter("_low <> _high"), "group").drop("_low", "_high"), "unlike")
+        size = classed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("_low"), F.max("class").alias("_high"))
+        return stage(classed.join(size.filter("_low <> _high"), "part").drop("_low", "_high"), "unlike")
 
-    # what the smallest explains stays: it may be like what the smallest doesn't explain
-    open_groups = held.join(apart(held).select("group").distinct(), "group", "left_semi")
-    leads = open_groups.select("group", F.col("lead").alias("doc"), F.col("lead_words").alias("n_words")).distinct()
-    rows = unlike(open_groups.select("group", "doc", "n_words").unionByName(leads))
-    if rows.isEmpty():
-        return roots
-    tried(_each_with_smaller(rows.filter(F.col("n") <= SMALL_GROUP)))
-    rows = unlike(rows.filter(F.col("n") > SMALL_GROUP).select("group", "doc", "n_words"))
-    if rows.isEmpty():
-        return roots
-    rare = _by_rarity(rows.select("group", "doc", "n_words"), texts)
-    rows = rows.select(F.col("group").alias("whole"), "group", "doc", "n_words", F.lit(-1).alias("place"))
+    # the rare words of each text, once for every part it is in
+    rows = rare.select("doc", "n_words", F.lit(0).cast("bigint").alias("part"), F.lit(-1).alias("place"))
     for depth in range(1, _DEPTH + 1):
         # of two alike texts, the first ``depth`` words in common are among so many of each
-        first = F.slice("rare", 1, (F.floor((1 - similarity) * F.col("n_words") + 1e-9) + depth).cast("int"))
-        longer = rows.withColumnRenamed("place", "_last").join(rare, ["whole", "doc"]).select("*", F.posexplode(first).alias("place", "word"))
+        first = F.slice("rare", 1, _prefix(similarity, depth))
+        longer = rows.withColumnRenamed("place", "_last").join(rare.drop("n_words"), "doc").select("*", F.posexplode(first).alias("place", "word"))
         longer = longer.filter((F.col("place") > F.col("_last")) & (F.col("word.n") > 1))
-        rows = unlike(longer.select("whole", F.xxhash64("group", "word.token").alias("group"), "doc", "n_words", "place"))
+        rows = unlike(longer.select(F.xxhash64("part", "word.token").alias("part"), "doc", "n_words", "place"))
         if rows.isEmpty():
             return roots
         large = rows.filter(F.col("n") > _SMALL_PART)
-        against = _held_against(large.select("group", "doc", "n_words")).select("doc", "n_words", "lead", "lead_words")
-        tried(_each_with_smaller(rows.filter(F.col("n") <= _SMALL_PART)).unionByName(against))
-        rows = unlike(large.select("whole", "group", "doc", "n_words", "place"))
+        smallest = large.groupBy("part").agg(F.min(F.struct("doc", "n_words")).alias("lead"))
+        smallest = smallest.select("part", F.col("lead.doc").alias("lead"), F.col("lead.n_words").alias("lead_words"))
+        against = large.join(smallest, "part").filter("doc <> lead").select("doc", "n_words", "lead", "lead_words")
+        tried(sharing(_each_with_smaller(rows.filter(F.col("n") <= _SMALL_PART)).unionByName(against)))
+        rows = unlike(large.select("part", "doc", "n_words", "place"))
         if rows.isEmpty():
             return roots
-    other = rows.select("group", F.col("doc").alias("lead"), F.col("n_words").alias("lead_words"), F.col("class").alias("_class"))
-    tried(rows.join(other, "group").filter("lead < doc and class <> _class").select("doc", "n_words", "lead", "lead_words"))
+    other = rows.select("part", F.col("doc").alias("lead"), F.col("n_words").alias("lead_words"), F.col("class").alias("_class"))
+    tried(sharing(rows.join(other, "part").filter("lead < doc and class <> _class").select("doc", "n_words", "lead", "lead_words")))
     return roots
 
 
+def _prefix(similarity: float, depth: int) -> Column:
+    return (F.floor((1 - similarity) * F.col("n_words") + 1e-9) + depth).cast("int")
+
+
 def _labelled(lists: pa.Array) -> pa.StructArray:
     """The numbers of each list as hashes of the number and how often it has occurred before."""
     values, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
@@ -236,21 +273,41 @@ def _labelled(lists: pa.Array) -> pa.StructArray:
     return struct(tokens=list_array(tokens.view(np.int64), sizes))
 
 
-def _by_rarity(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """(whole, doc, rare): for members of groups the labelled words of the text, in how many of the group each occurs, rarest first."""
-    own = texts.join(members.select("doc").distinct(), "doc", "left_semi").select("doc", "words")
-    own = stage(append(own, "words", _labelled, "tokens array<bigint>", "l").select("doc", "l.tokens"), "labelled")
-    rows = members.join(own, "doc").select(F.col("group").alias("whole"), "doc", F.explode("tokens").alias("token"))
-    counts = rows.groupBy("whole", "token").agg(F.count(F.lit(1)).alias("n"))
-    rare = rows.join(counts, ["whole", "token"]).groupBy("whole", "doc").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("rare"))
-    return stage(rare, "rare-words")
+def _paired(lists: pa.Array) -> pa.StructArray:
+    """The pairs of neighbours in each list as hashes of the pair and how often it has occurred before."""
+    values, sizes = lists.flatten().to_numpy().view(np.uint32).astype(np.uint64), lists.value_lengths().to_numpy().astype(np.int64)
+    inner = np.ones(len(values), bool)
+    inner[np.cumsum(sizes)[sizes > 0] - 1] = False  # the last of a list begins no pair
+    pairs = mixed(values[:-1] * _JOIN + values[1:])[inner[:-1]] if len(values) else values
+    return _labelled(list_array(pairs.view(np.int64), np.maximum(sizes - 1, 0)))
+
+
+def _without_company(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(doc) of the given documents that none of the others can be like: an edit spoils two pairs of neighbouring words at
+    most, and more pairs than that occur in no other of them. Counts only meet, by pair and by document."""
+    own = texts.join(members, "doc", "left_semi").select("doc", "n_words", "words")
+    paired = append(own, "words", _paired, "tokens array<bigint>", "p").select("doc", "n_words", F.explode("p.tokens").alias("pair"))
+    alone = paired.groupBy("pair").agg(F.min(F.struct("doc", "n_words")).alias("own"), F.count(F.lit(1)).alias("n")).filter("n = 1")
+    alone = alone.groupBy(F.col("own.doc").alias("doc"), F.col("own.n_words").alias("n_words")).agg(F.count(F.lit(1)).alias("alone"))
+    return alone.filter(F.col("alone") > 2 * F.floor((1 - similarity) * F.col("n_words") + 1e-9)).select("doc")
+
+
+def _by_rarity(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(doc, n_words, rare): for the given documents the labelled words that are rarest among them, as many as the last cut
+    takes, each with the number of documents it occurs in."""
+    own = texts.join(members, "doc", "left_semi").select("doc", "n_words", "words")
+    own = stage(append(own, "words", _labelled, "tokens array<bigint>", "l").select("doc", "n_words", "l.tokens"), "labelled")
+    rows = own.select("doc", "n_words", F.explode("tokens").alias("token"))
+    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    found = rows.join(counts, "token").groupBy("doc", "n_words").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("rare"))
+    return stage(found.withColumn("rare", F.slice("rare", F.lit(1), _prefix(similarity, _DEPTH))), "rare-words")
 
 
-def _each_with_smaller(groups: DataFrame) -> DataFrame:
-    """(doc, n_words, lead, lead_words): members of groups of bounded size, each beside the smaller ones."""
-    listed = groups.groupBy("group").agg(F.sort_array(F.collect_list(F.struct("doc", "n_words"))).alias("all"))  # SMALL_GROUP at most
+def _each_with_smaller(parts: DataFrame) -> DataFrame:
+    """(doc, n_words, lead, lead_words): members of parts of bounded size, each beside the smaller ones of another class."""
+    listed = parts.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("doc", "n_words", "class"))).alias("all"))  # _SMALL_PART at most
     one = listed.select("all", F.inline("all"))
-    smaller = F.filter("all", lambda x: x["doc"] < F.col("doc"))
+    smaller = F.filter("all", lambda x: (x["doc"] < F.col("doc")) & (x["class"] != F.col("class")))
     return one.select("doc", "n_words", F.inline(F.transform(smaller, lambda x: F.struct(x["doc"].alias("lead"), x["n_words"].alias("lead_words")))))
 
 

@@ -1,6 +1,7 @@
 """WARC records: files round trip, links, digests, headers and text of derivatives."""
 
 import base64
+import gzip
 import hashlib
 import json
 
@@ -67,3 +68,47 @@ def test_empty(spark, pages, tmp_path):
     assert warc.derive(none).count() == 0
     warc.write(none, str(tmp_path / "none"))
     assert warc.read(spark, str(tmp_path / "none")).count() == 0
+
+
+def record(block, kind="response", length=None):
+    return b"WARC/1.0\r\nWARC-Type: %s\r\nContent-Length: %d\r\n\r\n%s\r\n\r\n" % (kind.encode(), len(block) if length is None else length, block)
+
+
+def kinds(raw):
+    return [(warc.value_of(h, "WARC-Type"), b) for h, b in warc.parse(raw)]
+
+
+def test_blank_lines_between_records_are_skipped():
+    raw = record(b"one") + b"\r\n" + record(b"two") + b"\n\n" + record(b"")
+    assert kinds(raw) == [("response", b"one"), ("response", b"two"), ("response", b"")]
+    assert kinds(b"") == kinds(b"\r\n\r\n") == []
+
+
+def test_damage_is_reported_and_passed():
+    found = kinds(record(b"one") + b"garbage\r\nmore\r\n" + record(b"two"))
+    assert found == [("response", b"one"), (warc.UNREADABLE, b"garbage\r\nmore\r\n"), ("response", b"two")]
+    bad_length = b"WARC/1.0\r\nContent-Length: many\r\n\r\n"
+    assert kinds(bad_length + record(b"two")) == [(warc.UNREADABLE, bad_length[:-2]), ("response", b"two")]
+    # a block that is longer than its header says
+    assert [k for k, _ in kinds(record(b"one and more", length=3) + record(b"two"))] == ["response", warc.UNREADABLE, "response"]
+
+
+@pytest.mark.parametrize("compressed", [False, True])
+def test_a_file_cut_off_anywhere_ends(compressed):
+    whole = record(b"one") + record(b"two" * 50)
+    raw = gzip.compress(whole) if compressed else whole
+    for end in range(len(raw)):
+        found = kinds(raw[:end])
+        good = [b for k, b in found if k == "response"]
+        assert good == [b"one", b"two" * 50][: len(good)]
+        if not compressed:
+            assert sum(len(b) for _, b in found) <= end
+            # nothing vanishes: a cut that is not between records shows
+            if end not in (0, len(record(b"one"))) and not whole[:end].endswith((b"one", b"one\r", b"one\r\n", b"one\r\n\r", b"two", b"two\r", b"two\r\n", b"two\r\n\r")):
+                assert found[-1][0] == warc.UNREADABLE or not whole[len(record(b"one")) : end].strip()
+
+
+def test_unreadable_records_have_no_derivatives(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(record(b"HTTP/1.1 200 OK\r\n\r\n<p>x") + b"junk\r\n" + record(b"HTTP/1.1 200 OK\r\n\r\n<p>y"))
+    read = warc.read(spark, str(tmp_path))
+    assert read.count() == 3 and warc.derive(read).count() == 4
