@@ -10,7 +10,8 @@ format and is atomic on any store; ``read`` takes files of bounded size, as ``wr
 
 Defined cases: a null URL gives no target header; null or empty pages have an empty payload and conversion text; records
 of other types are passed over by ``derive``; repeated rows give repeated records; line breaks and control characters in
-header values are percent-encoded.
+header values are percent-encoded; damaged or cut off records are read as records of type ``unreadable`` with a reason and
+their bytes, and the records after them as usual.
 """
 
 from __future__ import annotations
@@ -23,15 +24,19 @@ import io
 import json
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sluice.llm.frames import list_array
+
 RECORD = "headers array<struct<name: string, value: string>>, block binary"
 RECORDS_PER_FILE = 4000
 _END = b"\r\n\r\n"
-_HEADERS = pa.list_(pa.struct([("name", pa.string()), ("value", pa.string())]))
+UNREADABLE = "unreadable"  # type of what is no record
 _NAMES = uuid.uuid5(uuid.NAMESPACE_URL, "warc-record")
 
 Headers = list[tuple[str, str]]
@@ -129,8 +134,10 @@ def derivatives(headers: Headers, block: bytes) -> Iterator[tuple[Headers, bytes
 
 
 def _batch(records: list[tuple[Headers, bytes]]) -> pa.RecordBatch:
-    headers = [[{"name": n, "value": v} for n, v in h] for h, _ in records]
-    return pa.RecordBatch.from_arrays([pa.array(headers, _HEADERS), pa.array([b for _, b in records], pa.binary())], ["headers", "block"])
+    names, values = [[pair[side] for h, _ in records for pair in h] for side in (0, 1)]
+    pairs = pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(values, pa.string())], ["name", "value"])
+    headers = list_array(pairs, np.array([len(h) for h, _ in records], np.int64))
+    return pa.RecordBatch.from_arrays([headers, pa.array([b for _, b in records], pa.binary())], ["headers", "block"])
 
 
 def responses(pages: DataFrame, key: str, url: str, page: str, date: str) -> DataFrame:
@@ -162,18 +169,56 @@ def write(records: DataFrame, path: str) -> None:
     lines = F.concat_ws("\r\n", F.transform("headers", lambda h: F.concat_ws(": ", h["name"], h["value"])))
     head = F.concat(F.lit("WARC/1.0\r\n"), lines, F.lit("\r\n\r\n"))
     whole = F.concat(F.encode(head, "UTF-8"), F.coalesce("block", F.lit(b""))).cast("string")
-    options = {"lineSep": _END.decode(), "maxRecordsPerFile": str(RECORDS_PER_FILE), "compression": "gzip"}
+    options = {"lineSep": _END.decode(), "maxRecordsPerFile": str(RECORDS_PER_FILE), "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
     records.select(whole.alias("value")).write.options(**options).text(path)
 
 
 def parse(raw: bytes) -> Iterator[tuple[Headers, bytes]]:
-    """Records of a file, one at a time, whether it is compressed or not."""
+    """Records of a file, one at a time, whether it is compressed or not.
+
+    Blank lines between records are skipped. What is no record, or is cut off, comes as a record of type ``unreadable``
+    with a reason and the bytes, up to the next line that begins a record; no byte but blank lines is passed over.
+    """
     stream = gzip.open(io.BytesIO(raw)) if raw.startswith(b"\x1f\x8b") else io.BytesIO(raw)
-    while stream.readline().startswith(b"WARC/"):
-        lines = [line.rstrip(b"\r\n").decode("utf-8", "replace") for line in iter(stream.readline, b"\r\n")]
-        headers = [(n, v.strip()) for n, _, v in (line.partition(":") for line in lines)]
-        yield headers, stream.read(int(value_of(headers, "Content-Length") or 0))
-        stream.read(len(_END))
+    try:
+        yield from _records(stream)
+    except (EOFError, OSError, zlib.error) as error:  # the compressed stream itself is cut off or damaged
+        yield _unreadable(f"compressed data end early: {type(error).__name__}", b"")
+
+
+def _unreadable(reason: str, found: bytes) -> tuple[Headers, bytes]:
+    return [("WARC-Type", UNREADABLE), ("Reason", reason), ("Content-Length", str(len(found)))], found
+
+
+def _records(stream: io.BufferedIOBase) -> Iterator[tuple[Headers, bytes]]:
+    line = stream.readline()
+    while line:
+        if not line.strip(b"\r\n"):
+            line = stream.readline()
+            continue
+        if not line.startswith(b"WARC/"):
+            found = []
+            while line and not line.startswith(b"WARC/"):
+                found.append(line)
+                line = stream.readline()
+            yield _unreadable("no record begins here", b"".join(found))
+            continue
+        seen, headers = [line], []
+        while (line := stream.readline()) and line.strip(b"\r\n"):
+            seen.append(line)
+            name, _, value = line.rstrip(b"\r\n").decode("utf-8", "replace").partition(":")
+            headers.append((name, value.strip()))
+        length = value_of(headers, "Content-Length") or "0"
+        if not line or not length.isdecimal():
+            yield _unreadable("the header is cut off" if not line else "no length", b"".join(seen))
+            line = stream.readline()
+            continue
+        block = stream.read(int(length))
+        if len(block) < int(length):
+            yield _unreadable("the block is cut off", b"".join([*seen, line, block]))
+            return
+        yield headers, block
+        line = stream.readline()
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
