@@ -1,9 +1,11 @@
 """Secret scan: fixed patterns, and a score by automata inferred from labelled credentials.
 
-What the fixed patterns find are the labelled credentials of three kinds; other long strings with a digit are labelled
-plain. A bounded sample of each label (the strings of smallest hash, ``SAMPLE`` of them) trains one probabilistic automaton
-by state merging. Every other candidate string of every text is then scored: by how much its likeliest credential format
-explains it better than the plain automaton does. Candidates above ``MARGIN`` are added as spans of kind ``format``.
+What the fixed patterns find are the labelled credentials of three kinds. Candidates are all other strings of eight or more
+letters, digits and ``+/_.=-``, and what is left of such strings beside the spans of the patterns; they are labelled plain
+if they hold more than letters, points and hyphens, else words. A bounded sample of each label (the strings of smallest hash,
+``SAMPLE`` of them) trains one probabilistic automaton by state merging. Every candidate of every text is then scored: by how
+much its likeliest credential format explains it better than the likelier of the plain and the word automaton does. Length
+decides through the likelihood. Candidates above ``MARGIN`` are added as spans of kind ``format``.
 
 Defined cases: null and empty texts have no spans; whole texts are scanned whatever their length; repeated rows are
 scanned alike; with no labelled credentials at all nothing is added. Positions are code points, ends exclusive.
@@ -34,8 +36,10 @@ _ASSIGN = re.compile(
 _KEYWORDS = ("password", "passwd", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
-_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
-_DIGIT = re.compile(r"[0-9]")
+_CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
+_SHORTEST = 8
+_OTHER = re.compile(r"[0-9+/_=]")  # what words don't hold
+_KNOWN = 1 << 18  # shapes whose score is kept
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -60,11 +64,27 @@ def base_spans(text: str) -> tuple[list[Span], list[tuple[str, str]]]:
 
 
 def candidates(text: str, spans: list[Span]) -> Iterator[tuple[int, int]]:
-    """Long strings with a digit that touch no span of the fixed patterns."""
+    """Strings outside the spans of the fixed patterns, which are given by start."""
+    merged: list[list[int]] = []
+    for a, _, b in spans:
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(b, merged[-1][1])
+        else:
+            merged.append([a, b])
+    k = 0
     for m in _CANDIDATE.finditer(text):
-        a, b = m.span()
-        if _DIGIT.search(text, a, b) and not any(s < b and a < e for s, _, e in spans):
-            yield a, b
+        at, end = m.span()
+        while k < len(merged) and merged[k][1] <= at:
+            k += 1
+        while k < len(merged) and merged[k][0] < end:
+            if merged[k][0] - at >= _SHORTEST:
+                yield at, merged[k][0]
+            at = merged[k][1]
+            if at >= end:
+                break
+            k += 1
+        if end - at >= _SHORTEST:
+            yield at, end
 
 
 def sample_credentials(docs: DataFrame, text: str = "text", size: int = SAMPLE) -> dict[str, list[str]]:
@@ -78,7 +98,7 @@ def sample_credentials(docs: DataFrame, text: str = "text", size: int = SAMPLE)
 
         def offer(kind: str, value: str) -> None:
             heap = kept.setdefault(kind, [])
-            entry = (-xxh64_intdigest(value.encode()), value)
+            entry = (-xxh64_intdigest(value), value)
             if (kind, value) in inside or len(heap) == size and entry <= heap[0]:
                 return
             inside.add((kind, value))
@@ -94,25 +114,33 @@ def sample_credentials(docs: DataFrame, text: str = "text", size: int = SAMPLE)
                     for kind, credential in found:
                         offer(kind, credential)
                     for a, b in candidates(value, spans):
-                        offer("plain", value[a:b])
+                        offer("plain" if _OTHER.search(value, a, b) else "words", value[a:b])
         rows = [(kind, v, str(-h).rjust(20, "0")) for kind, heap in kept.items() for h, v in heap]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["kind", "value", "hash"])
 
     found = docs.select(text).mapInArrow(lowest, "kind string, value string, hash string").distinct()
     found = stage(found, "credentials")
-    kinds = [*KINDS[:3], "plain"]
+    kinds = [*KINDS[:3], "plain", "words"]
     return {k: sorted(r.value for r in found.filter(F.col("kind") == k).orderBy("hash", "value").limit(size).collect()) for k in kinds}
 
 
 class Scorer:
     def __init__(self, sample: dict[str, list[str]]):
         self.formats = [Automaton(map(shape, sample[k])) for k in KINDS[:3] if sample.get(k)]
-        self.plain = Automaton(map(shape, sample.get("plain", [])))
+        self.plain = [Automaton(map(shape, sample.get("plain", [])))]
+        self.plain += [Automaton(map(shape, sample["words"]))] if sample.get("words") else []
+        self.known: dict[str, float] = {}
 
     def score(self, candidate: str) -> float:
-        """Log-likelihood ratio of the likeliest credential format against plain strings."""
+        """Log-likelihood ratio of the likeliest credential format against plain strings and words."""
         string = shape(candidate)
-        return max((a.log_likelihood(string) for a in self.formats), default=float("-inf")) - self.plain.log_likelihood(string)
+        found = self.known.get(string)
+        if found is None:
+            found = max((a.log_likelihood(string) for a in self.formats), default=float("-inf")) - max(a.log_likelihood(string) for a in self.plain)
+            if len(self.known) >= _KNOWN:
+                self.known.clear()
+            self.known[string] = found
+        return found
 
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """Base spans, and those that the automata add."""
