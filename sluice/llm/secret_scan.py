@@ -2,9 +2,9 @@
 
 What the fixed patterns find are the labelled credentials of three kinds. Candidates are all other strings of eight or more
 letters, digits and ``+/_.=-``, and what is left of such strings beside the spans of the patterns; they are labelled plain
-if they hold more than letters, points and hyphens, else words. A bounded sample of each label (the strings of smallest hash,
+if they hold more than letters, points and hyphens, else words, or capitals without any small letter. A bounded sample of each label (the strings of smallest hash,
 ``SAMPLE`` of them) trains one probabilistic automaton by state merging. Every candidate of every text is then scored: by how
-much its likeliest credential format explains it better than the likelier of the plain and the word automaton does. Length
+much its likeliest credential format explains it better than the likeliest of the other automata does. Length
 decides through the likelihood. Candidates above ``MARGIN`` are added as spans of kind ``format``.
 
 Defined cases: null and empty texts have no spans; whole texts are scanned whatever their length; repeated rows are
@@ -87,6 +87,11 @@ def candidates(text: str, spans: list[Span]) -> Iterator[tuple[int, int]]:
             yield at, end
 
 
+def _label(candidate: str) -> str:
+    """What a candidate that no pattern finds is labelled."""
+    return "plain" if _OTHER.search(candidate) else "capitals" if candidate.isupper() else "words"
+
+
 def sample_credentials(docs: DataFrame, text: str = "text", size: int = SAMPLE) -> dict[str, list[str]]:
     """Per label, the ``size`` distinct strings of smallest hash in all texts."""
 
@@ -114,13 +119,13 @@ def sample_credentials(docs: DataFrame, text: str = "text", size: int = SAMPLE)
                     for kind, credential in found:
                         offer(kind, credential)
                     for a, b in candidates(value, spans):
-                        offer("plain" if _OTHER.search(value, a, b) else "words", value[a:b])
+                        offer(_label(value[a:b]), value[a:b])
         rows = [(kind, v, str(-h).rjust(20, "0")) for kind, heap in kept.items() for h, v in heap]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["kind", "value", "hash"])
 
     found = docs.select(text).mapInArrow(lowest, "kind string, value string, hash string").distinct()
     found = stage(found, "credentials")
-    kinds = [*KINDS[:3], "plain", "words"]
+    kinds = [*KINDS[:3], "plain", "words", "capitals"]
     return {k: sorted(r.value for r in found.filter(F.col("kind") == k).orderBy("hash", "value").limit(size).collect()) for k in kinds}
 
 
@@ -128,11 +133,11 @@ class Scorer:
     def __init__(self, sample: dict[str, list[str]]):
         self.formats = [Automaton(map(shape, sample[k])) for k in KINDS[:3] if sample.get(k)]
         self.plain = [Automaton(map(shape, sample.get("plain", [])))]
-        self.plain += [Automaton(map(shape, sample["words"]))] if sample.get("words") else []
+        self.plain += [Automaton(map(shape, sample[k])) for k in ("words", "capitals") if sample.get(k)]
         self.known: dict[str, float] = {}
 
     def score(self, candidate: str) -> float:
-        """Log-likelihood ratio of the likeliest credential format against plain strings and words."""
+        """Log-likelihood ratio of the likeliest credential format against the likeliest of plain strings, words and capitals."""
         string = shape(candidate)
         found = self.known.get(string)
         if found is None:
