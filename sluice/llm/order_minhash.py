@@ -321,11 +321,12 @@ def near_duplicates(
     own_id = F.coalesce(F.col(doc_id).cast("bigint"), smallest)
     with shuffles_freed(spark), scratch(spark) as staged:
         given = docs.select(own_id.alias("id"), F.col(text).alias("text"))
-        sketched = stage(_sketch(given, "text", "s").select("id", "s.*"), "sketches")
-        copies = sketched.groupBy("digest", "node").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"))
-        copies = stage(copies, "copies")
-        firsts = sketched.filter("n_words > 0").join(copies.select("digest", "id"), ["digest", "id"], "left_semi")
-        firsts = firsts.dropDuplicates(["digest", "id"])  # repeated rows
+        sketched = _sketch(given, "text", "s").select("id", "s.*", F.monotonically_increasing_id().alias("row"))
+        sketched = stage(sketched, "sketches")
+        # the first row of every text, found by numbers only; texts are not shuffled for it unless these are too many
+        copies = sketched.groupBy("digest", "node").agg(F.min(F.struct("id", "row")).alias("least"), F.count(F.lit(1)).alias("n"))
+        copies = stage(copies.select("digest", "node", "least.*", "n"), "copies")
+        firsts = sketched.filter("n_words > 0").join(stage(copies.select("row"), "first-rows"), "row", "left_semi")
         texts = stage(firsts.select(F.col("node").alias("doc"), "n_words", "sketches", "words"), "distinct-texts")
         roots = stage(classes_of(texts, similarity), "roots")
         classed = _classes(copies, roots, "node", "root")
