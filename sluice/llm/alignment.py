@@ -8,6 +8,7 @@ from sluice.llm.texts import mixed, powers, rolling
 
 _FAR = 1 << 28
 _TOGETHER = 1 << 19  # cells of a batch: pairs times diagonals
+_WORDS = 1 << 20  # of a batch
 _GRAM = 3
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -133,8 +134,11 @@ def distances(pairs: list[tuple[np.ndarray, np.ndarray]], limits: np.ndarray) ->
     open_pairs.sort(key=lambda x: limits[x[0]])
     while open_pairs:
         # as many as fit, and one at least
-        size = 1
+        size, words = 1, len(open_pairs[0][1]) + len(open_pairs[0][2])
         while size < len(open_pairs) and (size + 1) * (2 * limits[open_pairs[size][0]] + 3) <= _TOGETHER:
+            words += len(open_pairs[size][1]) + len(open_pairs[size][2])
+            if words > _WORDS:
+                break
             size += 1
         batch, open_pairs = open_pairs[:size], open_pairs[size:]
         at = np.array([k for k, _, _ in batch])
