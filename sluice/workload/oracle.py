@@ -846,6 +846,10 @@ _SELECTS["scan_quoted_breaks"] = """
 _SELECTS["quoted_break_numbers"] = """
     SELECT 'texts-' || coalesce(lang, 'none') AS run_id, count(*)::BIGINT AS numbers, 1::BIGINT AS least,
            count(*)::BIGINT AS most, count(*)::BIGINT AS total FROM documents GROUP BY ALL"""
+_SELECTS["scan_curated"] = _SELECTS["curated"]
+_SELECTS["scan_rejected"] = """
+    SELECT run_id, stage, product, row_number, reason, business_date, split_part(business_date, '-', 1) AS year,
+           split_part(business_date, '-', 2) AS month, split_part(business_date, '-', 3) AS day FROM rejected_zone"""
 # two batches with one number, a replay and an attempt that failed leave what one delivery leaves
 _SELECTS["ledger_runs"] = _SELECTS["ingestion_runs"]
 _SELECTS["ledger_steps"] = _SELECTS["ingestion_steps"]

@@ -122,6 +122,18 @@ def scan_processed(spark, sf_dir):
     return feeds.lake(spark, sf_dir).read("processed").select("run_id", *DOMAIN)
 
 
+@query
+def scan_curated(spark, sf_dir):
+    columns = ["run_id", "row_number", *DOMAIN, "domain", "product", "business_date", "enriched_at"]
+    return feeds.lake(spark, sf_dir).read("curated").select(*columns)
+
+
+@query
+def scan_rejected(spark, sf_dir):
+    columns = ["run_id", "stage", "product", "row_number", "reason", "business_date", "year", "month", "day"]
+    return feeds.lake(spark, sf_dir).read("rejected").select(*columns)
+
+
 @query
 def scan_zone_tables(spark, sf_dir):
     at = feeds.lake(spark, sf_dir)
