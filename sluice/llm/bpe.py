@@ -31,7 +31,7 @@ from sluice.llm.texts import CHUNK_BYTES, ranges
 
 #: fixed value: the pattern of the byte-level pre-tokenizer
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHE_UNITS = 300_000
+CACHE_UNITS = 150_000
 _NONE = np.iinfo(np.int64).max
 
 

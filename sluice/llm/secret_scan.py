@@ -39,7 +39,7 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
 _SHORTEST = 8
 _OTHER = re.compile(r"[0-9+/_=]")  # what words don't hold
-_KNOWN = 1 << 16  # shapes whose score is kept
+_KNOWN = 1 << 15  # shapes whose score is kept
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
