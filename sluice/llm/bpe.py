@@ -74,6 +74,10 @@ class ByteBpe:
         self.new: list[str] = []
         self._clear()
 
+    def forget(self) -> None:
+        """Give the memory of the cache back."""
+        self._clear()
+
     def _clear(self) -> None:
         self.unit_number.clear()
         self.ids, self.n_ids = np.zeros(1 << 16, np.int32), 0
@@ -258,7 +262,7 @@ def encode_column(docs: DataFrame, path: str, text: str = "text", name: str = "e
         counts = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64)
         return struct(ids=list_array(ids, counts))
 
-    return append(docs, text, run, "ids array<int>", name)
+    return append(docs, text, run, "ids array<int>", name, done=lambda: vocabulary(path).forget())
 
 
 def decode_column(docs: DataFrame, path: str, ids: str = "ids", name: str = "decoded") -> DataFrame:

@@ -25,10 +25,13 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def append(df: DataFrame, column: str | list[str], compute: Callable[..., pa.StructArray], fields: str, name: str) -> DataFrame:
+def append(
+    df: DataFrame, column: str | list[str], compute: Callable[..., pa.StructArray], fields: str, name: str, done: Callable[[], None] | None = None
+) -> DataFrame:
     """Add struct column ``name`` holding ``compute`` of ``column``, batch by batch; all other columns pass through.
 
     ``name`` must be free (see ``free_name``). ``compute`` gets an Arrow array of each column and returns a struct array.
+    ``done`` is called at the end of each task, since Python workers live on.
     """
     at = [df.columns.index(c) for c in ([column] if isinstance(column, str) else column)]
     added = StructType.fromDDL(fields)
@@ -39,6 +42,8 @@ def append(df: DataFrame, column: str | list[str], compute: Callable[..., pa.Str
             for first in range(0, whole.num_rows, SLICE_ROWS):  # what is computed of a slice is sent off before the next
                 batch = whole.slice(first, SLICE_ROWS)
                 yield pa.RecordBatch.from_arrays([*batch.columns, compute(*[batch.column(k) for k in at])], [*batch.schema.names, name])
+        if done:
+            done()
 
     return df.mapInArrow(run, schema)
 

@@ -286,9 +286,9 @@ def _without_company(members: DataFrame, texts: DataFrame, similarity: float) ->
     """(doc) of the given documents that none of the others can be like: an edit spoils two pairs of neighbouring words at
     most, and more pairs than that occur in no other of them. Counts only meet, by pair and by document."""
     own = texts.join(members, "doc", "left_semi").select("doc", "n_words", "words")
-    paired = append(own, "words", _paired, "tokens array<bigint>", "p").select("doc", "n_words", F.explode("p.tokens").alias("pair"))
-    alone = paired.groupBy("pair").agg(F.min(F.struct("doc", "n_words")).alias("own"), F.count(F.lit(1)).alias("n")).filter("n = 1")
-    alone = alone.groupBy(F.col("own.doc").alias("doc"), F.col("own.n_words").alias("n_words")).agg(F.count(F.lit(1)).alias("alone"))
+    paired = append(own, "words", _paired, "tokens array<bigint>", "p").select("doc", F.explode("p.tokens").alias("pair"))
+    alone = paired.groupBy("pair").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n")).filter("n = 1")
+    alone = alone.groupBy("doc").agg(F.count(F.lit(1)).alias("alone")).join(own.select("doc", "n_words"), "doc")
     return alone.filter(F.col("alone") > 2 * F.floor((1 - similarity) * F.col("n_words") + 1e-9)).select("doc")
 
 
