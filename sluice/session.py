@@ -13,13 +13,16 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 # Partition values such as month=05 must stay text, re-written partitions must replace only themselves,
-# and a table may be broadcast only when its size is known to lie under the limit below.
+# and a table may be broadcast only when its size is known to lie under the limit below. Rows come to a zone run by run,
+# so a task keeps the files of its few runs open instead of sorting all it holds; beyond that many it sorts the rest.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(32 << 20),  # compressed: sorted rows take about eight times this
     # call sites of every column expression cost more than the plans of the wide fact tables
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -34,9 +37,17 @@ def build_session(app_name: str = "sluice", master: str | None = None, **conf: s
     return configure(builder.getOrCreate())
 
 
+_RELIED_ON = (
+    "spark.sql.session.timeZone",
+    "spark.sql.sources.partitionColumnTypeInference.enabled",
+    "spark.sql.maxConcurrentOutputFileWriters",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the engine relies on to a session someone else created."""
-    for key in ("spark.sql.session.timeZone", "spark.sql.sources.partitionColumnTypeInference.enabled"):
+    for key in _RELIED_ON:
         spark.conf.set(key, SETTINGS[key])
     return spark
 
