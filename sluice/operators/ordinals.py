@@ -21,11 +21,14 @@ def block_bases(blocks: DataFrame, group: Sequence[str], order: Sequence[str], c
     return blocks.withColumn("base", F.coalesce(F.sum(count).over(earlier), F.lit(0)))
 
 
-def number_by_key(rows: DataFrame, group: Sequence[str], order: Sequence[str], label: str = "numbered") -> DataFrame:
+def number_by_key(
+    rows: DataFrame, group: Sequence[str], order: Sequence[str], label: str = "numbered", keep_order: bool = True
+) -> DataFrame:
     """Number rows of a table in key order. ``order`` must be unique within a group.
 
     One range shuffle on (group, order) splits hot groups by key. The sorted rows are written once because range
-    bounds are sampled: a second evaluation could cut them elsewhere.
+    bounds are sampled: a second evaluation could cut them elsewhere. Without ``keep_order`` the columns of ``order`` are
+    left out, of what is written too.
     """
     keys = [*group, *order]
     placed = (
@@ -33,7 +36,7 @@ def number_by_key(rows: DataFrame, group: Sequence[str], order: Sequence[str], l
         .sortWithinPartitions(*keys)
         .withColumns({"_block": F.spark_partition_id(), "_pos": F.monotonically_increasing_id()})
     )
-    placed = stage(placed, label)
+    placed = stage(placed if keep_order else placed.drop(*order), label)
     blocks = placed.groupBy(*group, "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first"))
     bases = stage(block_bases(blocks, group, ["_block"], "_n"), f"{label}-blocks")
     return (

@@ -184,7 +184,7 @@ def csv_bytes(cells: Column) -> Column:
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All configured products' records, numbered within their file: product, file columns, row_number, cells."""
     rows = orders_feed(spark, sf_dir).unionByName(payments_feed(spark, sf_dir))
-    return number_by_key(rows, ["run_id"], ORDER_KEYS, "raw").drop(*ORDER_KEYS)
+    return number_by_key(rows, ["run_id"], ORDER_KEYS, "raw", keep_order=False)
 
 
 @_once

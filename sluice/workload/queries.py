@@ -113,7 +113,7 @@ def quoted_break_numbers(spark, sf_dir):
 @query
 def row_ordinals(spark, sf_dir):
     feed = feeds.orders_feed(spark, sf_dir).unionByName(feeds.payments_feed(spark, sf_dir))
-    numbered = number_by_key(feed, ["run_id"], feeds.ORDER_KEYS, "ordinals")
+    numbered = number_by_key(feed, ["run_id"], feeds.ORDER_KEYS, "ordinals", keep_order=False)
     return numbered.select("run_id", "row_number", F.get("cells", F.lit(0)).alias("transaction_id"))
 
 

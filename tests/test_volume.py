@@ -1,8 +1,11 @@
 """What a task holds, shuffles and writes stays in bounds as tables grow: plans and written columns that decide it."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from sluice.contracts import PROCESSED_ZONE
+from sluice.operators import ordinals
 from sluice.session import configure
 from sluice.sources.zones import Lake
 
@@ -30,3 +33,12 @@ def test_a_task_with_more_runs_than_open_files(spark, tmp_path):
     got = lake.read("processed")
     assert sorted((r.run_id, r.row_number) for r in got.collect()) == sorted((f"r-{i % 150}", i) for i in range(6000))
     assert len(got.inputFiles()) == 150
+
+
+def test_numbering_writes_no_order_columns_unless_asked(spark):
+    rows = spark.createDataFrame([("g", k, 9 - k) for k in (3, 1, 2)], "g string, k bigint, v bigint")
+    bare = ordinals.number_by_key(rows, ["g"], ["k"], keep_order=False)
+    assert sorted((r.v, r.row_number) for r in bare.collect()) == [(6, 3), (7, 2), (8, 1)]
+    assert bare.columns == ["g", "v", "row_number"]
+    staged = {os.path.dirname(f) for f in bare.inputFiles()}
+    assert all("k" not in spark.read.parquet(folder).columns for folder in staged)
