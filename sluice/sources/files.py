@@ -160,7 +160,8 @@ def parse_landed(lines: DataFrame, files: DataFrame) -> Landed:
     plain_blocks = blocks.join(plain, ["run_id", "file_path"]).drop("odd")
     # the first line of a plain file is its header
     heads_at = plain_blocks.groupBy("run_id", "file_path").agg(F.min(F.struct("block_start", "first")).alias("head"))
-    heads_at = heads_at.select("run_id", "file_path", "head.block_start", F.col("head.first").alias("pos"))
+    # staged, so that its size is known and the lines aren't shuffled to it
+    heads_at = stage(heads_at.select("run_id", "file_path", "head.block_start", F.col("head.first").alias("pos")), "head-places")
     heads = lines.select(*_BLOCK, "pos", body.alias("line")).join(heads_at, [*_BLOCK, "pos"]).select("run_id", "file_path", "line")
     counts = by_file.filter("not odd").select("run_id", "file_path", F.col("lines").alias("records"))
     spanning = None if broken.isEmpty() else stage(_stitched(lines, broken), "stitched")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sluice.contracts import PROCESSED_ZONE
 from sluice.operators import ordinals
 from sluice.session import configure
+from sluice.sources import files
 from sluice.sources.zones import Lake
 
 
@@ -42,3 +43,29 @@ def test_numbering_writes_no_order_columns_unless_asked(spark):
     assert bare.columns == ["g", "v", "row_number"]
     staged = {os.path.dirname(f) for f in bare.inputFiles()}
     assert all("k" not in spark.read.parquet(folder).columns for folder in staged)
+
+
+def test_headers_are_found_without_shuffling_the_lines(spark, monkeypatch):
+    """However large the product of the tables behind it is estimated, the list of header places is known to be small."""
+    planned, staged = {}, files.stage
+
+    def kept(df, label):
+        planned[label] = df._jdf.queryExecution().executedPlan().toString()
+        return staged(df, label)
+
+    monkeypatch.setattr(files, "stage", kept)
+    line = F.when(F.col("id") == 0, "a,b").otherwise(F.sha2(F.col("id").cast("string"), 256))
+    lines = spark.range(0, 5000, 1, 1).select(
+        F.lit("r").alias("run_id"), F.lit("f").alias("file_path"), F.lit(0).alias("block_start"), F.col("id").alias("pos"), line.alias("line")
+    )
+    lines = staged(lines, "lines")
+    listed = spark.createDataFrame([("r", "f", 8)], "run_id string, file_path string, file_size bigint")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        landed = files.parse_landed(lines, listed)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert landed.headers.first().header == ["a", "b"]
+    assert landed.totals.first().total == landed.rows.count() == 4999
+    assert "SortMergeJoin" not in planned["headers"]
