@@ -538,7 +538,9 @@ def file_processed(spark, sf_dir):
 
 @query
 def file_curated(spark, sf_dir):
-    checked = enrich.check_lookups(_file_processed(spark, sf_dir).drop(*_WIDE), [enrich.Lookup(feeds.reference(spark, sf_dir))])
+    # read by the lookup, the gate and the result: lines are parsed once for all of them
+    rows = stage(_file_processed(spark, sf_dir).drop(*_WIDE), "file-processed")
+    checked = enrich.check_lookups(rows, [enrich.Lookup(feeds.reference(spark, sf_dir))])
     verdicts = stage(_second_gate(spark, sf_dir, checked), "second-gate")
     rows = enrich.enrich(enrich.accepted(checked), F.lit(feeds.CLOCK))
     columns = ["run_id", "row_number", *DOMAIN, "domain", "product", "business_date", "enriched_at"]

@@ -2,6 +2,7 @@
 
 import os
 
+import __spark_entry__ as entry
 from pyspark.sql import functions as F
 
 from sluice.contracts import PROCESSED_ZONE
@@ -69,3 +70,8 @@ def test_headers_are_found_without_shuffling_the_lines(spark, monkeypatch):
     assert landed.headers.first().header == ["a", "b"]
     assert landed.totals.first().total == landed.rows.count() == 4999
     assert "SortMergeJoin" not in planned["headers"]
+
+
+def test_curated_records_are_parsed_once_for_lookup_gate_and_result(spark):
+    plan = entry.queries()["file_curated"](spark, entry.SMOKE_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "from_csv" not in plan
