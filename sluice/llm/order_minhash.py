@@ -10,12 +10,14 @@ Exact copies count once. The documents that share a sketch are compared with the
 each document is aligned with the one it is most often held against; what this links forms classes. Then come the
 candidate pairs between different classes. Groups of which the smallest doesn't explain all members are open: their members,
 explained or not, may be like each other. Up to ``_FEW`` members beside a group's largest class are compared with all others. For
-groups with more, documents are left out of whose pairs of neighbouring words too many occur in no other member; then one
-prefix filter over all members that are left finds the pairs, however many open groups a document is in: of two texts of similarity s, each has a word in common with the other among the (1 - s) * words + 1 that are
-rarest among all members (the n-th occurrence of a word counts as a word of its own), and n of them among n - 1 more. Members
-that share such a word are a part; pairs of different classes that also share an open group are compared, in small parts each
-member with the others, in larger ones with the smallest. What is left in larger parts is cut by a second and a third word, and
-then compared pair by pair.
+groups with more, documents are left out of whose pairs of neighbouring words too many occur in no other member. Those that are
+left are dealt by length into blocks, and every pair of blocks whose lengths allow the similarity is one small task: from counts of
+words by hash (``_WIDTH`` numbers a text) it bounds how many words two texts have in common. Pairs of different classes that share an
+open group and whose bound reaches the bar are aligned, first the likeliest of each text, so that classes grow, then all others.
+The bound loses no pair, and what is written are only the pairs within it; the comparisons of counts grow with the square of the
+members of large open groups of about one length.
+
+The words of all texts are dealt out once, by text, and stay there: only pairs and the texts of pairs are shuffled to align them.
 
 Two documents of which no sketch agrees are never compared. The sketches serve the bar of 0.8: of texts of 300 words with
 scattered substitutions 97.8 % share one at edit similarity 0.8, 99.8 % at 0.85. Documents of up to ``SHORT`` words, in which
@@ -38,8 +40,8 @@ from sluice.llm.alignment import distances
 from sluice.llm.anchors import shuffles_freed
 from sluice.llm.frames import append, free_name, list_array, struct
 from sluice.llm.links import components
-from sluice.llm.texts import Words, chunks, mixed, rolling, span_hash
-from sluice.session import scratch, stage
+from sluice.llm.texts import Words, chunks, flat, mixed, rolling, span_hash
+from sluice.session import scratch, stage, stage_by
 
 K = 3
 SKETCHES = 32
@@ -48,8 +50,9 @@ SHORT = 25  # words up to which a text has sketches of single words too
 _SHORT_SKETCHES = 8
 SIMILARITY = 0.8
 _FEW = 16  # members of an open group beside its largest class that are compared with all of it
-_SMALL_PART = 32  # members that share rare words and are compared with each other
-_DEPTH = 3  # rare words by which larger parts are cut; what agrees on all of them is compared pair by pair
+_WIDTH = 256  # counts of words by hash
+_BLOCK = 1024  # texts whose counts are compared with those of as many others in one task
+_ROWS = 64  # of a block at a time
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(1, 2**63, SKETCHES + _SHORT_SKETCHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _JOIN = np.uint64(0x9E3779B97F4A7C15)
@@ -84,17 +87,14 @@ def _picked(words: np.ndarray, size: int, factors: np.ndarray) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, text: str, name: str) -> DataFrame:
-    """``docs`` with a struct column: ``digest`` of the words and its first half as ``node``, their number, ``sketches`` and
-    ``words`` as numbers."""
+    """``docs`` with a struct column: ``digest`` of the words, their number, ``sketches`` and ``words`` as numbers."""
 
     def run(texts: pa.Array) -> pa.StructArray:
-        digest, nodes, counts, keys, numbers = [], [], [], [], []
+        digest, counts, keys, numbers = [], [], [], []
         for _, _, data, offsets in chunks(texts):
             words = Words(data, offsets)
             hashes = words.hashes()
-            pair = _word_digests(words)
-            digest += [row.tobytes().hex() for row in pair]
-            nodes.append(pair[:, 0])
+            digest += [row.tobytes().hex() for row in _word_digests(words)]
             a, b = words.row_start[:-1], words.row_start[1:]
             counts.append(words.counts())
             numbers.append((hashes >> np.uint64(32)).astype(np.uint32).view(np.int32))
@@ -105,13 +105,12 @@ def _sketch(docs: DataFrame, text: str, name: str) -> DataFrame:
         flat_words = np.concatenate(numbers) if numbers else np.zeros(0, np.int32)
         return struct(
             digest=pa.array(digest, pa.string()),
-            node=np.concatenate(nodes).view(np.int64) if nodes else np.zeros(0, np.int64),
             n_words=n.astype(np.int64),
             sketches=list_array(flat_keys, np.array([len(k) for k in keys], np.int64)),
             words=list_array(flat_words, n),
         )
 
-    fields = "digest string, node bigint, n_words bigint, sketches array<bigint>, words array<int>"
+    fields = "digest string, n_words bigint, sketches array<bigint>, words array<int>"
     return append(docs, text, run, fields, name)
 
 
@@ -136,8 +135,7 @@ def _aligned(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     # written first: few pairs go to the texts, and only texts of pairs meet
     pairs = stage(pairs.select("a", "b"), "pairs")
     left = texts.select(F.col("doc").alias("a"), F.col("words").alias("left")).join(pairs, "a")
-    right = texts.select(F.col("doc").alias("b"), F.col("words").alias("right")).join(pairs, "b")
-    both = left.join(right, ["a", "b"]).select("a", "b", "left", "right")
+    both = left.join(texts.select(F.col("doc").alias("b"), F.col("words").alias("right")), "b").select("a", "b", "left", "right")
     return stage(both.mapInArrow(run, "a bigint, b bigint"), "aligned")
 
 
@@ -162,9 +160,11 @@ def _possible(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.filter(shorter >= similarity * longer - 1e-6)
 
 
-def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
-    """(member, root) of distinct documents (doc, n_words, sketches, words) that are near-duplicates of one of smaller number."""
-    groups = texts.select("doc", "n_words", "sketches", F.posexplode("sketches").alias("nth", "group"))
+def classes_of(texts: DataFrame, similarity: float, of: DataFrame | None = None) -> DataFrame:
+    """(member, root) of distinct documents (doc, n_words, sketches, words) that are near-duplicates of one of smaller number;
+    only of those listed in ``of`` (doc), if given."""
+    groups = texts if of is None else texts.join(of, "doc", "left_semi")
+    groups = groups.select("doc", "n_words", "sketches", F.posexplode("sketches").alias("nth", "group"))
     groups = groups.select("doc", "n_words", F.xxhash64("nth", "group").alias("group"))
     held = stage(_held_against(groups), "candidates")
     # of each document and lead, how many groups they share, and whether any of them has further members
@@ -195,10 +195,9 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
     members = members.unionByName(opened.select("group", F.col("lead").alias("doc"), F.col("lead_words").alias("n_words")))
     members = stage(_classes(members, roots, "doc", "class"), "open-members")
 
-    def tried(new: DataFrame) -> None:
+    def tried(both: DataFrame) -> None:
         """Align pairs of different classes."""
         nonlocal links, roots
-        both = apart(_possible(new, similarity).select("doc", "lead").distinct())
         found = _aligned(both.select(F.col("lead").alias("a"), F.col("doc").alias("b")), texts, similarity)
         if not found.isEmpty():
             links = stage(links.unionByName(found), "links")
@@ -211,53 +210,98 @@ def classes_of(texts: DataFrame, similarity: float) -> DataFrame:
     probed = members.join(sizes.filter(F.col("others") <= _FEW).select("group", F.col("top.class").alias("top")), "group")
     others = probed.filter("class <> top").select("group", F.col("doc").alias("lead"), F.col("n_words").alias("lead_words"), F.col("class").alias("_class"))
     beside = probed.join(others, "group").filter("class <> _class")
-    tried(beside.select(*[F.when(F.col("doc") > F.col("lead"), F.col(x)).otherwise(F.col(y)).alias(n) for n, x, y in (
-        ("doc", "doc", "lead"), ("lead", "lead", "doc"), ("n_words", "n_words", "lead_words"), ("lead_words", "lead_words", "n_words"))]))
+    tried(_possible(beside, similarity).select(F.greatest("doc", "lead").alias("doc"), F.least("doc", "lead").alias("lead")).distinct())
     inside = members.join(sizes.filter(F.col("others") > _FEW).select("group"), "group", "left_semi")
     inside = stage(inside.groupBy("doc").agg(F.collect_set("group").alias("open")), "open-lists")  # as many as sketches
     inside = stage(inside.join(_without_company(inside.select("doc"), texts, similarity), "doc", "left_anti"), "company")
     if inside.isEmpty():
         return roots
-    rare = _by_rarity(inside.select("doc"), texts, similarity)
-
-    def sharing(pairs: DataFrame) -> DataFrame:
-        """The pairs that share an open group."""
-        pairs = _possible(pairs, similarity).distinct()
-        for side in ("doc", "lead"):
-            pairs = pairs.join(inside.select(F.col("doc").alias(side), F.col("open").alias(f"{side}_open")), side)
-        return pairs.filter(F.arrays_overlap("doc_open", "lead_open")).select("doc", "n_words", "lead", "lead_words")
-
-    def unlike(rows: DataFrame) -> DataFrame:
-        """The rows of parts of several classes, with their class and the part's size ``n``."""
-        classed = _classes(rows, roots, "doc", "class")
-        size = classed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("_low"), F.max("class").alias("_high"))
-        return stage(classed.join(size.filter("_low <> _high"), "part").drop("_low", "_high"), "unlike")
-
-    # the rare words of each text, once for every part it is in
-    rows = rare.select("doc", "n_words", F.lit(0).cast("bigint").alias("part"), F.lit(-1).alias("place"))
-    for depth in range(1, _DEPTH + 1):
-        # of two alike texts, the first ``depth`` words in common are among so many of each
-        first = F.slice("rare", 1, _prefix(similarity, depth))
-        longer = rows.withColumnRenamed("place", "_last").join(rare.drop("n_words"), "doc").select("*", F.posexplode(first).alias("place", "word"))
-        longer = longer.filter((F.col("place") > F.col("_last")) & (F.col("word.n") > 1))
-        rows = unlike(longer.select(F.xxhash64("part", "word.token").alias("part"), "doc", "n_words", "place"))
-        if rows.isEmpty():
-            return roots
-        large = rows.filter(F.col("n") > _SMALL_PART)
-        smallest = large.groupBy("part").agg(F.min(F.struct("doc", "n_words")).alias("lead"))
-        smallest = smallest.select("part", F.col("lead.doc").alias("lead"), F.col("lead.n_words").alias("lead_words"))
-        against = large.join(smallest, "part").filter("doc <> lead").select("doc", "n_words", "lead", "lead_words")
-        tried(sharing(_each_with_smaller(rows.filter(F.col("n") <= _SMALL_PART)).unionByName(against)))
-        rows = unlike(large.select("part", "doc", "n_words", "place"))
-        if rows.isEmpty():
-            return roots
-    other = rows.select("part", F.col("doc").alias("lead"), F.col("n_words").alias("lead_words"), F.col("class").alias("_class"))
-    tried(sharing(rows.join(other, "part").filter("lead < doc and class <> _class").select("doc", "n_words", "lead", "lead_words")))
+    profiles = _profiles(inside, texts, similarity)
+    for best in (True, False):
+        tried(_within_bound(_classes(profiles, roots, "doc", "class"), similarity, best).select("doc", "lead").distinct())
     return roots
 
 
-def _prefix(similarity: float, depth: int) -> Column:
-    return (F.floor((1 - similarity) * F.col("n_words") + 1e-9) + depth).cast("int")
+def _spoilt(similarity: float) -> Column:
+    """The most pairs of neighbouring words of a text that a text alike doesn't have: two for each edit that its own length allows.
+
+    A longer text allows more edits, but what makes it longer spoils one pair of the shorter at most.
+    """
+    return F.floor(2 * (1 - similarity) * F.col("n_words") + 1e-9)
+
+
+def _counts(lists: pa.Array) -> pa.StructArray:
+    """How often words occur in each list, by hash, as little-endian 32-bit numbers."""
+    values, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+    at = mixed(values.astype(np.uint64)) % np.uint64(_WIDTH)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    n = np.bincount(row * _WIDTH + at.astype(np.int64), minlength=len(sizes) * _WIDTH).astype("<u4").reshape(-1, _WIDTH)
+    return struct(counts=pa.array([x.tobytes() for x in n], pa.binary()))
+
+
+def _profiles(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(doc, n_words, open, counts, band, block) of the given (doc, open), and blocks by length: texts alike are of one band or
+    of neighbours."""
+    step = max(-np.log(similarity), 0.01) * (1 + 1e-9)
+    own = texts.select("doc", "n_words", "words").join(members, "doc")
+    own = append(own, "words", _counts, "counts binary", "c").select("doc", "n_words", "open", "c.counts")
+    own = stage(own.withColumn("band", F.floor(F.log("n_words") / F.lit(float(step))).cast("int")), "profiles")
+    return own.withColumn("block", F.pmod(F.xxhash64("doc"), F.lit(1 << 30)))
+
+
+def _within_bound(profiles: DataFrame, similarity: float, best: bool) -> DataFrame:
+    """(doc, n_words, lead, lead_words): the pairs of different classes that share an open group and may have as many words in
+    common as the similarity takes; with ``best`` only the likeliest of each text in each task."""
+    spark = profiles.sparkSession
+    sizes = {r.band: r.n for r in profiles.groupBy("band").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each factor of length
+    blocks = {band: -(-n // _BLOCK) for band, n in sizes.items()}
+    tasks = [((b, i), (b, j)) for b, n in blocks.items() for i in range(n) for j in range(i, n)]
+    tasks += [((b, i), (b + 1, j)) for b, n in blocks.items() for i in range(n) for j in range(blocks.get(b + 1, 0))]
+    sides = [(t, side, *at) for t, pair in enumerate(tasks) for side, at in enumerate(pair) if side == 0 or pair[0] != pair[1]]
+    dealt = spark.createDataFrame(sides, "task int, side int, band int, nth int")
+    of_band = spark.createDataFrame(list(blocks.items()), "band int, parts int")
+    numbered = profiles.join(F.broadcast(of_band), "band").withColumn("nth", F.pmod("block", "parts").cast("int"))
+    rows = numbered.join(F.broadcast(dealt), ["band", "nth"]).select("task", "side", "doc", "n_words", "class", "open", "counts")
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        side = group["side"].to_numpy()
+        docs, words, classes = (group[c].to_numpy() for c in ("doc", "n_words", "class"))
+        data, offsets = flat(group["counts"])
+        counts = data[offsets[0] : offsets[-1]].view("<u4").reshape(-1, _WIDTH)
+        if words.max() < 1 << 16:
+            counts = counts.astype(np.uint16)  # so are the sums
+        x = np.flatnonzero(side == 0)
+        within = len(x) == len(side)
+        y = x if within else np.flatnonzero(side == 1)
+        columns = np.ascontiguousarray(counts[y].T)
+        found = []
+        for at in range(0, len(x), _ROWS) if len(y) else ():
+            own = x[at : at + _ROWS]
+            longer = np.maximum(words[own, None], words[y])
+            limit = np.floor((1 - similarity) * longer + 1e-9).astype(np.int64)
+            open_pairs = (classes[own, None] != classes[y]) & (np.abs(words[own, None] - words[y]) <= limit)
+            if within:
+                open_pairs &= docs[own, None] < docs[y]
+            if not open_pairs.any():
+                continue
+            shared = np.zeros(longer.shape, counts.dtype)
+            for k in np.flatnonzero(counts[own].any(0)):
+                shared += np.minimum(counts[own, k][:, None], columns[k])
+            i, j = np.nonzero(open_pairs & (shared.astype(np.int64) + limit >= longer))
+            found.append(np.stack([own[i], y[j], 1_000_000 * shared[i, j].astype(np.int64) // longer[i, j]]))
+        a, b, like = np.concatenate(found, 1) if found else np.zeros((3, 0), np.int64)
+        groups = {k: frozenset(group["open"][k].as_py()) for k in np.unique(np.concatenate([a, b])).tolist()}
+        meet = np.array([not groups[i].isdisjoint(groups[j]) for i, j in zip(a.tolist(), b.tolist())], bool)
+        a, b, like = a[meet], b[meet], like[meet]
+        if best:
+            order = np.argsort(-like, kind="stable")
+            kept = np.union1d(order[np.unique(a[order], return_index=True)[1]], order[np.unique(b[order], return_index=True)[1]])
+            a, b = a[kept], b[kept]
+        high, low = np.where(docs[a] > docs[b], a, b), np.where(docs[a] > docs[b], b, a)
+        return pa.table([docs[high], words[high], docs[low], words[low]], ["doc", "n_words", "lead", "lead_words"])
+
+    return rows.groupBy("task").applyInArrow(run, "doc bigint, n_words bigint, lead bigint, lead_words bigint")
 
 
 def _labelled(lists: pa.Array) -> pa.StructArray:
@@ -289,26 +333,7 @@ def _without_company(members: DataFrame, texts: DataFrame, similarity: float) ->
     paired = append(own, "words", _paired, "tokens array<bigint>", "p").select("doc", F.explode("p.tokens").alias("pair"))
     alone = paired.groupBy("pair").agg(F.min("doc").alias("doc"), F.count(F.lit(1)).alias("n")).filter("n = 1")
     alone = alone.groupBy("doc").agg(F.count(F.lit(1)).alias("alone")).join(own.select("doc", "n_words"), "doc")
-    return alone.filter(F.col("alone") > 2 * F.floor((1 - similarity) * F.col("n_words") + 1e-9)).select("doc")
-
-
-def _by_rarity(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """(doc, n_words, rare): for the given documents the labelled words that are rarest among them, as many as the last cut
-    takes, each with the number of documents it occurs in."""
-    own = texts.join(members, "doc", "left_semi").select("doc", "n_words", "words")
-    own = stage(append(own, "words", _labelled, "tokens array<bigint>", "l").select("doc", "n_words", "l.tokens"), "labelled")
-    rows = own.select("doc", "n_words", F.explode("tokens").alias("token"))
-    counts = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    found = rows.join(counts, "token").groupBy("doc", "n_words").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("rare"))
-    return stage(found.withColumn("rare", F.slice("rare", F.lit(1), _prefix(similarity, _DEPTH))), "rare-words")
-
-
-def _each_with_smaller(parts: DataFrame) -> DataFrame:
-    """(doc, n_words, lead, lead_words): members of parts of bounded size, each beside the smaller ones of another class."""
-    listed = parts.groupBy("part").agg(F.sort_array(F.collect_list(F.struct("doc", "n_words", "class"))).alias("all"))  # _SMALL_PART at most
-    one = listed.select("all", F.inline("all"))
-    smaller = F.filter("all", lambda x: (x["doc"] < F.col("doc")) & (x["class"] != F.col("class")))
-    return one.select("doc", "n_words", F.inline(F.transform(smaller, lambda x: F.struct(x["doc"].alias("lead"), x["n_words"].alias("lead_words")))))
+    return alone.filter(F.col("alone") > _spoilt(similarity)).select("doc")
 
 
 def near_duplicates(
@@ -321,15 +346,14 @@ def near_duplicates(
     own_id = F.coalesce(F.col(doc_id).cast("bigint"), smallest)
     with shuffles_freed(spark), scratch(spark) as staged:
         given = docs.select(own_id.alias("id"), F.col(text).alias("text"))
-        sketched = _sketch(given, "text", "s").select("id", "s.*", F.monotonically_increasing_id().alias("row"))
-        sketched = stage(sketched, "sketches")
-        # the first row of every text, found by numbers only; texts are not shuffled for it unless these are too many
-        copies = sketched.groupBy("digest", "node").agg(F.min(F.struct("id", "row")).alias("least"), F.count(F.lit(1)).alias("n"))
-        copies = stage(copies.select("digest", "node", "least.*", "n"), "copies")
-        firsts = sketched.filter("n_words > 0").join(stage(copies.select("row"), "first-rows"), "row", "left_semi")
-        texts = stage(firsts.select(F.col("node").alias("doc"), "n_words", "sketches", "words"), "distinct-texts")
-        roots = stage(classes_of(texts, similarity), "roots")
-        classed = _classes(copies, roots, "node", "root")
+        sketched = _sketch(given, "text", "s").select("id", "s.*", F.monotonically_increasing_id().alias("doc"))
+        with stage_by(sketched, "doc", "sketches") as sketched:
+            # the first row of every text stands for it, found by numbers only
+            copies = sketched.groupBy("digest").agg(F.min(F.struct("id", "doc")).alias("least"), F.count(F.lit(1)).alias("n"))
+            copies = stage(copies.select("digest", "least.*", "n"), "copies")
+            texts = sketched.filter("n_words > 0").select("doc", "n_words", "sketches", "words")
+            roots = stage(classes_of(texts, similarity, copies.select("doc")), "roots")
+        classed = _classes(copies, roots, "doc", "root")
         of_class = classed.groupBy("root").agg(F.sum("n").alias("n_class"), F.min(F.struct("id", "digest")).alias("least"))
         classes = classed.select("digest", "root").join(of_class, "root").select("digest", "n_class", "least")
         classes = stage(classes, "classes")

@@ -106,6 +106,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def stage_by(df: DataFrame, key: str, label: str) -> Iterator[DataFrame]:
+    """Like ``stage``, dealt by ``key``: joins on it shuffle the other side only. The table has a name until the work inside is done."""
+    spark = df.sparkSession
+    path, name = new_path(spark, label), f"spark_catalog.default.sluice_{uuid.uuid4().hex[:12]}"
+    if getattr(_staged, "paths", None) is not None:
+        _staged.paths.append(path)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(n, key).write.format("parquet").bucketBy(n, key).option("path", path).saveAsTable(name)
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 _pool = ThreadPoolExecutor(6, "sluice")  # kept: every new thread opens its own connection to the JVM
 
 

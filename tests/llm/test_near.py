@@ -14,7 +14,7 @@ import corpus_pipeline
 from sluice.llm import alignment, order_minhash, secret_scan
 from sluice.llm.grammar import Automaton, shape
 from sluice.llm.links import components
-from sluice.session import stage
+from sluice.session import stage, stage_by
 from tests.llm.conftest import by_row, edited, listed, prose
 from tests.llm.test_rules import brute_contamination, brute_measures
 
@@ -164,6 +164,49 @@ def test_large_parts_of_equal_words_are_compared_pair_by_pair(spark):
     assert got == list(range(50)) + list(range(10, 30))
 
 
+def test_an_insertion_leaves_a_short_text_in_company(spark):
+    rows = [(1, 4, [1, 2, 3, 4]), (2, 5, [1, 2, 9, 3, 4]), (3, 4, [21, 22, 23, 24])]
+    texts = spark.createDataFrame(rows, "doc bigint, n_words bigint, words array<int>")
+    assert [r.doc for r in order_minhash._without_company(texts.select("doc"), texts, 0.8).collect()] == [3]
+
+
+def test_pairs_within_the_bound_hold_all_alike_pairs(spark, monkeypatch):
+    """Over several blocks and lengths; unlike texts that share a passage make no rows."""
+    monkeypatch.setattr(order_minhash, "_BLOCK", 16)
+    rnd = random.Random(12)
+    passage = [rnd.randrange(10**6) for _ in range(30)]
+    words = [[rnd.randrange(10**6) for _ in range(rnd.randrange(25, 40))] + passage for _ in range(60)]
+    for i in range(0, 60, 3):
+        copy = list(words[i])
+        for _ in range(rnd.randrange(1, 12)):
+            at = rnd.randrange(len(copy))
+            copy[at : at + rnd.randrange(2)] = [rnd.randrange(10**6)] * rnd.randrange(2)
+        words.append(copy)
+    texts = spark.createDataFrame([(i, len(w), w) for i, w in enumerate(words)], "doc bigint, n_words bigint, words array<int>")
+    members = texts.selectExpr("doc", "array(7L, if(doc = 3, 8L, 9L)) as open", "doc as class")
+    profiles = order_minhash._profiles(members.drop("class"), texts, 0.8).join(members.select("doc", "class"), "doc")
+    found = [(r.lead, r.doc) for r in order_minhash._within_bound(profiles, 0.8, False).collect()]
+    alike = {
+        (i, j) for j in range(len(words)) for i in range(j) if edit_distance(words[i], words[j]) <= int(0.2 * max(len(words[i]), len(words[j])) + 1e-9)
+    }
+    assert alike and alike <= set(found) and len(found) == len(set(found)) <= 2 * len(alike)
+
+
+def test_words_stay_where_they_were_dealt(spark):
+    texts = spark.range(1000).selectExpr("id as doc", "array(cast(id as int)) as words")
+    pairs = stage(spark.range(1, 1000).selectExpr("id - 1 as a", "id as b"), "some-pairs")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with stage_by(texts, "doc", "dealt") as dealt:
+            joined = pairs.join(dealt.withColumnRenamed("doc", "a"), "a")
+            assert joined.count() == 999
+            plan = joined._jdf.queryExecution().executedPlan().toString()
+            assert plan.split("Initial Plan")[0].count(" Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_keep_first_leaves_one_row_a_class(docs, no_docs):
     kept = order_minhash.keep_first(docs)
     assert kept.columns == docs.columns
