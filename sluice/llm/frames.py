@@ -11,12 +11,19 @@ from pyspark.sql.types import StructField, StructType
 
 
 SLICE_ROWS = 1024
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark send texts to Python workers by slices: the JVM and the worker each hold a batch, and buffers that have grown stay."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= SLICE_ROWS:
+        spark.conf.set(_BATCH, str(SLICE_ROWS))
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that clashes with none of ``df``, letter case aside."""
     taken = {c.lower() for c in df.columns}
@@ -33,6 +40,7 @@ def append(
     ``name`` must be free (see ``free_name``). ``compute`` gets an Arrow array of each column and returns a struct array.
     ``done`` is called at the end of each task, since Python workers live on.
     """
+    small_batches(df.sparkSession)
     at = [df.columns.index(c) for c in ([column] if isinstance(column, str) else column)]
     added = StructType.fromDDL(fields)
     schema = StructType([*df.schema.fields, StructField(name, added)])

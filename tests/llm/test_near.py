@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sluice.llm import alignment, order_minhash, secret_scan
+from sluice.llm import alignment, frames, order_minhash, secret_scan
 from sluice.llm.grammar import Automaton, shape
 from sluice.llm.links import components
 from sluice.session import stage, stage_by
@@ -324,3 +324,13 @@ def test_stages_take_awkward_tables(spark, docs, no_docs, step):
     assert step == 4 or out.columns == docs.columns
     assert out.count() <= docs.count()
     assert f(spark, no_docs, SF_DIR).count() == 0
+
+
+def test_texts_go_to_workers_by_slices(spark, docs):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    for size, wanted in (("10000", "1024"), ("0", "1024"), ("100", "100")):
+        spark.conf.set(key, size)
+        frames.append(docs, "text", order_minhash._digests, "digest string", "found")
+        assert spark.conf.get(key) == wanted
+    spark.conf.set(key, before)
