@@ -64,16 +64,21 @@ def equal_strings(symbols: np.ndarray, order: np.ndarray, size: int) -> np.ndarr
     n = len(order)
     before = symbols[order - 1]
     by_symbol = np.argsort(before, kind="stable")
-    step = np.empty(n, np.int64)  # where a suffix stands once its preceding symbol is put before it
-    step[by_symbol] = np.arange(n)
+    kind = np.int32 if n < 1 << 31 else np.int64  # of places: half as much to move and to sort
+    step = np.empty(n, kind)  # where a suffix stands once its preceding symbol is put before it
+    step[by_symbol] = np.arange(n, dtype=kind)
     leading = before[by_symbol]
     common = np.full(n + 1, -1, np.int16)
     common[0] = common[n] = 0
-    owner = np.zeros(n, np.int64)
+    owner = np.zeros(n, kind)
     low, high = np.array([0]), np.array([n])  # the interval of the empty string, end exclusive
     for length in range(size):
-        inside = ranges(low, high - low)
-        which = np.repeat(np.arange(len(low)), high - low)
+        if not len(low):
+            break
+        size_of = high - low
+        which = np.repeat(np.arange(len(low), dtype=kind), size_of)
+        ends = np.cumsum(size_of, dtype=np.int64)
+        inside = np.arange(ends[-1], dtype=kind) + np.repeat((low - ends + size_of).astype(kind), size_of)
         if length:
             go = before[inside] != 0
             inside, which = inside[go], which[go]
