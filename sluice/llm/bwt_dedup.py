@@ -2,8 +2,8 @@
 
 Removed is every byte covered by a ``WINDOW``-byte string that also starts earlier, in a document with a smaller id or before
 it in the same document; strings are judged on the input, and never cross documents. Text that repeats at all is found by
-anchors (``anchors.py``) and dealt into shards that hold all pieces which could match. Each task sorts the suffixes of its shard up to
-the threshold, and derives common-prefix lengths from the transform alone: breadth first, the interval of every string is
+anchors (``anchors.py``) and dealt into shards that hold all pieces which could match. Windows whose hash no other of the shard has
+stand nowhere else; a collision keeps one that could go. Each task sorts the suffixes of what is left of its shard up to the threshold, and derives common-prefix lengths from the transform alone: breadth first, the interval of every string is
 extended backward by each byte, so that boundaries between suffixes get their values in increasing order. The expansion
 stops at the threshold; what no boundary separates by then are equal strings, and the earliest of each is looked up.
 
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from sluice.llm.anchors import Unit, marked, repeated_spans, with_spans
 from sluice.llm.frames import append, free_name, list_array, struct
 from sluice.llm.substring_dedup import runs_by_row
-from sluice.llm.texts import chunks, ranges
+from sluice.llm.texts import CHUNK_BYTES, byte_values, chunks, ranges, rolling, span_hash
 
 WINDOW = 100
 GRAM = 16
@@ -97,25 +97,58 @@ def equal_strings(symbols: np.ndarray, order: np.ndarray, size: int) -> np.ndarr
     return np.cumsum(common[:n] >= 0)
 
 
+def _several(raw: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Marks the windows of all pieces whose hash another one has; those are all that can have an equal. Pieces start at ``at``."""
+    parts, first = [], 0
+    while first < len(at) - 1:
+        end = max(first + 1, int(np.searchsorted(at, at[first] + CHUNK_BYTES, "right")) - 1)
+        row_start = at[first : end + 1] - at[first]
+        place = ranges(row_start[:-1], np.diff(row_start) - size)
+        prefix = rolling(byte_values()[raw[at[first] : at[end]]])
+        parts.append(span_hash(prefix, place, place + size))
+        first = end
+    hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    by_value = np.sort(hashes)
+    twice = by_value[1:][by_value[1:] == by_value[:-1]]
+    if not len(twice):
+        return np.zeros(len(hashes), bool)
+    return twice[np.minimum(np.searchsorted(twice, hashes), len(twice) - 1)] == hashes
+
+
+def _shortened(raw: np.ndarray, place: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols under the windows at the given places, with a 0 after each run of them, and where those windows are there."""
+    step = np.zeros(len(raw) + 1, np.int32)
+    step[place] = 1
+    step -= np.concatenate([np.zeros(size, np.int32), step[:-size]])
+    kept = np.flatnonzero(np.cumsum(step[:-1]) > 0)
+    new = np.concatenate([[False], kept[1:] != kept[:-1] + 1])
+    to = np.arange(len(kept)) + np.cumsum(new)
+    symbols = np.zeros(int(to[-1]) + 2, np.int16)
+    symbols[to] = raw[kept].astype(np.int16) + 1
+    return symbols, to[np.searchsorted(kept, place)]
+
+
 def bwt_compare(pieces: list[bytes], rank: np.ndarray, start: np.ndarray, size: int = WINDOW):
     """Runs of windows with one first place, for each piece; see ``anchors.Compare``."""
     lengths = np.array([len(p) for p in pieces], np.int64)
     raw = np.frombuffer(b"\0".join([*pieces, b""]), np.uint8)
     at = np.concatenate([[0], np.cumsum(lengths + 1)])
-    symbols = raw.astype(np.int16) + 1
-    symbols[at[1:] - 1] = 0
-    order = suffix_order(symbols, size)
-    group = np.empty(len(order), np.int64)
-    group[order] = equal_strings(symbols, order, size)
     windows = lengths - size + 1
     place = ranges(at[:-1], windows)
     piece = np.repeat(np.arange(len(pieces)), windows)
     offset = place - at[piece]
     key = rank[piece].astype(np.int64) << _PLACE_BITS | (start[piece] + offset)
-    group = group[place]
-    earliest = np.full(int(group.max()) + 1 if len(group) else 0, np.iinfo(np.int64).max)
-    np.minimum.at(earliest, group, key)
-    found = earliest[group]
+    found = key.copy()  # a window that no other equals stands first where it is
+    several = np.flatnonzero(_several(raw, at, size))
+    if len(several):
+        symbols, to = _shortened(raw, place[several], size)
+        order = suffix_order(symbols, size)
+        group = np.empty(len(order), np.int64)
+        group[order] = equal_strings(symbols, order, size)
+        group = group[to]
+        earliest = np.full(int(group.max()) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(earliest, group, key[several])
+        found[several] = earliest[group]
     first_rank, first_place = found >> _PLACE_BITS, (found & ((1 << _PLACE_BITS) - 1)) - offset
     new = np.concatenate([[True], (piece[1:] != piece[:-1]) | (first_rank[1:] != first_rank[:-1]) | (first_place[1:] != first_place[:-1])])
     run = np.flatnonzero(new)

@@ -114,3 +114,26 @@ def test_equal_windows_have_equal_anchors():
     for w, a in of.items():
         assert by_text.setdefault(text[w : w + 20], a) == a
     assert twice.any()
+
+
+def test_only_windows_that_may_have_an_equal_are_sorted(monkeypatch):
+    """Runs are those of all windows compared as strings, and the suffixes sorted are those under windows that repeat."""
+    rnd = random.Random(14)
+    passage = bytes(rnd.randrange(97, 123) for _ in range(140))
+    own = [bytes(rnd.randrange(97, 123) for _ in range(200)) for _ in range(20)]
+    pieces = [*own, own[3][:60] + passage, passage + own[5][:70], b"a" * 150]
+    rank, start = np.arange(len(pieces))[::-1].copy(), np.arange(len(pieces)) * 7
+    sorted_sizes, order = [], bwt_dedup.suffix_order
+    monkeypatch.setattr(bwt_dedup, "suffix_order", lambda symbols, depth: sorted_sizes.append(len(symbols)) or order(symbols, depth))
+    first = {}
+    for r, p, s in sorted(zip(rank.tolist(), pieces, start.tolist())):
+        for k in range(len(p) - 99):
+            first.setdefault(p[k : k + 100], (r, s + k))
+    got = {}
+    for i, low, high, of, place in zip(*(x.tolist() for x in bwt_dedup.bwt_compare(pieces, rank, start))):
+        got |= {(i, k): (int(rank[of]), place + k) for k in range(low, high + 1)}
+    assert got == {(i, k): first[p[k : k + 100]] for i, p in enumerate(pieces) for k in range(len(p) - 99)}
+    assert sorted_sizes == [2 * 141 + 151]
+    del sorted_sizes[:]
+    bwt_dedup.bwt_compare(own, np.arange(20), np.zeros(20, np.int64))
+    assert not sorted_sizes
