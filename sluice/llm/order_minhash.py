@@ -9,9 +9,9 @@ similarity, 1 - edits / words of the longer, reaches ``SIMILARITY``, by banded a
 Exact copies count once. The documents that share a sketch are compared with the smallest of them, not with each other. First
 each document is aligned with the one it is most often held against; what this links forms classes. Then come the
 candidate pairs between different classes. Groups of which the smallest doesn't explain all members are open: their members,
-explained or not, may be like each other. Up to ``_FEW`` members beside a group's largest class are compared with all others. For
-groups with more, documents are left out of whose pairs of neighbouring words too many occur in no other member. Those that are
-left are dealt by length into blocks, and every pair of blocks whose lengths allow the similarity is one small task: from counts of
+explained or not, may be like each other. Documents are left out of whose pairs of neighbouring words too many occur in no other
+member of any open group. Of those that are left, up to ``_FEW`` beside a group's largest class are compared with all others. Those of
+groups with more are dealt by length into blocks, and every pair of blocks whose lengths allow the similarity is one small task: from counts of
 words by hash (``_WIDTH`` numbers a text) it bounds how many words two texts have in common. Pairs of different classes that share an
 open group and whose bound reaches the bar are aligned, first the likeliest of each text, so that classes grow, then all others.
 The bound loses no pair, and what is written are only the pairs within it; the comparisons of counts grow with the square of the
@@ -195,6 +195,8 @@ def classes_of(texts: DataFrame, similarity: float, of: DataFrame | None = None)
     members = held.join(opened.select("group"), "group", "left_semi").select("group", "doc", "n_words")
     members = members.unionByName(opened.select("group", F.col("lead").alias("doc"), F.col("lead_words").alias("n_words")))
     members = stage(_classes(members, roots, "doc", "class"), "open-members")
+    # whatever the sizes of their groups, so that this grows with the texts in open groups and not with what passes a bound
+    members = stage(members.join(_without_company(members.select("doc").distinct(), texts, similarity), "doc", "left_anti"), "company")
 
     def tried(both: DataFrame) -> None:
         """Align pairs of different classes."""
@@ -214,7 +216,6 @@ def classes_of(texts: DataFrame, similarity: float, of: DataFrame | None = None)
     tried(_possible(beside, similarity).select(F.greatest("doc", "lead").alias("doc"), F.least("doc", "lead").alias("lead")).distinct())
     inside = members.join(sizes.filter(F.col("others") > _FEW).select("group"), "group", "left_semi")
     inside = stage(inside.groupBy("doc").agg(F.collect_set("group").alias("open")), "open-lists")  # as many as sketches
-    inside = stage(inside.join(_without_company(inside.select("doc"), texts, similarity), "doc", "left_anti"), "company")
     if inside.isEmpty():
         return roots
     profiles = _profiles(inside, texts, similarity)

@@ -170,6 +170,17 @@ def test_an_insertion_leaves_a_short_text_in_company(spark):
     assert [r.doc for r in order_minhash._without_company(texts.select("doc"), texts, 0.8).collect()] == [3]
 
 
+def test_members_without_company_are_left_out_of_small_groups_too(spark, monkeypatch):
+    """What is held against other members are those that may be like one, whatever the size of their group."""
+    rnd = random.Random(13)
+    texts = [prose(rnd, 60) for _ in range(12)]
+    texts.append(edited(rnd, texts[11], 3))
+    tried, aligned = [], order_minhash._aligned
+    monkeypatch.setattr(order_minhash, "_aligned", lambda pairs, *more: tried.append(pairs.count()) or aligned(pairs, *more))
+    assert classes_by_sketch(spark, texts, [[1]] * 13) == [*range(12), 11]
+    assert tried == [12, 0, 1]  # against the smallest, and the only pair that is left
+
+
 def test_pairs_within_the_bound_hold_all_alike_pairs(spark, monkeypatch):
     """Over several blocks and lengths; unlike texts that share a passage make no rows."""
     monkeypatch.setattr(order_minhash, "_BLOCK", 16)
