@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sluice.llm.bpe import decode_column, encode_column
+from sluice.llm.bpe import round_trip_column
 from sluice.llm.decontaminate import decontaminate
 from sluice.llm.frames import table
 from sluice.llm.order_minhash import keep_first
@@ -39,12 +39,11 @@ def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def bpe_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, whether they decode to it, and the other columns but the text."""
-    path = tokenizer_file("byte_bpe_50k.json")
-    encoded = encode_column(docs, path, name="_encoded").withColumn("_ids", F.col("_encoded.ids"))
-    decoded = decode_column(encoded, path, ids="_ids", name="_decoded")
-    same = F.col("_decoded.text") == F.coalesce("text", F.lit(""))
+    encoded = round_trip_column(docs, tokenizer_file("byte_bpe_50k.json"), name="_encoded")
+    same = F.col("_encoded.text") == F.coalesce("text", F.lit(""))
     others = [c for c in docs.columns if c not in ("text", "ids", "n_tokens", "round_trip")]
-    return decoded.select(*others, F.size("_ids").cast("long").alias("n_tokens"), F.col("_ids").alias("ids"), same.alias("round_trip"))
+    ids = F.col("_encoded.ids")
+    return encoded.select(*others, F.size(ids).cast("long").alias("n_tokens"), ids.alias("ids"), same.alias("round_trip"))
 
 
 STAGES = [

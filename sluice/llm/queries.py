@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sluice.llm import bwt_dedup, importance, order_minhash, periodic_runs, quality, secret_scan, substring_dedup, token_file, toxicity, url_filter, warc
-from sluice.llm.bpe import decode_column, encode_column
+from sluice.llm.bpe import round_trip_column
 from sluice.llm.decontaminate import contamination
 from sluice.llm.frames import table
 from sluice.llm.url_filter import Rule
@@ -65,12 +65,11 @@ def tokenizer_file(name: str) -> str:
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_file("byte_bpe_50k.json")
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = encode_column(docs, path).select("doc_id", "encoded.ids")
-    return decode_column(encoded, path).select(
+    return round_trip_column(docs, path).select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2("decoded.text", 256).alias("decoded_sha256"),
+        F.size("encoded.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("encoded.ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("encoded.text", 256).alias("decoded_sha256"),
     )
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from sluice.llm import bpe, token_file
 from tests.llm.conftest import by_row, listed
 
@@ -97,3 +98,14 @@ def test_token_file_equals_library(spark, docs, rows, no_docs, tmp_path, monkeyp
 def test_bpe_empty(no_docs):
     assert bpe.encode_column(no_docs, BYTES).count() == 0
     assert bpe.ByteBpe(BYTES).encode([])[0].tolist() == []
+
+
+def test_round_trip_takes_one_worker(docs, rows, no_docs):
+    """Ids and what they decode to come from one pass of Python; two passes are two workers a task, each with its vocabulary."""
+    texts = [r[1] for r in rows]
+    found = bpe.round_trip_column(docs, BYTES, name="e")
+    want = list(zip([r[0] for r in rows], library(BYTES, texts), [t or "" for t in texts]))
+    assert listed((i, list(t), x) for i, t, x in by_row(found, "doc_id", "e.ids", "e.text")) == listed(want)
+    assert bpe.round_trip_column(no_docs, BYTES).count() == 0
+    plan = corpus_pipeline.bpe_ids(docs.sparkSession, docs, "")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
