@@ -21,13 +21,13 @@ import re
 import struct as binary
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from sluice.llm.texts import flat, ranges
+from sluice.llm.texts import ranges
 from sluice.session import new_path
 
 MAGIC = 0x31564254
@@ -91,11 +91,55 @@ def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray]:
 # --- tokens ---
 
 
+class _Numbers:
+    """Numbers of words of at most 16 bytes, none of them 0: a hash table whose keys are the bytes themselves."""
+
+    def __init__(self, bits: int = 16):
+        self.bits, self.n = bits, 0
+        self.low, self.high = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.uint64)
+        self.number = np.full(1 << bits, -1, np.int32)
+
+    def _slot(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        h = (low ^ (high * np.uint64(0xC2B2AE3D27D4EB4F))) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+        return ((h * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Number of each word, -1 for a word without one."""
+        slot = self._slot(low, high)
+        out = self.number[slot]
+        left = np.flatnonzero((out >= 0) & ((self.low[slot] != low) | (self.high[slot] != high)))
+        slot = slot[left]
+        while len(left):
+            slot = slot + 1 & len(self.number) - 1
+            out[left] = found = self.number[slot]
+            other = (found >= 0) & ((self.low[slot] != low[left]) | (self.high[slot] != high[left]))
+            left, slot = left[other], slot[other]
+        return out
+
+    def add(self, low: np.ndarray, high: np.ndarray, number: np.ndarray) -> None:
+        """File distinct words that have no number yet."""
+        if 2 * (self.n + len(low)) > len(self.number):
+            at = np.flatnonzero(self.number >= 0)
+            old = self.low[at], self.high[at], self.number[at]
+            self.__init__((4 * (self.n + len(low))).bit_length())
+            self.add(*old)
+        self.n += len(low)
+        slot = self._slot(low, high)
+        while len(low):
+            free = np.flatnonzero(self.number[slot] < 0)
+            self.number[slot[free]] = number[free]  # of several in one slot, one stays
+            here = np.zeros(len(low), bool)
+            here[free] = self.number[slot[free]] == number[free]
+            self.low[slot[here]], self.high[slot[here]] = low[here], high[here]
+            low, high, number, slot = low[~here], high[~here], number[~here], slot[~here] + 1 & len(self.number) - 1
+
+
 class WordTokens:
     """The tokenizers library behind a cache of words; white space must be no part of any token.
 
     The vocabulary must lower-case, drop white space and mark the last token of a word, so that many words can go to
-    the library in one string. Words between ASCII white space are encoded apart.
+    the library in one string. Words between ASCII white space are encoded apart, and so are ASCII marks that end one.
     """
 
     def __init__(self, path: str):
@@ -110,24 +154,16 @@ class WordTokens:
         self._clear()
 
     def _clear(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.short, self.number, self.n_words = _Numbers(), {}, 0
         self.ids, self.at = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int64)
 
     def _whole(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _cut(self, text: bytes) -> list[bytes]:
-        """Words between white space, in lower case as far as they are ASCII, the punctuation mark after a letter apart.
-
-        The library does the same; special tokens, which it finds before that, are left alone.
-        """
-        if b"<|" not in text:
-            text = text.lower()
-        return _MARK.sub(rb" \1", text).split()  # bytes split at ASCII white space
-
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> np.ndarray:
+        """Numbers for new words, which are encoded here."""
         words = [w.decode("utf-8", "replace") for w in new]
-        plain = [w.isalpha() and max(w) <= "\u012f" for w in words]  # one pre-token each, normal form letter by letter
+        plain = np.array([w.isalpha() and max(w) <= "\u012f" for w in words], bool)  # one pre-token each, normal form letter by letter
         letters = [w for w, p in zip(words, plain) if p]
         other = [w for w, p in zip(words, plain) if not p]
         joined = self._whole([" ".join(letters[i : i + _TOGETHER]) for i in range(0, len(letters), _TOGETHER)])
@@ -138,30 +174,95 @@ class WordTokens:
         rest = self._whole(other)
         ends = np.concatenate([ends, len(ids) + np.cumsum([len(x) for x in rest])]).astype(np.int64)
         ids = np.concatenate([ids, np.array([i for x in rest for i in x], np.int32)])
-        self.ids, self.at = _extended(self.ids, self.at, len(self.number), ids, ends)
-        for first in (True, False):
-            for word, p in zip(new, plain):
-                if p is first:
-                    self.number[word] = len(self.number)
+        self.ids, self.at = _extended(self.ids, self.at, self.n_words, ids, ends)
+        number = np.empty(len(new), np.int64)
+        number[np.argsort(~plain, kind="stable")] = self.n_words + np.arange(len(new))
+        self.n_words += len(new)
+        return number
+
+    def _listed(self, words: list[bytes]) -> np.ndarray:
+        """Numbers of words one by one, for those that don't fit the table."""
+        new = [w for w in dict.fromkeys(words) if w not in self.number]
+        if new:
+            self.number.update(zip(new, self._learn(new).tolist()))
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+
+    def _cut(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of all texts, and the number of words of each.
+
+        Words stand between white space, in lower case as far as they are ASCII. ASCII marks at the end of a word,
+        after a letter or digit, are words of their own. The library does the same.
+        """
+        ends = 1 + np.cumsum([len(t) + 1 for t in texts])
+        raw = (b" %b %b" % (b" ".join(texts), bytes(16))).lower()
+        data = np.frombuffer(raw, np.uint8)
+        kind = _KIND[data[:-16]]
+        at = np.flatnonzero(kind[1:] != kind[:-1]) + 1
+        before, after = kind[at - 1], kind[at]
+        mark = np.zeros(len(at), bool)
+        if len(at):
+            mark[:-1] = (after[:-1] == 1) & (before[:-1] == 2) & (after[1:] == 0)
+        some = np.flatnonzero(mark)
+        mark[some] = _LETTER[data[at[some] - 2], data[at[some] - 1]]
+        start, end = at[(before == 0) | mark], at[(after == 0) | mark]
+        size = end - start
+        low, high = _eight(data, start, size), np.zeros(len(start), np.uint64)
+        long = np.flatnonzero(size > 8)
+        high[long] = _eight(data, start[long] + 8, size[long] - 8)
+        number = self.short.find(low, high).astype(np.int64)
+        odd = np.arange(len(size)) if b"\0" in raw[:-16] else np.flatnonzero(size > 16)  # 0 fills the keys up
+        missing = number < 0
+        missing[odd] = False
+        missing = np.flatnonzero(missing)
+        if len(missing):
+            order = missing[np.lexsort((high[missing], low[missing]))]
+            first = np.ones(len(order), bool)
+            first[1:] = (low[order[1:]] != low[order[:-1]]) | (high[order[1:]] != high[order[:-1]])
+            new = order[first]
+            made = self._learn([raw[a:b] for a, b in zip(start[new].tolist(), end[new].tolist())])
+            self.short.add(low[new], high[new], made.astype(np.int32))
+            number[order] = made[np.cumsum(first) - 1]
+        if len(odd):
+            number[odd] = self._listed([raw[a:b] for a, b in zip(start[odd].tolist(), end[odd].tolist())])
+        return number, np.diff(np.searchsorted(start, ends), prepend=0)
+
+    def _cut_special(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Like ``_cut`` of one text that may hold special tokens, which the library finds before it lower-cases."""
+        words = self._listed(_MARK.sub(rb" \1", text).split())  # bytes split at ASCII white space
+        return words, np.array([len(words)])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after another, and the number of ids of each."""
-        if len(self.number) > CACHE_WORDS:
+        if self.n_words > CACHE_WORDS:
             self._clear()
-        cut = [self._cut(t) for t in texts]
-        words = list(chain.from_iterable(cut))
-        found = list(map(self.number.get, words))
-        if None in found:
-            missing = [i for i, n in enumerate(found) if n is None]
-            self._learn(list(dict.fromkeys([words[i] for i in missing])))
-            for i in missing:
-                found[i] = self.number[words[i]]
-        word = np.array(found, np.int64)
+        parts = []
+        for special, run in groupby(texts, lambda t: b"<|" in t):
+            parts += map(self._cut_special, run) if special else [self._cut(list(run))]
+        if not parts:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        word, counts = (np.concatenate(x) for x in zip(*parts))
         size = self.at[word + 1] - self.at[word]
-        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum([len(c) for c in cut])]).astype(int)]
+        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(counts)])]
         return self.ids[ranges(self.at[word], size)], np.diff(ends)
 
 
+_KIND = np.full(256, 2, np.uint8)  # 0 white space, 1 ASCII marks, 2 all else
+_KIND[[c for c in range(33, 127) if not chr(c).isalnum()]] = 1
+_KIND[list(b" \t\n\r\x0b\x0c")] = 0
+#: whether two bytes end with a letter or digit that stays one when it is lower-cased: ASCII, or of U+00C0 to U+017F
+_LETTER = np.zeros((256, 256), bool)
+_LETTER[:, [c for c in range(128) if chr(c).isalnum()]] = True
+for _c in range(0xC0, 0x180):
+    _LETTER[tuple(chr(_c).encode())] = chr(_c).isalpha() and chr(_c).lower().isalpha()
+_FILLED = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+
+def _eight(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Up to 8 bytes from each place as one number; data must go on for 8 more bytes."""
+    at = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))
+    return at[start] & _FILLED[np.minimum(size, 8)]
+
+
 def _extended(ids: np.ndarray, at: np.ndarray, n: int, more: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Lists filed one after another, with n of them so far, and more."""
     used = int(at[n])
@@ -192,11 +293,12 @@ def _groups(texts: pa.Array, limit: int = 1 << 20) -> Iterator[list[bytes]]:
 
 
 def tokenize(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """(doc_id, ids, ahead) of (doc_id, text), in the order of the rows: ids as little-endian 32-bit numbers with the end
-    id last, and the number of ids before them in their partition."""
+    """(doc_id, ids, ahead, counts) of (doc_id, text), in the order of the rows: ids as little-endian 32-bit numbers with
+    the end id last, and the number of ids before them in their partition. One more row a partition has no ids but
+    counts, how often each id from 0 on occurs there, as little-endian 64-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library, done = word_tokens(path), 0
+        library, done, total = word_tokens(path), 0, np.zeros(0, np.int64)
         for batch in batches:
             at = 0
             for group in _groups(batch.column(1)):
@@ -206,34 +308,44 @@ def tokenize(docs: DataFrame, path: str, end_id: int) -> DataFrame:
                 raw = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(group), [None, pa.py_buffer(4 * ends), pa.py_buffer(ids)]
                 )
+                total = _added(total, np.bincount(ids))
                 firsts = batch.column(0).slice(at, len(group))
-                yield pa.RecordBatch.from_arrays(
-                    [firsts, raw.cast(pa.binary()), pa.array(done + ends[:-1])], ["doc_id", "ids", "ahead"]
-                )
+                columns = [firsts, raw.cast(pa.binary()), pa.array(done + ends[:-1]), pa.nulls(len(group), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names)
                 at += len(group)
                 done += int(ends[-1])
+        if done:
+            columns = [pa.nulls(1, firsts.type), pa.nulls(1, pa.binary()), pa.array([done]), pa.array([total.astype("<i8").tobytes()])]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, ids binary, ahead bigint")
+    names = ["doc_id", "ids", "ahead", "counts"]
+    return docs.mapInArrow(run, f"doc_id {kind}, ids binary, ahead bigint, counts binary")
+
+
+def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of two counts by id; ids beyond the end have none."""
+    out = np.zeros(max(len(a), len(b)), np.int64)
+    out[: len(a)] = a
+    out[: len(b)] += b
+    return out
 
 
 # --- files ---
 
 
 def rank_table(tokens: DataFrame) -> DataFrame:
-    """(id, rank) of every id of the corpus, the most frequent first; ties go to the smaller id. As large as the vocabulary."""
+    """(id, rank) of every id that ``tokenize`` counted, the most frequent first; ties go to the smaller id. As large as the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
-            data, offsets = flat(batch.column(0))
-            n = np.bincount(np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u4"), minlength=len(total))
-            n[: len(total)] += total
-            total = n
+            for row in batch.column(0):
+                total = _added(total, np.frombuffer(row.as_py(), "<i8"))
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["id", "n"])
 
-    counts = tokens.select("ids").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = tokens.select("counts").where("counts IS NOT NULL").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n"))
     order = Window.orderBy(F.desc("n"), "id")
     return counts.select("id", (F.row_number().over(order) - 1).cast("long").alias("rank"))
 
@@ -242,7 +354,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", te
     """Tokenize ``docs`` and write them to the folders ``path``/ranks, ``path``/shards and ``path``/blocks.
 
     Texts are dealt out by ranges of document ids, so that shards follow each other, and tokenized once. The ids are
-    written, counted, and rewritten as blocks without another shuffle.
+    counted as they are written, and rewritten as blocks without another shuffle.
     """
     spark = docs.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -282,7 +394,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, doc_id: str = "doc_id", te
     kind = tokens.schema["doc_id"].dataType.simpleString()
     names = ["shard", "ahead", "n_ids", "doc_ids", "payload"]
     schema = f"shard int, ahead bigint, n_ids bigint, doc_ids array<{kind}>, payload binary"
-    written = tokens.select("doc_id", "ids", "ahead", "shard").mapInArrow(blocks, schema)
+    written = tokens.where("ids IS NOT NULL").select("doc_id", "ids", "ahead", "shard").mapInArrow(blocks, schema)
     written.write.option("compression", "none").parquet(f"{path}/blocks")
     # a row for each shard, of which there are as many as partitions
     totals = spark.read.parquet(f"{path}/blocks").groupBy("shard").agg(F.sum("n_ids").alias("n"))

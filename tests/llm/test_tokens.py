@@ -109,3 +109,47 @@ def test_round_trip_takes_one_worker(docs, rows, no_docs):
     assert bpe.round_trip_column(no_docs, BYTES).count() == 0
     plan = corpus_pipeline.bpe_ids(docs.sparkSession, docs, "")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1
+
+
+def test_marks_at_the_end_of_words_are_learned_once(monkeypatch):
+    own, learned = token_file.WordTokens(WORDS), []
+    whole = own._whole
+    monkeypatch.setattr(own, "_whole", lambda words: learned.extend(w for x in words for w in x.split()) or whole(words))
+    texts = ["abc abc, abc$$$ ABC!", "abc&&& été, été", "12. 12"]
+    ids, counts = own.encode([t.encode() for t in texts])
+    assert np.split(ids, np.cumsum(counts)[:-1])[0].tolist() == library(WORDS, texts)[0]
+    assert sorted(learned) == sorted(["abc", ",", "$$$", "!", "&&&", "été", "12", "."])
+
+
+@pytest.mark.parametrize("cache", [10, 800_000])
+def test_words_equal_library_where_marks_are_cut(monkeypatch, cache):
+    monkeypatch.setattr(token_file, "CACHE_WORDS", cache)
+    starts = ["İ", "ı", "“", "é", "×", "÷", "ß", "ŉ", "ſ", "½", "don't", "x'", "a\0b", "\0", "ab", "é", "日", "a" * 15, "b" * 16, "c" * 17, "z<|", ""]
+    ends = [",", "',", "''s", "<", "≠", "$$$", "\0", "\x1c,", "'s", "<|endoftext|>", "!\x85", ".　,", "_", "-x-", "a" * 8 + ";", "\x7f", ""]
+    texts = [f"{a}{b}{c}q" for a in starts for b in ends for c in " \n\t̸"] + ["", " ", "a", "a\n", None]
+    own = token_file.WordTokens(WORDS)
+    for part in (texts, texts[::-1], texts[::7]):
+        ids, counts = own.encode([(t or "").encode() for t in part])
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == library(WORDS, part)
+    assert [x.tolist() for x in own.encode([])] == [[], []]
+
+
+def test_numbers_of_words_that_share_slots():
+    rnd = np.random.default_rng(3)
+    low, high = np.arange(1, 40_001, dtype=np.uint64), rnd.integers(0, 2, 40_000, dtype=np.uint64)
+    table, order = token_file._Numbers(4), rnd.permutation(40_000)
+    for at in range(0, 40_000, 999):
+        some = order[at : at + 999]
+        assert (table.find(low[some], high[some]) == -1).all()
+        table.add(low[some], high[some], some.astype(np.int32))
+    assert (table.find(low, high) == np.arange(40_000)).all()
+    assert (table.find(low, high + np.uint64(2)) == -1).all()
+
+
+def test_ids_are_counted_as_they_are_made(docs, rows):
+    found = token_file.tokenize(docs.coalesce(2).select("doc_id", "text"), WORDS, 1).collect()
+    ids = np.concatenate([np.frombuffer(bytes(r.ids), "<u4") for r in found if r.ids is not None])
+    counts = [np.frombuffer(bytes(r.counts), "<i8") for r in found if r.counts is not None]
+    assert len(ids) == sum(len(t) + 1 for t in library(WORDS, [r[1] for r in rows]))
+    assert sum(np.pad(c, (0, 50_000 - len(c))) for c in counts).tolist() == np.bincount(ids, minlength=50_000).tolist()
+    assert sum(r.ids is not None for r in found) == len(rows)
