@@ -27,11 +27,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from sluice.llm.frames import append, list_array, struct
-from sluice.llm.texts import CHUNK_BYTES, ranges
+from sluice.llm.texts import ranges
 
 #: fixed value: the pattern of the byte-level pre-tokenizer
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHE_UNITS = 150_000
+GROUP_CHARACTERS = 1 << 18  # numpy holds some 100 bytes for each while a group is encoded and decoded
 _NONE = np.iinfo(np.int64).max
 
 
@@ -245,7 +246,7 @@ def _groups(texts: pa.Array):
     for t in texts.to_pylist():
         group.append(t)
         size += len(t or "")
-        if size >= CHUNK_BYTES:
+        if size >= GROUP_CHARACTERS:
             yield group
             group, size = [], 0
     if group:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -9,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
+from sluice.llm import texts
 
 SLICE_ROWS = 1024
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -24,6 +26,15 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(_BATCH, str(SLICE_ROWS))
 
 
+def give_back() -> None:
+    """Return free memory of this Python worker to the system: workers live on, and an executor counts all it ever held at once."""
+    texts.forget_powers()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that clashes with none of ``df``, letter case aside."""
     taken = {c.lower() for c in df.columns}
@@ -38,7 +49,7 @@ def append(
     """Add struct column ``name`` holding ``compute`` of ``column``, batch by batch; all other columns pass through.
 
     ``name`` must be free (see ``free_name``). ``compute`` gets an Arrow array of each column and returns a struct array.
-    ``done`` is called at the end of each task, since Python workers live on.
+    ``done`` is called at the end of each task, since Python workers live on; free memory is given back.
     """
     small_batches(df.sparkSession)
     at = [df.columns.index(c) for c in ([column] if isinstance(column, str) else column)]
@@ -52,6 +63,8 @@ def append(
                 yield pa.RecordBatch.from_arrays([*batch.columns, compute(*[batch.column(k) for k in at])], [*batch.schema.names, name])
         if done:
             done()
+        whole = batch = None  # else the last rows stay
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sluice.llm.alignment import distances
 from sluice.llm.anchors import shuffles_freed
-from sluice.llm.frames import append, free_name, list_array, small_batches, struct
+from sluice.llm.frames import append, free_name, give_back, list_array, small_batches, struct
 from sluice.llm.links import components
 from sluice.llm.texts import Words, chunks, flat, mixed, rolling, span_hash
 from sluice.session import scratch, stage, stage_by
@@ -131,6 +131,8 @@ def _aligned(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
                 limits = np.floor((1 - similarity) * longer + 1e-9).astype(np.int64)
                 good = pa.array(distances(list(zip(*sides)), limits) <= limits)
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(good), batch.column(1).filter(good)], ["a", "b"])
+        whole = batch = None
+        give_back()
 
     small_batches(texts.sparkSession)
     # written first: few pairs go to the texts, and only texts of pairs meet

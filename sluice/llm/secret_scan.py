@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from sluice.llm.frames import append, free_name, small_batches
+from sluice.llm.frames import append, free_name, give_back, small_batches
 from sluice.llm.grammar import Automaton, shape
 from sluice.session import stage
 
@@ -122,6 +122,7 @@ def sample_credentials(docs: DataFrame, text: str = "text", size: int = SAMPLE)
                         offer(_label(value[a:b]), value[a:b])
         rows = [(kind, v, str(-h).rjust(20, "0")) for kind, heap in kept.items() for h, v in heap]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string()) for i in range(3)], ["kind", "value", "hash"])
+        give_back()
 
     small_batches(docs.sparkSession)
     found = docs.select(text).mapInArrow(lowest, "kind string, value string, hash string").distinct()

@@ -28,7 +28,7 @@ _powers: dict[str, np.ndarray] = {}
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash base and of its inverse, modulo 2**64."""
     if len(_powers.get("up", ())) < n:
-        size = max(n, 2 * CHUNK_BYTES) + 1
+        size = max(n, CHUNK_BYTES + 2)  # a chunk and both its ends
         base = _odd_power_base()
         for name, b in (("up", base), ("down", pow(base, -1, 2**64))):
             steps = np.full(size, b, np.uint64)
@@ -37,6 +37,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"][:n], _powers["down"][:n]
 
 
+def forget_powers() -> None:
+    """Give the powers' memory back; they are made again when needed."""
+    _powers.clear()
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit hashes evenly."""
     h = h ^ (h >> np.uint64(31))

@@ -1,16 +1,19 @@
 """BPE and token files against the tokenizers library."""
 
+import os
 import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from sluice.llm import bpe, token_file
+from sluice.llm import bpe, texts, token_file
+from sluice.llm.frames import append, struct
 from tests.llm.conftest import by_row, listed
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -153,3 +156,25 @@ def test_ids_are_counted_as_they_are_made(docs, rows):
     assert len(ids) == sum(len(t) + 1 for t in library(WORDS, [r[1] for r in rows]))
     assert sum(np.pad(c, (0, 50_000 - len(c))) for c in counts).tolist() == np.bincount(ids, minlength=50_000).tolist()
     assert sum(r.ids is not None for r in found) == len(rows)
+
+
+def test_workers_give_memory_back_at_the_end_of_a_task(spark, docs):
+    """The powers of the hash base and the cache of units are gone when a task ends; workers live on with what they keep."""
+
+    def compute(column):
+        texts.powers(1 << 20)
+        bpe.vocabulary(BYTES).encode(column.to_pylist())
+        return struct(pid=pa.array([os.getpid()] * len(column)))
+
+    def look(batches):
+        for batch in batches:
+            held = len(texts._powers), bpe.vocabulary(BYTES).n_units
+            yield pa.RecordBatch.from_arrays([pa.array([v] * batch.num_rows) for v in (os.getpid(), *held)], ["pid", "powers", "units"])
+
+    def forget():
+        bpe.vocabulary(BYTES).forget()
+
+    spread = docs.repartition(4)
+    used = {r[0] for r in append(spread, "text", compute, "pid bigint", "_p", done=forget).select("_p.pid").collect()}
+    held = [r for r in spread.mapInArrow(look, "pid bigint, powers bigint, units bigint").collect() if r.pid in used]
+    assert held and all((r.powers, r.units) == (0, 0) for r in held)
